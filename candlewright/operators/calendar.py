@@ -120,12 +120,11 @@ def next_session_lookup(calendar: DataFrame, spark_days: DataFrame, within_days:
     Each session owns the days after the previous session, so the as-of join of any table becomes
     an equi-join on the date with this small lookup.
     """
-    previous = F.lag("date").over(W.orderBy("date"))
-    owned = F.sequence(
-        F.greatest(F.date_add(F.coalesce(previous, F.date_sub("date", within_days + 1)), 1), F.date_sub("date", within_days)),
-        F.col("date"),
-    )
-    lookup = calendar.select(
+    # The window runs over the calendar itself, one short row per session.
+    ordered = calendar.withColumn("previous", F.lag("date").over(W.orderBy("date")))
+    earliest = F.date_sub("date", within_days)
+    owned = F.sequence(F.greatest(F.coalesce(F.date_add("previous", 1), earliest), earliest), F.col("date"))
+    lookup = ordered.select(
         F.col("date").alias("next_date"), F.col("first_bar_ts").alias("next_first_bar_ts"), F.explode(owned).alias("date")
     )
     return F.broadcast(lookup.join(F.broadcast(spark_days), "date", "left_semi"))

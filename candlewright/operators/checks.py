@@ -425,18 +425,18 @@ def bar_summary(bars: DataFrame, by: list[str], order: str, intraday: bool = Tru
     total = labels.groupBy(*by).agg(
         F.sum("n").alias("bars"),
         F.count(F.lit(1)).alias("labels"),
-        F.min("ts").alias("low"),
-        F.max("ts").alias("high"),
+        F.min("ts").alias("first_ts"),
+        F.max("ts").alias("last_ts"),
         F.max("volume").alias("volume"),
         *[F.min_by(p, "ts").alias(p) for p in prices],
     )
-    minutes = F.floor((T.micros(F.col("high")) - T.micros(F.col("low"))) / F.lit(60 * T.MICROS_PER_SECOND)) + 1
+    minutes = F.floor((T.micros(F.col("last_ts")) - T.micros(F.col("first_ts"))) / F.lit(60 * T.MICROS_PER_SECOND)) + 1
     daily = F.lit(not intraday)
     return total.select(
         *by,
         "bars",
-        T.label_text(F.col("low"), daily).alias("first_bar"),
-        T.label_text(F.col("high"), daily).alias("last_bar"),
+        T.label_text(F.col("first_ts"), daily).alias("first_bar"),
+        T.label_text(F.col("last_ts"), daily).alias("last_bar"),
         (minutes - F.col("labels") if intraday else F.lit(None).cast("bigint")).alias("missing_minutes"),
         V.volume_class(F.col("volume")).alias("volume_info"),
         F.concat_ws("/", *[F.col(p).cast("string") for p in prices]).alias("first_bar_ohlc"),

@@ -25,6 +25,7 @@ def local_session(cores: int = 8, app: str = "candlewright", **extra: str) -> Sp
         **JOB_SETTINGS,
         "spark.sql.shuffle.partitions": str(cores),
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.driver.memory": "8g",
         **extra,
     }
