@@ -108,8 +108,13 @@ def _checks(spark, sf_dir):
     return L.alignment_check(_session_hours(spark, sf_dir), _weekday_dailies(spark, sf_dir), "pos")
 
 
+FLAGS = ["open_equals_first", "close_equals_last", "high_equals_max", "low_equals_min"]
+
+
 def alignment_check(spark, sf_dir):
-    return _checks(spark, sf_dir)
+    checks = _checks(spark, sf_dir)
+    shown = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FLAGS}
+    return checks.select(*[shown.get(c, F.col(c)).alias(c) for c in checks.columns])
 
 
 def check_verdict(spark, sf_dir):
@@ -221,7 +226,10 @@ d AS (SELECT symbol, date, arg_min(o_totalprice, o_orderkey) AS o, arg_min(o_tot
 SELECT d.symbol, d.date, {PAIR_COLUMNS.replace('round(d.v, 4)', 'CAST(100 AS DOUBLE)')}, CASE WHEN m.v <> 0 THEN round(CAST(100 AS DOUBLE) / m.v, 4) END AS volume_ratio_float
 FROM d JOIN m ON m.symbol = d.symbol AND m.date = d.date""",
     ),
-    "alignment_check": (alignment_check, CHECKS + "SELECT * FROM shown"),
+    "alignment_check": (
+        alignment_check,
+        CHECKS + "SELECT * REPLACE (" + ", ".join(f"COALESCE(CAST({c} AS VARCHAR), '') AS {c}" for c in FLAGS) + ") FROM shown",
+    ),
     "check_verdict": (
         check_verdict,
         CHECKS
