@@ -85,13 +85,13 @@ def merge_stats(stacked: DataFrame, keys: list[str] = KEY, by: list[str] | None
     )
 
 
-def merge_verify(inputs: DataFrame, output: DataFrame, keys: list[str] = KEY) -> DataFrame:
-    """One row: lost, foreign and repeated keys of a written merge result, and the overall verdict."""
+def merge_verify(inputs: DataFrame, output: DataFrame, keys: list[str] = KEY, by: list[str] | None = None) -> DataFrame:
+    """Lost, foreign and repeated keys of a written merge result, and the verdict; one row per ``by``."""
     marks = inputs.select(*keys, F.lit(1).alias("given"), F.lit(0).alias("kept")).unionByName(
         output.select(*keys, F.lit(0).alias("given"), F.lit(1).alias("kept"))
     )
     per_key = marks.groupBy(*keys).agg(F.sum("given").alias("given"), F.sum("kept").alias("kept"))
-    return per_key.agg(
+    return per_key.groupBy(*(by or [])).agg(
         F.count_if((F.col("given") > 0) & (F.col("kept") == 0)).alias("lost_key_count"),
         F.count_if((F.col("given") == 0) & (F.col("kept") > 0)).alias("foreign_key_count"),
         F.count_if(F.col("kept") > 1).alias("repeated_key_count"),
