@@ -102,16 +102,17 @@ def session_summary(
     counters = dict(counters or {})
     rows = _slot_rows(bars, calendar, step_seconds, counters)
     no_ts = F.lit(None).cast("timestamp")
-    counted = rows.select("symbol", "date", "word", "off_ts", "n", "bits", no_ts.alias("listed_ts"), *counters)
+    zero = F.lit(0).cast("bigint")
+    counted = rows.select("symbol", "date", "word", "off_ts", "n", "bits", no_ts.alias("listed_ts"), F.lit(0).alias("asked"), *counters)
     listed = _first_extras(rows, max_listed).select(
         "symbol", "date", F.lit(None).cast("int").alias("word"), no_ts.alias("off_ts"),
-        F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("bits"), F.col("off_ts").alias("listed_ts"),
-        *[F.lit(0).cast("bigint").alias(name) for name in counters],
+        zero.alias("n"), F.lit(None).cast("bigint").alias("bits"), F.col("off_ts").alias("listed_ts"), F.lit(0).alias("asked"),
+        *[zero.alias(name) for name in counters],
     )
     parts = counted.unionByName(listed)
     if empty is not None:
         parts = parts.unionByName(
-            empty.select("symbol", "date", F.lit(0).cast("bigint").alias("n"), *[F.lit(0).cast("bigint").alias(c) for c in counters]),
+            empty.select("symbol", "date", zero.alias("n"), F.lit(1).alias("asked"), *[zero.alias(c) for c in counters]),
             allowMissingColumns=True,
         )
     return parts.groupBy("symbol", "date").agg(
@@ -120,6 +121,7 @@ def session_summary(
         F.count("off_ts").alias("extra_count_int"),
         _words_map().alias("words"),
         F.sort_array(F.collect_list("listed_ts")).alias("extra_ts"),
+        (F.max("asked") == 1).alias("asked"),
         *[F.sum(name).alias(name) for name in counters],
     )
 
@@ -164,32 +166,28 @@ def issue_report(
     """Problem dates of every series: missing sessions, missing / extra minutes, duplicates, no session.
 
     ``bars`` needs ``symbol, ts``; ``calendar`` holds closed sessions only. Coverage starts at the
-    first date found, at ``start_date``, or per series at ``series.start_date``; earlier bars are
-    ignored. ``last_date`` is the last date that could have a session.
+    first date found, at ``start_date`` for every symbol, or at ``series.start_date`` for the listed
+    symbols; earlier bars are ignored. ``last_date`` is the last date that could have a session.
     """
-    if start_date is not None:
-        bars = bars.where(F.col("ts") >= T.instant_literal(f"{start_date} 00:00:00"))
-    rows = dated(bars)
     starts = None
     if series is not None:
         starts = series.select("symbol", F.col("start_date").cast("date").alias("date"))
-        rows = (
-            rows.join(starts.withColumnRenamed("date", "start"), "symbol")
-            .where(F.col("date") >= F.col("start"))
-            .drop("start")
-        )
-    summary = session_summary(rows, calendar, step_seconds, max_listed, empty=starts)
-
-    # Dates without any bar: every present date also answers for the days up to the next present one.
-    by_date = W.partitionBy("symbol").orderBy("date")
+    elif start_date is not None:
+        # A symbol whose bars all lie before the start is still expected; this reads one column.
+        starts = bars.select("symbol").distinct().withColumn("date", F.lit(start_date).cast("date"))
+        bars = bars.where(F.col("ts") >= T.instant_literal(f"{start_date} 00:00:00"))
+    summary = session_summary(dated(bars), calendar, step_seconds, max_listed, empty=starts)
+
+    # From here on there is one short row per (symbol, date).
+    by_symbol = W.partitionBy("symbol")
+    by_date = by_symbol.orderBy("date")
+    if starts is not None:
+        start = F.min(F.when(F.col("asked"), F.col("date"))).over(by_symbol)
+        summary = summary.withColumn("start", start).where(F.col("date") >= F.col("start"))
+    # Every present date also answers for the days up to the next present one.
     after = F.coalesce(F.date_sub(F.lead("date").over(by_date), 1), F.lit(last_date).cast("date"))
-    gap_end = F.greatest(after, F.col("date"))
-    before = F.when(
-        F.lag("date").over(by_date).isNull() & F.lit(start_date is not None and series is None),
-        F.least(F.lit(start_date).cast("date"), F.col("date")),
-    ).otherwise(F.col("date"))
-    covered = summary.withColumn("gap_start", before).withColumn("gap_end", gap_end)
-    spread = covered.withColumn("day", F.explode(F.sequence("gap_start", "gap_end")))
+    covered = summary.withColumn("gap_end", F.greatest(after, F.col("date")))
+    spread = covered.withColumn("day", F.explode(F.sequence("date", "gap_end")))
     own = F.col("day") == F.col("date")
     zero = F.lit(0).cast("bigint")
     every = spread.select(

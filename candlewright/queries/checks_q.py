@@ -141,7 +141,7 @@ REPORTS = {
     "issue_report_by_user": (
         issue_report_by_user,
         f"""WITH bars AS (SELECT CAST(user_id AS VARCHAR) AS symbol, date_trunc('hour', ts) AS ts FROM events WHERE ts >= TIMESTAMP '2024-01-03'),
-starts AS (SELECT DISTINCT symbol, DATE '2024-01-03' AS start FROM bars),
+starts AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS symbol, DATE '2024-01-03' AS start FROM events),
 all_{A.SQL_HOUR_CALENDAR.replace('cal AS', 'days AS')},
 cal AS (SELECT * FROM all_days WHERE last_ts + INTERVAL 65 MINUTE <= TIMESTAMP '{A.NOW}'),
 {ISSUE_CTES.format(step="INTERVAL 1 HOUR")} SELECT * FROM issues""",
