@@ -36,10 +36,11 @@ def catalog(spark: SparkSession, zone: str) -> DataFrame:
 
 
 def read_zone(spark: SparkSession, zone: str) -> DataFrame:
-    """Zone rows with the union of the partitions' columns. The period stays text."""
-    found = spark.read.option("mergeSchema", True).parquet(zone).schema
+    """Zone rows with the union of the partitions' columns. The period stays text, other files are skipped."""
+    reader = lambda: spark.read.option("pathGlobFilter", "*.parquet")
+    found = reader().option("mergeSchema", True).parquet(zone).schema
     fields = [ST.StructField("period", ST.StringType()) if f.name == "period" else f for f in found.fields]
-    return spark.read.schema(ST.StructType(fields)).parquet(zone)
+    return reader().schema(ST.StructType(fields)).parquet(zone)
 
 
 def write_zone(rows: DataFrame, zone: str, mode: str = "append") -> None:
