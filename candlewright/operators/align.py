@@ -16,7 +16,7 @@ PRICES = ["open", "high", "low", "close"]
 KEYS = ["symbol", "date"]
 
 
-def _first_daily(daily: DataFrame, order: str) -> DataFrame:
+def first_daily(daily: DataFrame, order: str) -> DataFrame:
     """One daily bar per (symbol, date): the first in file order."""
     return daily.groupBy(*KEYS).agg(*[F.min_by(c, order).alias(f"daily_{c}") for c in [*PRICES, "volume"]])
 
@@ -30,7 +30,7 @@ def daily_vs_minute(minute: DataFrame, daily: DataFrame, order: str, daily_order
         F.max_by("close", order).alias("minute_close"),
         F.sum("volume").alias("minute_volume"),
     )
-    both = _first_daily(daily, daily_order).join(rolled, KEYS)
+    both = first_daily(daily, daily_order).join(rolled, KEYS)
     ratio = F.when(F.col("minute_volume") != 0, F.round(F.col("daily_volume") / F.col("minute_volume"), 4))
     pairs = [name for c in [*PRICES, "volume"] for name in (f"daily_{c}", f"minute_{c}")]
     return both.select(*KEYS, *pairs, ratio.alias("volume_ratio_float"))
@@ -47,7 +47,7 @@ def alignment_check(minute: DataFrame, daily: DataFrame, daily_order: str, toler
     Minute bars pick up their daily bar in a left join, which adaptive execution may split when one
     (symbol, date) is large; daily bars without minutes join the same aggregate as empty groups.
     """
-    days = _first_daily(daily, daily_order).drop("daily_volume").withColumn("has_daily", F.lit(True))
+    days = first_daily(daily, daily_order).drop("daily_volume").withColumn("has_daily", F.lit(True))
     bars = minute.select(*KEYS, "ts", *PRICES).join(days, KEYS, "left")
     alone = days.select(
         *KEYS, F.lit(None).cast("timestamp").alias("ts"), *[F.lit(None).cast("double").alias(p) for p in PRICES],

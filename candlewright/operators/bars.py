@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from candlewright.functions import times as T
 
+# Bars per window partition of the return computation.
+BUCKET_STEPS = 64
+
 
 def ohlcv_rollup(bars: DataFrame, by: list[str], order: str = "ts") -> DataFrame:
     """Open of the first bar, highest high, lowest low, close of the last bar, summed volume.
@@ -37,16 +40,23 @@ def first_per_label(bars: DataFrame, keys: list[str], order: str, values: list[s
     return bars.groupBy(*keys).agg(*[F.min_by(v, order).alias(v) for v in values])
 
 
-def bar_returns(bars: DataFrame, step_seconds: int = 60) -> DataFrame:
+def bar_returns(bars: DataFrame, step_seconds: int = 60, bucket_steps: int = BUCKET_STEPS) -> DataFrame:
     """Log return of the close where the previous bar is exactly one step earlier.
 
-    Windows are split by (symbol, date): returns never cross a session, and a bar key is unique, so a
-    partition holds one day of one symbol at most.
+    Returns never cross a date, and the previous bar that counts lies at most one step back. A window
+    therefore only needs a short stretch of time: bars are split by (symbol, date, time bucket), and
+    the bars of the last step of a bucket also go to the next one as context.
     """
-    day = W.partitionBy("symbol", "date").orderBy("ts")
     step = step_seconds * T.MICROS_PER_SECOND
-    previous = bars.withColumn("prev_ts", F.lag("ts").over(day)).withColumn("prev_close", F.lag("close").over(day))
-    consecutive = previous.where(T.micros(F.col("ts")) - T.micros(F.col("prev_ts")) == step)
+    width = F.lit(step * bucket_steps)
+    at = T.micros(F.col("ts"))
+    bucket = F.floor(at / width)
+    at_end = F.pmod(at, width) >= width - F.lit(step)
+    buckets = F.when(at_end, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))
+    spread = bars.select("symbol", "date", "ts", "close", bucket.alias("own"), F.explode(buckets).alias("bucket"))
+    nearby = W.partitionBy("symbol", "date", "bucket").orderBy("ts")
+    previous = spread.withColumn("prev_ts", F.lag("ts").over(nearby)).withColumn("prev_close", F.lag("close").over(nearby))
+    consecutive = previous.where((F.col("own") == F.col("bucket")) & (at - T.micros(F.col("prev_ts")) == step))
     positive = consecutive.where((F.col("close") > 0) & (F.col("prev_close") > 0))
     value = F.log("close") - F.log("prev_close")
     finite = ~F.isnan("ret") & (F.abs("ret") != F.lit(float("inf")))

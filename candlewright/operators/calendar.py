@@ -59,10 +59,11 @@ def sessions(
 ) -> DataFrame:
     """Weekdays that are not holidays, with their first and last bar and the expected bar count."""
     frame = days(spark, first, last) if every_day else weekdays(spark, first, last)
+    # The input frames carry no size promise, so Spark picks their join from their statistics.
     if holidays is not None:
-        frame = frame.join(F.broadcast(holidays.select("date")), "date", "left_anti")
+        frame = frame.join(holidays.select("date"), "date", "left_anti")
     if early_closes is not None:
-        early = F.broadcast(early_closes.select("date", "close_time"))
+        early = early_closes.groupBy("date").agg(F.min("close_time").alias("close_time"))
         frame = frame.join(early, "date", "left").withColumn("close_time", F.coalesce("close_time", F.lit(close_time)))
     else:
         frame = frame.withColumn("close_time", F.lit(close_time))
@@ -114,11 +115,11 @@ def split_requested(wanted: DataFrame, calendar: DataFrame) -> tuple[DataFrame,
     return calendar.join(dates, "date", "left_semi"), dates.join(calendar.select("date"), "date", "left_anti")
 
 
-def next_session_lookup(calendar: DataFrame, spark_days: DataFrame, within_days: int = 10) -> DataFrame:
+def next_session_lookup(calendar: DataFrame, first: str | date, last: str | date, within_days: int = 10) -> DataFrame:
     """``date -> next_date``: the first session on or after every day, at most ``within_days`` later.
 
     Each session owns the days after the previous session, so the as-of join of any table becomes
-    an equi-join on the date with this small lookup.
+    an equi-join on the date with this lookup of at most one row per day of the span.
     """
     # The window runs over the calendar itself, one short row per session.
     ordered = calendar.withColumn("previous", F.lag("date").over(W.orderBy("date")))
@@ -127,7 +128,7 @@ def next_session_lookup(calendar: DataFrame, spark_days: DataFrame, within_days:
     lookup = ordered.select(
         F.col("date").alias("next_date"), F.col("first_bar_ts").alias("next_first_bar_ts"), F.explode(owned).alias("date")
     )
-    return F.broadcast(lookup.join(F.broadcast(spark_days), "date", "left_semi"))
+    return small(lookup.where(F.col("date").between(F.lit(_as_date(first)), F.lit(_as_date(last)))), first, last)
 
 
 def with_next_session(frame: DataFrame, lookup: DataFrame, date_column: str = "date") -> DataFrame:

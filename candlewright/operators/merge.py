@@ -98,6 +98,27 @@ def merge_verify(inputs: DataFrame, output: DataFrame, keys: list[str] = KEY, by
     ).withColumn("verified", F.col("lost_key_count") + F.col("foreign_key_count") + F.col("repeated_key_count") == 0)
 
 
+def merge_audit(stacked: DataFrame, output: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    """Counts of ``merge_stats`` and verdict of ``merge_verify`` per ``by``, in one pass over both sides."""
+    values = [c for c in VALUE_COLUMNS if c in stacked.columns]
+    marks = stacked.select(*keys, F.lit(1).alias("given"), F.lit(0).alias("kept"), *[V.number(F.col(c)).alias(c) for c in values]).unionByName(
+        output.select(*keys, F.lit(0).alias("given"), F.lit(1).alias("kept")), allowMissingColumns=True
+    )
+    # The written row adds no value of its own, so blanks are counted against the given rows.
+    differs = F.lit(False)
+    for name in values:
+        known = F.count(F.col(name))
+        differs = differs | F.coalesce(F.min(name) != F.max(name), F.lit(False)) | ((known > 0) & (known < F.sum("given")))
+    per_key = marks.groupBy(*keys).agg(F.sum("given").alias("given"), F.sum("kept").alias("kept"), differs.alias("conflict"))
+    return per_key.groupBy(*by).agg(
+        F.sum("given").alias("input_row_count"),
+        F.count_if(F.col("given") > 0).alias("output_row_count"),
+        (F.sum("given") - F.count_if(F.col("given") > 0)).alias("duplicate_row_count"),
+        F.count_if("conflict").alias("conflict_minute_count"),
+        (F.count_if((F.col("given") == 0) | (F.col("kept") != 1)) == 0).alias("verified"),
+    )
+
+
 def kv_upsert(old: DataFrame, new: DataFrame, key: str = "key", value: str = "value", order: str | None = None) -> DataFrame:
     """Top-level keys of two documents; the new value wins and is not merged deeper.
 

@@ -66,6 +66,7 @@ def merge_minutes(
     bad_tick: Column | None = None,
     log_path: str | None = None,
     index_rule: bool = False,
+    step_seconds: int = 60,
 ) -> DataFrame | None:
     """One decision per staged (symbol, day); with ``apply`` the accepted days are appended to raw.
 
@@ -78,9 +79,9 @@ def merge_minutes(
     rows = Z.read_zone(spark, staging).where(F.col("period").isin(days))
     present = raw_dates(spark, raw, days)
     if index_rule:
-        decisions = G.merge_gate_index(typed(rows), present, include_partial)
+        decisions = G.merge_gate_index(typed(rows), present, include_partial, step_seconds=step_seconds)
     else:
-        decisions = G.merge_gate(typed(rows), present, calendar, include_partial, bad_tick)
+        decisions = G.merge_gate(typed(rows), present, calendar, include_partial, bad_tick, step_seconds)
     decisions = decisions.withColumn("file_name_str", P.file_name(F.date_format("date", "yyyyMMdd")))
     if not apply:
         return decisions
@@ -117,14 +118,15 @@ def merge_daily(spark: SparkSession, staging: str, raw: str, apply: bool = False
     rows = Z.read_zone(spark, staging).where(F.col("period").isin(names))
     decisions = _kept(spark, G.merge_gate_daily(typed(rows), ["symbol", "period"]), "daily-decisions")
     accepted = decisions.where(F.col("decision_str") == G.MERGE).select("symbol", "period")
-    chosen = Z._stack(rows.join(accepted, ["symbol", "period"], "left_semi"), F.col("period"), F.lit(1))
+    passed = accepted.select("symbol", F.col("period").alias("target"))
+    # Positions are taken from the scan itself, before any shuffle.
+    chosen = Z.stack(rows, F.col("period"), F.lit(1)).join(passed, ["symbol", "target"], "left_semi")
     stacked = chosen
     present = Z.periods(spark, raw)
     if present:
         stored = Z.read_zone(spark, raw).where(F.col("period").isin(names))
-        stacked = Z._stack(stored, F.col("period"), F.lit(0)).unionByName(chosen, allowMissingColumns=True).fillna("")
-    touched = accepted.select(F.col("period").alias("target")).distinct()
-    stacked = stacked.join(touched, "target", "left_semi")
+        stacked = Z.stack(stored, F.col("period"), F.lit(0)).unionByName(chosen, allowMissingColumns=True).fillna("")
+    stacked = stacked.join(passed.select("target").distinct(), "target", "left_semi")
     conflicts = _kept(spark, M.merge_stats(stacked, Z.KEYS, ["target", "symbol"]), "daily-conflicts")
     outcome = Z.merge_into(spark, raw, stacked, {}, apply)
     per_target = outcome.select(F.col("target_str").alias("period"), "status_str", "message_str")

@@ -65,7 +65,7 @@ def backup_folder(zone: str) -> str:
     return f"{zone.rstrip('/')}_backup_{datetime.now(timezone.utc).strftime('%Y%m%d_%H%M%S_%f')}"
 
 
-def _stack(rows: DataFrame, target: Column, rank: Column) -> DataFrame:
+def stack(rows: DataFrame, target: Column, rank: Column) -> DataFrame:
     """Add target, precedence and position; blank cells stay empty text."""
     cells = [c for c in rows.columns if c not in ("symbol", "ts", "period", "target", "source_rank")]
     return rows.select(
@@ -74,18 +74,18 @@ def _stack(rows: DataFrame, target: Column, rank: Column) -> DataFrame:
     )
 
 
-def _swap(spark: SparkSession, zone: str, scratch: str, backup: str, target: str, retired: list[str]) -> tuple[str, str]:
-    """Move old partitions to the backup and the new one in; put everything back on failure."""
+def _swap(spark: SparkSession, zone: str, scratch: str, backup: str, built: list[str], retired: list[str]) -> tuple[str, str]:
+    """Move old partitions to the backup and the new ones in; put everything back on failure."""
     folder = lambda root, period: f"{root}/period={period}"
-    moved: list[str] = []
+    done: list[tuple[str, str]] = []
     try:
-        for period in retired:
-            FS.move(spark, folder(zone, period), folder(backup, period))
-            moved.append(period)
-        FS.move(spark, folder(scratch, target), folder(zone, target))
+        for origin, goal, names in ((zone, backup, retired), (scratch, zone, built)):
+            for period in names:
+                FS.move(spark, folder(origin, period), folder(goal, period))
+                done.append((folder(origin, period), folder(goal, period)))
     except Exception as error:
-        for period in reversed(moved):
-            FS.move(spark, folder(backup, period), folder(zone, period))
+        for origin, goal in reversed(done):
+            FS.move(spark, goal, origin)
         return "rolled_back", f"{type(error).__name__}; partitions put back"
     return "merged", ""
 
@@ -100,25 +100,26 @@ def merge_into(
     target is swapped in only when no key is lost, foreign or repeated.
     """
     present = set(periods(spark, zone))
-    stats = {r["target"]: r.asDict() for r in M.merge_stats(stacked, KEYS, ["target"]).collect()}
-    outcome = {target: ("dry_run", "") for target in stats}
-    if apply and stats:
+    outcome: dict[str, tuple[str, str]] = {}
+    if not apply:
+        stats = {r["target"]: r for r in M.merge_stats(stacked, KEYS, ["target"]).collect()}
+    else:
         scratch = run_folder(spark, "periods")
         merged = M.merged_rows(stacked, KEYS).drop("source_rank", "copies", "conflict")
         write_zone(merged.withColumnRenamed("target", "period"), scratch, "errorifexists")
         written = read_zone(spark, scratch).withColumnRenamed("period", "target")
-        checks = {r["target"]: r["verified"] for r in M.merge_verify(stacked, written, KEYS, ["target"]).collect()}
+        stats = {r["target"]: r for r in M.merge_audit(stacked, written, KEYS, ["target"]).collect()}
         keep_in = backup or backup_folder(zone)
         for target in sorted(stats):
-            if not checks.get(target):
+            if not stats[target]["verified"]:
                 outcome[target] = ("failed", "verification of the written period failed")
                 continue
             retired = [p for p in dict.fromkeys([target, *sources.get(target, [])]) if p in present]
-            outcome[target] = _swap(spark, zone, scratch, keep_in, target, retired)
+            outcome[target] = _swap(spark, zone, scratch, keep_in, [target], retired)
     rows = [
         (
             target, " ".join(p for p in sources.get(target, []) if p != target), target in present, s["input_row_count"], s["output_row_count"],
-            s["duplicate_row_count"], s["conflict_minute_count"], *outcome[target],
+            s["duplicate_row_count"], s["conflict_minute_count"], *outcome.get(target, ("dry_run", "")),
         )
         for target, s in sorted(stats.items())
     ]
@@ -140,7 +141,7 @@ def _fold(spark: SparkSession, zone: str, planned: DataFrame, apply: bool) -> Da
     ranks = [(p, t, 0 if p == t else order[p] + 1) for p, t in involved.items()]
     lookup = F.broadcast(spark.createDataFrame(ranks, "period string, target string, source_rank int"))
     rows = read_zone(spark, zone).where(F.col("period").isin(sorted(involved))).join(lookup, "period")
-    return merge_into(spark, zone, _stack(rows, F.col("target"), F.col("source_rank")), sources, apply)
+    return merge_into(spark, zone, stack(rows, F.col("target"), F.col("source_rank")), sources, apply)
 
 
 def organize(spark: SparkSession, zone: str, now: Column, apply: bool = False) -> DataFrame:
@@ -163,7 +164,7 @@ def rebuild(spark: SparkSession, source: str, target: str, now: Column, apply: b
     # Longer periods win: four digits before six before eight, then the older one.
     rank = F.concat(F.length("period").cast("string"), F.lit("-"), F.col("period"))
     day = T.wall_date(F.col("ts"))
-    stacked = _stack(read_zone(spark, source), P.period_for_date(day, T.wall(now)), rank)
+    stacked = stack(read_zone(spark, source), P.period_for_date(day, T.wall(now)), rank)
     merged = M.merged_rows(stacked, KEYS).drop("source_rank", "copies", "conflict")
     planned = Y.rebuild_plan(merged.select(day.alias("date")), catalog(spark, target), now, remove_stale)
     if not apply:
@@ -176,13 +177,12 @@ def rebuild(spark: SparkSession, source: str, target: str, now: Column, apply: b
     verdict = M.merge_verify(stacked, read_zone(spark, scratch).withColumnRenamed("period", "target"), KEYS).first()
     if not verdict["verified"]:
         raise OSError(f"verification of the rebuilt zone failed: {verdict.asDict()}")
-    built, present, keep_in = periods(spark, scratch), set(periods(spark, target)), backup_folder(target)
     # In place, every old period steps aside before the first new one appears.
-    retired = [p for p in sorted(present) if p in built or remove_stale]
-    for period in retired:
-        FS.move(spark, f"{target}/period={period}", f"{keep_in}/period={period}")
-    for period in built:
-        FS.move(spark, f"{scratch}/period={period}", f"{target}/period={period}")
+    built = periods(spark, scratch)
+    retired = [p for p in periods(spark, target) if p in built or remove_stale]
+    status, message = _swap(spark, target, scratch, backup_folder(target), built, retired)
+    if status != "merged":
+        raise OSError(f"the rebuilt zone was not swapped in: {message}")
     return plan
 
 
@@ -196,10 +196,24 @@ def save_stage(spark: SparkSession, new: DataFrame, staging: str, daily: bool) -
     period = F.date_format(day, "yyyy" if daily else "yyyyMMdd")
     fresh = new.withColumn("period", period)
     names = [r["period"] for r in fresh.select("period").distinct().collect()]
-    parts = _stack(fresh, F.col("period"), F.lit(1))
+    parts = stack(fresh, F.col("period"), F.lit(1))
     if FS.exists(spark, staging):
-        stored = read_zone(spark, staging).where(F.col("period").isin(names))
+        # Positions are taken from the scan itself, before any shuffle.
+        stored = stack(read_zone(spark, staging).where(F.col("period").isin(names)), F.col("period"), F.lit(0))
         if not daily:
-            stored = stored.join(fresh.select("symbol", "period").distinct(), ["symbol", "period"], "left_anti")
-        parts = _stack(stored, F.col("period"), F.lit(0)).unionByName(parts, allowMissingColumns=True).fillna("")
+            replaced = fresh.select("symbol", F.col("period").alias("target")).distinct()
+            stored = stored.join(replaced, ["symbol", "target"], "left_anti")
+        parts = stored.unionByName(parts, allowMissingColumns=True).fillna("")
     return merge_into(spark, staging, parts, {}, True)
+
+
+def date_rows(spark: SparkSession, zones: list[str], day: str) -> DataFrame:
+    """Rows of one session date; only periods that cover it are read."""
+    compact = day.replace("-", "")
+    covering = [compact[:4], compact[:6], compact]
+    low, high = T.instant_literal(f"{day} 00:00:00"), T.instant_literal(f"{day} 23:59:59.999999")
+    parts = [read_zone(spark, zone).where(F.col("period").isin(covering) & F.col("ts").between(low, high)) for zone in zones]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part, allowMissingColumns=True)
+    return found

@@ -24,7 +24,7 @@ def closed_sessions(spark, sf_dir):
 
 def next_session(spark, sf_dir):
     """First session on or after the date of every event, within ten days."""
-    lookup = C.next_session_lookup(A.calendar(spark), C.days(spark, A.FIRST_DAY, A.LAST_DAY))
+    lookup = C.next_session_lookup(A.calendar(spark), A.FIRST_DAY, A.LAST_DAY)
     events = A.table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("date"))
     per_day = events.groupBy("event_type", "date").agg(F.count(F.lit(1)).alias("event_count"))
     return C.with_next_session(per_day, lookup).select("event_type", "date", "next_date", "event_count")
@@ -33,7 +33,7 @@ def next_session(spark, sf_dir):
 def session_status(spark, sf_dir):
     """Market status at the second of every event."""
     calendar = A.calendar(spark, early=True)
-    lookup = C.next_session_lookup(calendar, C.days(spark, A.FIRST_DAY, A.LAST_DAY), 14)
+    lookup = C.next_session_lookup(calendar, A.FIRST_DAY, A.LAST_DAY, 14)
     second = T.floor_to(F.col("ts").cast("timestamp"), 1)
     events = A.table(spark, sf_dir, "events").select("event_id", T.from_wall(second).alias("ts"))
     return C.with_market_status(events, calendar, lookup).select(

@@ -90,7 +90,7 @@ def _raw_dates(spark, sf_dir):
     return V.present_dates(events, last="2024-01-08")
 
 
-def _staged(spark, sf_dir):
+def staged(spark, sf_dir):
     """Hourly bars with a broken candle where the last event of the hour has an id divisible by 97."""
     bars = A.event_bars(spark, sf_dir)
     rolled = bars.groupBy("symbol", "date", "ts").agg(
@@ -103,7 +103,7 @@ def _staged(spark, sf_dir):
 def _gate(spark, sf_dir):
     closed = C.closed_sessions(A.calendar(spark, hourly=True), T.instant_literal("2024-01-30 15:00:00"), step_seconds=A.HOUR)
     jump = F.col("close") > 100
-    return G.merge_gate(_staged(spark, sf_dir), _raw_dates(spark, sf_dir), closed, bad_tick=jump, step_seconds=A.HOUR)
+    return G.merge_gate(staged(spark, sf_dir), _raw_dates(spark, sf_dir), closed, bad_tick=jump, step_seconds=A.HOUR)
 
 
 def merge_gate(spark, sf_dir):
@@ -118,14 +118,14 @@ def merge_gate_hist(spark, sf_dir):
 def merge_gate_index(spark, sf_dir):
     """The index rule over raw labels of events: duplicates block, core hours 09:00-15:00 count."""
     staged = A.event_bars(spark, sf_dir, planted=True).where(~F.col("symbol").isin("view", "click"))
-    rolled = _staged(spark, sf_dir).where(F.col("symbol").isin("view", "click"))
+    rolled = staged(spark, sf_dir).where(F.col("symbol").isin("view", "click"))
     columns = ["symbol", "date", "ts", "open", "high", "low", "close"]
     return G.merge_gate_index(staged.select(*columns).unionByName(rolled.select(*columns)), _raw_dates(spark, sf_dir), False, "09:00", "15:00", A.HOUR)
 
 
 def merge_gate_daily(spark, sf_dir):
     """Files of daily bars (type and week): a broken candle or a repeated date blocks the file."""
-    daily = L._first_daily(_staged(spark, sf_dir).withColumn("volume", F.lit(1.0)), "ts")
+    daily = L.first_daily(staged(spark, sf_dir).withColumn("volume", F.lit(1.0)), "ts")
     renamed = daily.select("symbol", "date", *[F.col(f"daily_{c}").alias(c) for c in ("open", "high", "low", "close")])
     files = renamed.select(
         "symbol", F.date_format(F.date_trunc("week", "date"), "yyyyMMdd").alias("label"), T.from_wall(F.col("date")).alias("ts"), "open", "high", "low", "close"

@@ -6,6 +6,7 @@ import csv
 import re
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlewright import schema as S
@@ -96,14 +97,30 @@ def read_one(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
 
 
 def read_many(spark: SparkSession, paths: list[str], kind: str) -> DataFrame | None:
-    """All readable paths united by column name; unreadable ones are skipped."""
-    frames = [f for f in (read_one(spark, p, kind) for p in paths) if f is not None]
-    if not frames:
+    """All readable paths united by column name; missing and unreadable ones are skipped.
+
+    Parquet and JSON are one scan; CSV is one scan per header line.
+    """
+    there = [p for p in paths if FS.exists(spark, p)]
+    if kind == "csv":
+        layouts: dict[tuple[str, ...], list[str]] = {}
+        for path in there:
+            layouts.setdefault(_header(spark, path), []).append(path)
+        frames = [spark.read.option("header", True).csv(members) for members in layouts.values()]
+        if not frames:
+            return None
+        united = frames[0]
+        for frame in frames[1:]:
+            united = united.unionByName(frame, allowMissingColumns=True)
+        return united
+    if not there:
+        return None
+    reader = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+    try:
+        return reader.option("mergeSchema", True).parquet(*there) if kind == "parquet" else reader.format(kind).load(there)
+    except AnalysisException:
+        # No path was readable, so no schema could be found.
         return None
-    united = frames[0]
-    for frame in frames[1:]:
-        united = united.unionByName(frame, allowMissingColumns=True)
-    return united
 
 
 def read_prefix(spark: SparkSession, folder: str, kind: str) -> DataFrame | None:

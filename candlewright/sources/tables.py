@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def create_table(spark: SparkSession, name: str, columns: dict[str, str]) -> bool:
@@ -11,7 +11,7 @@ def create_table(spark: SparkSession, name: str, columns: dict[str, str]) -> boo
         return False
     fields = dict(columns)
     fields.setdefault("id", "int")
-    schema = T.StructType([T.StructField(c, T._parse_datatype_string(t)) for c, t in fields.items()])
+    schema = ", ".join(f"`{column}` {kind}" for column, kind in fields.items())
     spark.createDataFrame([], schema).write.format("parquet").saveAsTable(name)
     return True
 

@@ -36,7 +36,7 @@ def test_finished_rule(spark):
 
 def test_next_session_and_explicit_dates(spark):
     days = calendar(spark, "2004-12-27", "2005-01-14", ["2004-12-31"])
-    lookup = C.next_session_lookup(days, C.days(spark, "2004-12-27", "2005-01-14"))
+    lookup = C.next_session_lookup(days, "2004-12-27", "2005-01-14")
     found = {str(r["date"]): str(r["next_date"]) for r in lookup.collect()}
     assert found["2005-01-01"] == "2005-01-03" and found["2005-01-03"] == "2005-01-03" and found["2004-12-31"] == "2005-01-03"
     wanted = spark.createDataFrame([("2005-01-01",), ("2005-01-03",)], "date string").selectExpr("cast(date as date) date")
@@ -46,14 +46,14 @@ def test_next_session_and_explicit_dates(spark):
 
 def test_lookup_stops_after_ten_days(spark):
     sparse = calendar(spark, "2024-01-01", "2024-01-31").where("date in (date'2024-01-02', date'2024-01-31')")
-    lookup = C.next_session_lookup(sparse, C.days(spark, "2024-01-01", "2024-01-31"))
+    lookup = C.next_session_lookup(sparse, "2024-01-01", "2024-01-31")
     found = {str(r["date"]): str(r["next_date"]) for r in lookup.collect()}
     assert "2024-01-10" not in found and found["2024-01-21"] == "2024-01-31" and found["2024-01-01"] == "2024-01-02"
 
 
 def test_market_status(spark):
     days = calendar(spark, "2025-11-24", "2025-12-12", ["2025-11-27"], [("2025-11-28", "13:00")])
-    lookup = C.next_session_lookup(days, C.days(spark, "2025-11-24", "2025-12-12"), 14)
+    lookup = C.next_session_lookup(days, "2025-11-24", "2025-12-12", 14)
     clocks = ["2025-11-29 10:00:00", "2025-11-28 12:59:30", "2025-11-28 13:00:00", "2025-12-02 09:00:00"]
     frame = spark.createDataFrame([(c,) for c in clocks], "clock string").withColumn("ts", T.from_wall(F.col("clock")))
     rows = {r["clock"]: r for r in C.with_market_status(frame, days, lookup).withColumn("next", F.date_format(T.wall(F.col("next_first_bar_ts")), "yyyy-MM-dd HH:mm")).collect()}

@@ -70,6 +70,11 @@ def test_reading_many_skips_what_is_missing(spark, tmp_path):
     assert RD.read_one(spark, str(tmp_path / "none.csv"), "csv") is None and RD.read_one(spark, str(tmp_path / "junk.parquet"), "parquet") is None
     both = RD.read_many(spark, [str(tmp_path / n) for n in ("a.csv", "none.csv", "b.csv")], "csv")
     assert sorted(both.columns) == ["x", "y", "z"] and both.count() == 2
+    spark.createDataFrame([(1, "a")], "n int, s string").coalesce(1).write.parquet(str(tmp_path / "one"))
+    spark.createDataFrame([(2, 0.5)], "n int, f double").coalesce(1).write.parquet(str(tmp_path / "two"))
+    parquet = RD.read_many(spark, [str(tmp_path / n) for n in ("one", "junk.parquet", "none", "two")], "parquet")
+    assert sorted(parquet.columns) == ["f", "n", "s"] and sorted(r["n"] for r in parquet.collect()) == [1, 2]
+    assert RD.read_many(spark, [str(tmp_path / "junk.parquet")], "parquet") is None
     assert RD.read_prefix(spark, str(tmp_path), "csv").count() == 2 and RD.read_many(spark, [], "csv") is None
 
 

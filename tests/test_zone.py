@@ -199,6 +199,38 @@ def test_hold_out_rows_never_reach_the_alignment_tables(spark):
     assert [str(r["date"]) for r in L.before_cutoff(frame, "2026-05-14").collect()] == ["2026-05-13"]
 
 
+def test_date_rows_prune_periods(spark, zones):
+    raw, _ = zones
+    frame = Z.date_rows(spark, [raw], "2024-12-31")
+    assert frame.count() == 2 * 390
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [period" in plan and "GreaterThanOrEqual(ts" in plan
+
+
+def test_a_failed_rebuild_is_put_back(spark, zones, monkeypatch):
+    raw, _ = zones
+    before, count = Z.periods(spark, raw), Z.read_zone(spark, raw).count()
+    real, calls = FS.move, []
+
+    def failing(session, source, target):
+        calls.append(source)
+        if len(calls) == 4:
+            raise PermissionError("access denied")
+        real(session, source, target)
+
+    monkeypatch.setattr(FS, "move", failing)
+    with pytest.raises(OSError):
+        Z.rebuild(spark, raw, raw, T.instant_literal(NOW), True)
+    assert Z.periods(spark, raw) == before and Z.read_zone(spark, raw).count() == count
+
+
+def test_a_start_date_reaches_the_scan(spark, zones):
+    raw, _ = zones
+    report = R.zone_issues(spark, [raw], closed(spark), T.instant_literal(NOW), "2025-12-31", "2025-12-01")
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts,2025-12-01 05:00:00" in plan and "ReadSchema: struct<ts:timestamp,symbol:string>" in plan
+
+
 def test_ingest_text_into_the_organised_layout(spark, tmp_path):
     zone = str(tmp_path / "zone")
     rows = text_rows("2025-12-31")[:2] + text_rows("2026-09-30")[:2] + text_rows("2026-10-05")[:2]
