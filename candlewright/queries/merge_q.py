@@ -117,10 +117,10 @@ def merge_gate_hist(spark, sf_dir):
 
 def merge_gate_index(spark, sf_dir):
     """The index rule over raw labels of events: duplicates block, core hours 09:00-15:00 count."""
-    staged = A.event_bars(spark, sf_dir, planted=True).where(~F.col("symbol").isin("view", "click"))
+    single = A.event_bars(spark, sf_dir, planted=True).where(~F.col("symbol").isin("view", "click"))
     rolled = staged(spark, sf_dir).where(F.col("symbol").isin("view", "click"))
     columns = ["symbol", "date", "ts", "open", "high", "low", "close"]
-    return G.merge_gate_index(staged.select(*columns).unionByName(rolled.select(*columns)), _raw_dates(spark, sf_dir), False, "09:00", "15:00", A.HOUR)
+    return G.merge_gate_index(single.select(*columns).unionByName(rolled.select(*columns)), _raw_dates(spark, sf_dir), False, "09:00", "15:00", A.HOUR)
 
 
 def merge_gate_daily(spark, sf_dir):
