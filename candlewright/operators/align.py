@@ -160,22 +160,17 @@ def lag_verdict(lags: DataFrame, margin: float = MARGIN, min_pairs: int = MIN_PA
 
 def check_verdict(checks: DataFrame) -> DataFrame:
     """Per series: how many sessions agree, and the distinct edge labels (``HH:mm``)."""
-    usable = checks.where(F.col("first_bar") != "")
-    flag = lambda c, name: F.count_if(c).alias(name)
+    usable = F.col("first_bar") != ""
+    flag = lambda c, name: F.count_if(F.col(c)).alias(name)
     # Labels are clock minutes: the sets are bounded by the minutes of a day.
-    labels = lambda c: F.array_join(F.sort_array(F.collect_set(F.right(F.col(c), F.lit(5)))), " ")
-    found = usable.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("session_count"),
+    labels = lambda c: F.array_join(F.sort_array(F.collect_set(F.when(usable, F.right(F.col(c), F.lit(5))))), " ")
+    return checks.groupBy("symbol").agg(
+        F.count_if(usable).alias("session_count"),
         flag("open_equals_first", "open_matches"), flag("close_equals_last", "close_matches"),
         flag("high_equals_max", "high_matches"), flag("low_equals_min", "low_matches"),
         labels("first_bar").alias("first_labels"), labels("last_bar").alias("last_labels"),
         labels("open_match_bar").alias("open_labels"), labels("close_match_bar").alias("close_labels"),
     )
-    every = checks.select("symbol").distinct()
-    return every.join(found, "symbol", "left").fillna(
-        {c: 0 for c in ("session_count", "open_matches", "close_matches", "high_matches", "low_matches")}
-        | {c: "" for c in ("first_labels", "last_labels", "open_labels", "close_labels")}
-    )
 
 
 def verdict_lines(checks: DataFrame, lags: DataFrame, margin: float = MARGIN) -> DataFrame:

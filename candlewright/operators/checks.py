@@ -97,19 +97,21 @@ def session_summary(
     """One row per (symbol, date) of ``bars`` (``symbol, date, ts``), before sessions are attached.
 
     ``empty`` adds (symbol, date) pairs that must appear even without bars. ``counters`` are row
-    conditions that are counted in the same pass.
+    conditions that are counted in the same pass. With ``max_listed`` 0 no extra minutes are listed.
     """
     counters = dict(counters or {})
     rows = _slot_rows(bars, calendar, step_seconds, counters)
     no_ts = F.lit(None).cast("timestamp")
     zero = F.lit(0).cast("bigint")
     counted = rows.select("symbol", "date", "word", "off_ts", "n", "bits", no_ts.alias("listed_ts"), F.lit(0).alias("asked"), *counters)
-    listed = _first_extras(rows, max_listed).select(
-        "symbol", "date", F.lit(None).cast("int").alias("word"), no_ts.alias("off_ts"),
-        zero.alias("n"), F.lit(None).cast("bigint").alias("bits"), F.col("off_ts").alias("listed_ts"), F.lit(0).alias("asked"),
-        *[zero.alias(name) for name in counters],
-    )
-    parts = counted.unionByName(listed)
+    parts = counted
+    if max_listed > 0:
+        listed = _first_extras(rows, max_listed).select(
+            "symbol", "date", F.lit(None).cast("int").alias("word"), no_ts.alias("off_ts"),
+            zero.alias("n"), F.lit(None).cast("bigint").alias("bits"), F.col("off_ts").alias("listed_ts"), F.lit(0).alias("asked"),
+            *[zero.alias(name) for name in counters],
+        )
+        parts = counted.unionByName(listed)
     if empty is not None:
         parts = parts.unionByName(
             empty.select("symbol", "date", zero.alias("n"), F.lit(1).alias("asked"), *[zero.alias(c) for c in counters]),
@@ -135,16 +137,18 @@ def _with_session(summary: DataFrame, calendar: DataFrame, step_seconds: int, ma
     missing = expected - F.col("on_grid_count")
     gaps = F.slice(_unset_slots(F.col("words"), F.lit(0), expected - 1), 1, max_listed)
     minutes = F.transform(gaps, lambda slot: T.clock_text(T.plus_micros(F.col("first_bar_ts"), slot * F.lit(step))))
+    if max_listed > 0:
+        missing_text = F.when(missing > 0, V.listed(minutes, missing, max_listed)).otherwise(F.lit(""))
+        extra_text = V.listed(F.transform("extra_ts", lambda ts: T.clock_text(ts)), F.col("extra_count_int"), max_listed)
+    else:
+        missing_text = extra_text = F.lit("")
     return (
         joined.withColumn("expected_count_int", expected)
         .withColumn("missing_count_int", missing)
         .withColumn("unique_count_int", F.col("on_grid_count") + F.col("extra_count_int"))
         .withColumn("duplicate_count_int", F.col("bar_count_int") - F.col("unique_count_int"))
-        .withColumn("missing_str", F.when(missing > 0, V.listed(minutes, missing, max_listed)).otherwise(F.lit("")))
-        .withColumn(
-            "extra_str",
-            V.listed(F.transform("extra_ts", lambda ts: T.clock_text(ts)), F.col("extra_count_int"), max_listed),
-        )
+        .withColumn("missing_str", missing_text)
+        .withColumn("extra_str", extra_text)
         .withColumn("is_session", F.col("first_bar_ts").isNotNull())
     )
 
@@ -212,17 +216,11 @@ def issue_report(
 
 
 def issue_dates(issues: DataFrame, limit: int = 30) -> DataFrame:
-    """Per issue kind: how many dates, and the first ones."""
-    kinds = issues.select("date", F.explode(F.split("issue_str", ",")).alias("issue")).groupBy("issue", "date").agg(
-        F.count(F.lit(1)).alias("series_count")
-    )
-    rank = F.row_number().over(W.partitionBy("issue").orderBy("date"))
-    first = kinds.withColumn("rank", rank).where(F.col("rank") <= limit).select("issue", F.col("date").alias("listed"))
-    counted = kinds.select("issue", "date", F.lit(None).cast("date").alias("listed"))
-    both = counted.unionByName(first.withColumn("date", F.lit(None).cast("date")))
-    return both.groupBy("issue").agg(
-        F.count("date").alias("date_count"),
-        F.array_join(F.transform(F.sort_array(F.collect_list("listed")), lambda d: d.cast("string")), " ").alias("first_dates"),
+    """Per issue kind: how many dates, and the first ones. The lists hold calendar dates, not bars."""
+    kinds = issues.select("date", F.explode(F.split("issue_str", ",")).alias("issue")).distinct()
+    first = F.slice(F.sort_array(F.collect_list("date")), 1, limit)
+    return kinds.groupBy("issue").agg(
+        F.count(F.lit(1)).alias("date_count"), F.array_join(F.transform(first, lambda d: d.cast("string")), " ").alias("first_dates")
     )
 
 
@@ -237,7 +235,8 @@ def session_check(
     """Status of every (symbol, date): empty, partial, complete, or no_session.
 
     ``bars`` carries the ``date`` its rows were filed under, so bars of another day count as extra.
-    Extras and duplicates do not make a session incomplete.
+    Extras and duplicates do not make a session incomplete. With ``max_listed`` 0 only counts are
+    reported.
     """
     counters = dict(counters or {})
     summary = session_summary(bars, calendar, step_seconds, max_listed, counters, requested)

@@ -120,14 +120,13 @@ def year_chunks(plan: DataFrame, calendar: DataFrame, now: Column) -> DataFrame:
         F.max("date").alias("last_date"),
         F.sort_array(F.collect_list("date")).alias("wanted_dates"),
     )
-    inside = chunks.select("symbol", "label", F.explode(F.sequence("first_date", "last_date")).alias("date")).join(
-        calendar.select("date"), "date", "left_semi"
-    )
+    facts = ["wanted_count", "first_date", "last_date", "wanted_dates"]
+    inside = chunks.withColumn("date", F.explode(F.sequence("first_date", "last_date"))).join(calendar.select("date"), "date", "left_semi")
     spans = inside.groupBy("symbol", "label").agg(
-        F.count(F.lit(1)).alias("session_count"), F.sort_array(F.collect_list("date")).alias("session_dates")
+        *[F.any_value(c).alias(c) for c in facts], F.count(F.lit(1)).alias("session_count"), F.sort_array(F.collect_list("date")).alias("session_dates")
     )
     end = T.from_wall(F.date_add("last_date", YEAR_END_MARGIN_DAYS))
-    return chunks.join(spans, ["symbol", "label"]).select(
+    return spans.select(
         "symbol", "label", "wanted_count", "first_date", "last_date", "session_count", "wanted_dates", "session_dates",
         F.when(end < now, F.date_format(end, "yyyyMMdd-HH:mm:ss")).otherwise(F.lit("")).alias("end_str"),
     )

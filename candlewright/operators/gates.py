@@ -48,7 +48,7 @@ def merge_gate(
         "sanity_issue_count_int": K.broken_candles(),
         "bad_tick_count_int": bad_tick if bad_tick is not None else F.lit(False),
     }
-    checked = K.session_check(staged, calendar, None, step_seconds, counters=counters)
+    checked = K.session_check(staged, calendar, None, step_seconds, 0, counters)
     # A day outside the calendar has no expected minutes, so its missing count is zero.
     missing = F.when(F.col("status_str") == "no_session", F.lit(0).cast("bigint")).otherwise(F.col("missing_count_int"))
     partial = F.col("status_str") == "partial"

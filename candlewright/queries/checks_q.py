@@ -37,9 +37,8 @@ def session_check(spark, sf_dir):
 def in_session(spark, sf_dir):
     """Bars inside a session that closes early on one day, counted per type and date."""
     kept = K.in_session(A.event_labels(spark, sf_dir), A.calendar(spark, early=True))
-    return kept.groupBy("symbol", "date").agg(
-        F.count(F.lit(1)).alias("bar_count"), F.min(A.text("ts")).alias("first_bar"), F.max(A.text("ts")).alias("last_bar")
-    )
+    spans = kept.groupBy("symbol", "date").agg(F.count(F.lit(1)).alias("bar_count"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return spans.select("symbol", "date", "bar_count", A.text("first_ts").alias("first_bar"), A.text("last_ts").alias("last_bar"))
 
 
 def core_hours_check(spark, sf_dir):

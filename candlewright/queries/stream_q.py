@@ -72,8 +72,10 @@ REPORTS = {
     ),
     "stream_gaps": (
         stream_gaps,
-        VERSIONS
+        VERSIONS.replace("newest AS", "any_newest AS")
         + f""", {A.SQL_MINUTE_CALENDAR},
+kept AS (SELECT p.* FROM polled p JOIN cal c ON c.date = CAST(p.ts AS DATE) AND p.ts BETWEEN first_ts AND last_ts AND arrival <= last_ts + INTERVAL 390 SECOND),
+newest AS (SELECT symbol, ts, max(arrival) AS arrival FROM kept WHERE ts <= reach AND ts >= reach - INTERVAL 4 MINUTE GROUP BY 1, 2),
 clock AS (SELECT CAST(ts AS DATE) AS date, date_trunc('minute', max(arrival) - INTERVAL 30 SECOND) - INTERVAL 1 MINUTE AS reach FROM newest GROUP BY 1),
 so_far AS (SELECT c.date, first_ts, least(last_ts, reach) AS last_ts FROM cal c JOIN clock k ON k.date = c.date WHERE least(last_ts, reach) >= first_ts),
 pairs AS (SELECT symbol, CAST(ts AS DATE) AS date, count(*) AS n FROM newest GROUP BY 1, 2),

@@ -19,8 +19,11 @@ def _zone_rows(spark, sf_dir):
 def week_slices(spark, sf_dir):
     """Rows of Monday 09:30 to Friday 15:59, counted per week and type."""
     sliced = Z.week_slices(_zone_rows(spark, sf_dir))
-    return sliced.groupBy("week", "event_type").agg(
-        F.count(F.lit(1)).alias("row_count"), F.min(F.date_format("ny_timestamp", NTZ)).alias("first_row"), F.max(F.date_format("ny_timestamp", NTZ)).alias("last_row")
+    counted = sliced.groupBy("week", "event_type").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("ny_timestamp").alias("low"), F.max("ny_timestamp").alias("high")
+    )
+    return counted.select(
+        "week", "event_type", "row_count", F.date_format("low", NTZ).alias("first_row"), F.date_format("high", NTZ).alias("last_row")
     )
 
 

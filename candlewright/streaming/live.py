@@ -115,18 +115,25 @@ def run_live(
 ) -> str:
     """Start the live stream; returns the folder that holds ``bars`` and, with a calendar, ``polls``.
 
-    ``trigger`` defaults to everything available now; a running service passes
+    With a calendar only bars inside their session count, and a session stops taking versions a few
+    minutes after its close. ``trigger`` defaults to everything available now; a running service passes
     ``{"processingTime": "1 minute"}`` and ``wait=False``.
     """
     spark = versions.sparkSession
     folder = run_folder(spark, label)
-    newest = newest_versions(accepted(versions, backfill_until), streaming=True)
+    received = accepted(versions, backfill_until)
+    if calendar is not None:
+        received = until_session_end(received, calendar)
+    newest = newest_versions(received, streaming=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        if calendar is None:
+            write_batch(batch, batch_id, f"{folder}/bars")
+            return
         batch.persist()
         try:
             write_batch(batch, batch_id, f"{folder}/bars")
-            if calendar is not None:
+            if not batch.isEmpty():
                 clock = batch.groupBy(T.wall_date(F.col("ts")).alias("date")).agg(F.max("arrival_ts").alias("arrival_ts"))
                 # Only the dates of this batch are checked again; the date prunes the stored folders.
                 touched = stored_dates(batch.sparkSession, f"{folder}/bars", clock)
