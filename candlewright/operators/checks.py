@@ -1,8 +1,8 @@
 """Completeness checks of bars against sessions.
 
-The hot path never explodes a minute grid and never groups raw rows by timestamp alone. A bar on the
-session grid is a slot number; 64 slots share one long, so a map-side ``bit_or`` turns the bars of a
-session into a handful of rows before the first shuffle. Only bars off the grid keep their own
+The hot path never explodes a minute grid and never groups raw rows by timestamp alone. A bar in the
+phase of its day's grid is a slot number; 64 slots share one long, so a map-side ``bit_or`` turns the
+bars of a day into a handful of rows before the first shuffle. Only bars out of phase keep their own
 timestamp. Duplicates, gaps and extras then follow from bit counts.
 """
 
@@ -34,56 +34,76 @@ def _word(slot: Column) -> Column:
     return F.floor(slot / F.lit(64)).cast("int")
 
 
-def _is_set(words: Column, slot: Column) -> Column:
-    word = F.coalesce(F.element_at(words, _word(slot)), F.lit(0).cast("bigint"))
-    return word.bitwiseAND(_bit(slot)) != 0
+def _missing_words(words: Column, bits: str, low: Column, high: Column) -> Column:
+    """Per 64 slots of ``low .. high``: the slots whose bit is not set in ``words``, as a mask."""
+    ones = F.lit(-1).cast("bigint")
 
+    def missing(word: Column) -> Column:
+        start = F.greatest(low - word * 64, F.lit(0)).cast("int")
+        end = F.least(high - word * 64, F.lit(63)).cast("int")
+        expected = F.call_function("shiftleft", ones, start).bitwiseAND(F.call_function("shiftrightunsigned", ones, F.lit(63) - end))
+        own = F.get(F.filter(words, lambda w: w["word"] == word), 0)[bits]
+        return F.struct(word.alias("word"), expected.bitwiseAND(F.bitwise_not(F.coalesce(own, F.lit(0).cast("bigint")))).alias("bits"))
+
+    return F.transform(F.sequence(_word(low), _word(high)), missing)
+
+
+def _first_slots(words: Column, bits: str, limit: int) -> Column:
+    """The first slots whose bit is set; words beyond the limit are not opened."""
+    positions = F.sequence(F.lit(0), F.lit(63))
+
+    def add(found: Column, word: Column) -> Column:
+        set_bits = F.filter(positions, lambda b: F.getbit(word[bits], b) == 1)
+        slots = F.transform(set_bits, lambda b: word["word"].cast("bigint") * 64 + b)
+        enough = (F.size(found) >= limit) | (F.coalesce(word[bits], F.lit(0).cast("bigint")) == 0)
+        return F.when(enough, found).otherwise(F.concat(found, slots))
+
+    return F.slice(F.aggregate(words, F.array().cast("array<bigint>"), add), 1, limit)
 
-def _unset_slots(words: Column, low: Column, high: Column) -> Column:
-    slots = F.when(low <= high, F.sequence(low.cast("bigint"), high.cast("bigint"))).otherwise(
-        F.array().cast("array<bigint>")
-    )
-    return F.filter(slots, lambda slot: ~_is_set(words, slot))
 
+WORDS = "array<struct<word:int,inside:bigint,outside:bigint>>"
 
-def _words_map(word: str = "word", bits: str = "bits") -> Column:
-    # At most one row per word reaches a group: the size is bounded by the session grid.
-    pair = F.when(F.col(bits).isNotNull(), F.struct(F.col(word), F.col(bits)))
-    return F.map_from_entries(F.collect_list(pair))
+# New York instants of a date lie within 30 hours of its UTC midnight.
+DAY_SPAN = 30 * 3600 * T.MICROS_PER_SECOND
+
+
+def _anchor(step: int) -> Column:
+    """Microseconds of slot 0 of a date: its UTC midnight, moved to the phase of the session grid."""
+    midnight = T.micros(F.col("date").cast("timestamp"))
+    return midnight + F.coalesce(F.pmod(T.micros(F.col("first_bar_ts")) - midnight, F.lit(step)), F.lit(0))
 
 
 def _slot_rows(bars: DataFrame, calendar: DataFrame, step_seconds: int, counters: Mapping[str, Column]) -> DataFrame:
-    """(symbol, date, word, off_ts) -> row count, slot bits and summed counters."""
+    """(symbol, date, word, off_ts) -> row count, bits inside and outside the session, summed counters."""
     step = step_seconds * T.MICROS_PER_SECOND
-    grid = calendar.select("date", "first_bar_ts", "last_bar_ts")
-    joined = bars.join(grid, "date", "left")
-    offset = T.micros(F.col("ts")) - T.micros(F.col("first_bar_ts"))
-    on_grid = F.coalesce(
-        (F.col("ts") >= F.col("first_bar_ts")) & (F.col("ts") <= F.col("last_bar_ts")) & (F.pmod(offset, F.lit(step)) == 0),
-        F.lit(False),
-    )
+    joined = bars.join(calendar.select("date", "first_bar_ts", "last_bar_ts"), "date", "left")
+    offset = T.micros(F.col("ts")) - _anchor(step)
+    in_phase = (F.pmod(offset, F.lit(step)) == 0) & offset.between(0, DAY_SPAN)
     slot = F.floor(offset / F.lit(step))
+    in_session = F.coalesce(F.col("ts").between(F.col("first_bar_ts"), F.col("last_bar_ts")), F.lit(False))
     keyed = joined.select(
         "symbol",
         "date",
-        F.when(on_grid, _word(slot)).alias("word"),
-        F.when(~on_grid, F.col("ts")).alias("off_ts"),
-        F.when(on_grid, _bit(slot)).alias("bit"),
+        F.when(in_phase, _word(slot)).alias("word"),
+        F.when(~in_phase, F.col("ts")).alias("off_ts"),
+        F.when(in_phase & in_session, _bit(slot)).alias("inside"),
+        F.when(in_phase & ~in_session, _bit(slot)).alias("outside"),
         *[F.coalesce(flag, F.lit(False)).cast("int").alias(name) for name, flag in counters.items()],
     )
     return keyed.groupBy("symbol", "date", "word", "off_ts").agg(
         F.count(F.lit(1)).alias("n"),
-        F.bit_or("bit").alias("bits"),
+        F.bit_or("inside").alias("inside"),
+        F.bit_or("outside").alias("outside"),
         *[F.sum(name).alias(name) for name in counters],
     )
 
 
-def _first_extras(rows: DataFrame, limit: int) -> DataFrame:
-    """The first off-grid timestamps per (symbol, date). The rank limit is applied before the shuffle."""
-    # Both conditions read aggregates, so the rows come from the exchange that is already there.
-    off_grid = rows.where(F.col("bits").isNull() & (F.col("n") > 0))
+def _first_off_phase(rows: DataFrame, limit: int) -> DataFrame:
+    """The first out-of-phase timestamps per (symbol, date). The rank limit is applied before the shuffle."""
+    # The condition reads aggregates only, so the rows come from the exchange that is already there.
+    off_phase = rows.where(F.col("inside").isNull() & F.col("outside").isNull() & (F.col("n") > 0))
     rank = F.row_number().over(W.partitionBy("symbol", "date").orderBy("off_ts"))
-    return off_grid.withColumn("rank", rank).where(F.col("rank") <= limit)
+    return off_phase.withColumn("rank", rank).where(F.col("rank") <= limit)
 
 
 def session_summary(
@@ -103,26 +123,28 @@ def session_summary(
     rows = _slot_rows(bars, calendar, step_seconds, counters)
     no_ts = F.lit(None).cast("timestamp")
     zero = F.lit(0).cast("bigint")
-    counted = rows.select("symbol", "date", "word", "off_ts", "n", "bits", no_ts.alias("listed_ts"), F.lit(0).alias("asked"), *counters)
-    parts = counted
+    parts = rows.select(
+        "symbol", "date", "word", "off_ts", "n", "inside", "outside", no_ts.alias("listed_ts"), F.lit(0).alias("asked"), *counters
+    )
     if max_listed > 0:
-        listed = _first_extras(rows, max_listed).select(
-            "symbol", "date", F.lit(None).cast("int").alias("word"), no_ts.alias("off_ts"),
-            zero.alias("n"), F.lit(None).cast("bigint").alias("bits"), F.col("off_ts").alias("listed_ts"), F.lit(0).alias("asked"),
-            *[zero.alias(name) for name in counters],
+        listed = _first_off_phase(rows, max_listed).select(
+            "symbol", "date", F.col("off_ts").alias("listed_ts"), zero.alias("n"), F.lit(0).alias("asked"), *[zero.alias(c) for c in counters]
         )
-        parts = counted.unionByName(listed)
+        parts = parts.unionByName(listed, allowMissingColumns=True)
     if empty is not None:
         parts = parts.unionByName(
             empty.select("symbol", "date", zero.alias("n"), F.lit(1).alias("asked"), *[zero.alias(c) for c in counters]),
             allowMissingColumns=True,
         )
+    bits = lambda name: F.coalesce(F.sum(F.bit_count(name)), F.lit(0)).cast("bigint")
+    # At most one entry per 64 slots of a day reaches the list.
+    entry = F.when(F.col("word").isNotNull(), F.struct("word", "inside", "outside"))
     return parts.groupBy("symbol", "date").agg(
         F.sum("n").alias("bar_count_int"),
-        F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("bigint").alias("on_grid_count"),
-        F.count("off_ts").alias("extra_count_int"),
-        _words_map().alias("words"),
-        F.sort_array(F.collect_list("listed_ts")).alias("extra_ts"),
+        bits("inside").alias("on_grid_count"),
+        (bits("outside") + F.count("off_ts")).alias("extra_count_int"),
+        F.sort_array(F.collect_list(entry)).alias("words"),
+        F.sort_array(F.collect_list("listed_ts")).alias("off_ts"),
         (F.max("asked") == 1).alias("asked"),
         *[F.sum(name).alias(name) for name in counters],
     )
@@ -132,14 +154,20 @@ def _with_session(summary: DataFrame, calendar: DataFrame, step_seconds: int, ma
     """Attach expected counts and render the missing and extra minutes."""
     step = step_seconds * T.MICROS_PER_SECOND
     grid = calendar.select("date", "first_bar_ts", "bar_count_int").withColumnRenamed("bar_count_int", "expected")
-    joined = summary.join(grid, "date", "left")
+    joined = summary.join(grid, "date", "left").withColumn("anchor", _anchor(step))
     expected = F.coalesce("expected", F.lit(0)).cast("bigint")
     missing = expected - F.col("on_grid_count")
-    gaps = F.slice(_unset_slots(F.col("words"), F.lit(0), expected - 1), 1, max_listed)
-    minutes = F.transform(gaps, lambda slot: T.clock_text(T.plus_micros(F.col("first_bar_ts"), slot * F.lit(step))))
+    label = lambda slot: F.timestamp_micros(F.col("anchor") + slot * F.lit(step))
     if max_listed > 0:
-        missing_text = F.when(missing > 0, V.listed(minutes, missing, max_listed)).otherwise(F.lit(""))
-        extra_text = V.listed(F.transform("extra_ts", lambda ts: T.clock_text(ts)), F.col("extra_count_int"), max_listed)
+        first_slot = F.floor((T.micros(F.col("first_bar_ts")) - F.col("anchor")) / F.lit(step))
+        missing_words = _missing_words(F.col("words"), "inside", first_slot, first_slot + expected - 1)
+        gaps = _first_slots(missing_words, "bits", max_listed)
+        extras = F.transform(_first_slots(F.col("words"), "outside", max_listed), label)
+        first_extras = F.slice(F.sort_array(F.concat(extras, "off_ts")), 1, max_listed)
+        clock = lambda stamps: F.transform(stamps, lambda ts: T.clock_text(ts))
+        listed = lambda stamps, total: F.when(total > 0, V.listed(clock(stamps), total, max_listed)).otherwise(F.lit(""))
+        missing_text = listed(F.transform(gaps, label), missing)
+        extra_text = listed(first_extras, F.col("extra_count_int"))
     else:
         missing_text = extra_text = F.lit("")
     return (
@@ -198,8 +226,8 @@ def issue_report(
         "symbol",
         F.col("day").alias("date"),
         *[F.when(own, F.col(c)).otherwise(zero).alias(c) for c in ("bar_count_int", "on_grid_count", "extra_count_int")],
-        F.when(own, F.col("words")).otherwise(F.create_map().cast("map<int,bigint>")).alias("words"),
-        F.when(own, F.col("extra_ts")).otherwise(F.array().cast("array<timestamp>")).alias("extra_ts"),
+        F.when(own, F.col("words")).otherwise(F.array().cast(WORDS)).alias("words"),
+        F.when(own, F.col("off_ts")).otherwise(F.array().cast("array<timestamp>")).alias("off_ts"),
     )
     checked = _with_session(every, calendar, step_seconds, max_listed)
     has_bars = F.col("bar_count_int") > 0
@@ -330,16 +358,13 @@ def core_hours_check(
     )
     low_slot = F.floor((T.micros(low_ts) - T.micros(core_start)) / F.lit(step))
     span = F.floor((T.micros(high_ts) - T.micros(low_ts)) / F.lit(step))
-    anchored = merged.withColumn("low_ts", low_ts).withColumn("low_slot", low_slot).withColumn("span", span).withColumn(
-        "words", F.map_from_entries(pairs)
-    )
+    anchored = merged.withColumn("low_ts", low_ts).withColumn("low_slot", low_slot).withColumn("span", span).withColumn("words", pairs)
     has_span = F.coalesce(F.col("span") >= 0, F.lit(False))
-    gaps = F.when(
-        has_span, _unset_slots(F.col("words"), F.col("low_slot"), F.col("low_slot") + F.col("span"))
-    ).otherwise(F.array().cast("array<bigint>"))
-    result = anchored.withColumn("gaps", gaps).withColumn("missing_count_int", F.size("gaps").cast("bigint"))
+    gap_words = F.when(has_span, _missing_words(F.col("words"), "bits", F.col("low_slot"), F.col("low_slot") + F.col("span")))
+    total = F.aggregate("gap_words", F.lit(0).cast("bigint"), lambda count, w: count + F.bit_count(w["bits"]))
+    result = anchored.withColumn("gap_words", gap_words).withColumn("missing_count_int", F.coalesce(total, F.lit(0)))
     texts = F.transform(
-        F.slice("gaps", 1, max_listed),
+        _first_slots(F.col("gap_words"), "bits", max_listed),
         lambda slot: T.clock_text(T.plus_micros(F.col("low_ts"), (slot - F.col("low_slot")) * F.lit(step))),
     )
     status = (
@@ -359,7 +384,7 @@ def core_hours_check(
         (F.col("day_rows") - F.col("bar_count_int")).alias("duplicate_count_int"),
         F.coalesce(T.clock_text(F.col("first_ts")), F.lit("")).alias("first_bar_str"),
         F.coalesce(T.clock_text(F.col("last_ts")), F.lit("")).alias("last_bar_str"),
-        V.listed_plain(texts, F.col("missing_count_int"), max_listed).alias("missing_str"),
+        F.when(F.col("missing_count_int") > 0, V.listed_plain(texts, F.col("missing_count_int"), max_listed)).otherwise(F.lit("")).alias("missing_str"),
         F.when(extra > 0, F.concat(extra.cast("string"), F.lit(" bar(s) of another date"))).otherwise(F.lit("")).alias("extra_str"),
         *counters,
     )
