@@ -487,6 +487,14 @@ def session_text(bars: DataFrame, calendar: DataFrame, order: str) -> DataFrame:
     return first.select("symbol", *text_columns())
 
 
+def day_text(bars: DataFrame, order: str) -> DataFrame:
+    """Text rows of index days: bars of the day they were asked for, first row per label, no session limit."""
+    own = bars.where(T.wall_date(F.col("ts")) == F.col("date"))
+    values = ["open", "high", "low", "close", "volume"]
+    first = own.groupBy("symbol", "date", "ts").agg(*[F.min_by(v, order).alias(v) for v in values])
+    return first.select("symbol", *text_columns())
+
+
 def text_columns() -> list[Column]:
     """Typed bar -> the eight text cells of a bar file."""
     return [

@@ -66,15 +66,18 @@ def has_extension(path: str, extension: str) -> bool:
 def period_catalog(spark: SparkSession, folder: str) -> DataFrame:
     """Bar files of a folder with period, kind, bounds and size, oldest and longest span first.
 
-    The ``binaryFile`` source lists files on the cluster; its content column is never read.
+    The ``binaryFile`` source lists files on the cluster; its content column is never read. Files in
+    subfolders (days already merged, for example) do not belong to the folder.
     """
     columns = ["file_path_str", "file_name_str", "period_str", "period_kind_str", "first_date", "last_date", "length"]
     if not exists(spark, folder):
         empty = spark.range(0)
         types = {"first_date": "date", "last_date": "date", "length": "bigint"}
         return empty.select(*[F.lit(None).cast(types.get(c, "string")).alias(c) for c in columns])
-    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*").select("path", "length")
+    own = _hadoop(spark, folder)[1].toUri().getPath().rstrip("/")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"{P.FILE_PREFIX}_*.csv").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
+    files = found.select("path", "length").where(F.col("path").endswith(F.concat(F.lit(f"{own}/"), name)))
     named = files.select(F.col("path").alias("file_path_str"), name.alias("file_name_str"), "length").withColumn(
         "period_str", P.period_of_file(F.col("file_name_str"))
     )

@@ -170,6 +170,14 @@ def test_session_text_is_first_row_per_minute(spark):
     ]
 
 
+def test_day_text_keeps_every_bar_of_the_day(spark):
+    stamps = ["2026-09-14 03:15:00", "2026-09-14 16:14:00", "2026-09-14 16:14:00", "2026-09-13 10:00:00"]
+    rows = [("v", ny(t).astimezone(UTC), 20.0 + i, 21.0, 19.5, 20.5, float(2**127 - 1) if i else 0.0, i) for i, t in enumerate(stamps)]
+    bars = spark.createDataFrame(rows, "symbol string, ts timestamp, open double, high double, low double, close double, volume double, pos bigint")
+    text = K.day_text(bars.withColumn("date", F.lit("2026-09-14").cast("date")), "pos").orderBy("timestamp").collect()
+    assert [(r["timestamp"], r["open"], r["volume"]) for r in text] == [("2026-09-14 03:15:00-04:00", "20.0", "0"), ("2026-09-14 16:14:00-04:00", "21.0", "")]
+
+
 def test_edge_bars_of_a_short_session_repeat(spark):
     rows = [("x", "2026-09-14", t) for t in minutes("2026-09-14", "09:30", "09:33")]
     bars = filed(spark, rows).selectExpr("*", "1.0D open", "1.0D high", "1.0D low", "1.0D close")

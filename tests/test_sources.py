@@ -32,6 +32,10 @@ def test_bar_files_stay_text(spark, tmp_path):
 def test_period_catalog(spark, tmp_path):
     for name in ("ohlcv_data_2024.csv", "ohlcv_data_202401.csv", "ohlcv_data_20240101.csv", "ohlcv_data_20231231.csv", "notes.txt", "ohlcv_live_20240101.csv"):
         (tmp_path / name).write_text("timestamp\n")
+    (tmp_path / "merged").mkdir()
+    (tmp_path / "merged" / "ohlcv_data_20240102.csv").write_text("timestamp\n")
+    (tmp_path / "empty").mkdir()
+    assert FS.period_catalog(spark, str(tmp_path / "empty")).count() == 0
     rows = FS.period_catalog(spark, str(tmp_path)).collect()
     assert [r["period_str"] for r in rows] == ["20231231", "2024", "202401", "20240101"] and rows[0]["length"] == 10
     assert FS.period_catalog(spark, str(tmp_path / "absent")).count() == 0
