@@ -73,6 +73,11 @@ def merge_conflicts(stacked: DataFrame, keys: list[str] = KEY) -> DataFrame:
     return conflict_flags(stacked, keys).where("conflict").select(*keys, "copies")
 
 
+def first_conflicts(stacked: DataFrame, keys: list[str] = KEY, limit: int = 10) -> DataFrame:
+    """The earliest conflicting keys; sort and limit become one top-k per task."""
+    return merge_conflicts(stacked, keys).orderBy("ts", *keys).limit(limit)
+
+
 def merge_stats(stacked: DataFrame, keys: list[str] = KEY, by: list[str] | None = None) -> DataFrame:
     """Rows in and out, duplicates and conflicting keys."""
     by = by or []

@@ -42,8 +42,8 @@ def in_session(spark, sf_dir):
 
 
 def core_hours_check(spark, sf_dir):
-    """Hourly core check 09:00-15:00 per event type and weekday."""
-    bars = A.event_bars(spark, sf_dir).select("symbol", "date", "ts").where(F.weekday("date") < 5)
+    """Hourly core check 09:00-15:00 per event type and day."""
+    bars = A.event_bars(spark, sf_dir).select("symbol", "date", "ts")
     return K.core_hours_check(bars, None, "09:00", "15:00", A.HOUR, 3)
 
 
@@ -180,7 +180,7 @@ FROM bars JOIN spans ON CAST(ts AS DATE) = date AND ts BETWEEN first_ts AND last
     ),
     "core_hours_check": (
         core_hours_check,
-        "WITH bars AS (SELECT event_type AS symbol, CAST(ts AS DATE) AS date, date_trunc('hour', ts) AS ts FROM events WHERE isodow(ts) < 6),"
+        "WITH bars AS (SELECT event_type AS symbol, CAST(ts AS DATE) AS date, date_trunc('hour', ts) AS ts FROM events),"
         + SQL_CORE.format(n=3),
     ),
     "core_hours_check_by_user": (

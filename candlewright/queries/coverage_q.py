@@ -79,9 +79,8 @@ def coverage_status(spark, sf_dir):
 
 
 def date_rows(spark, sf_dir):
-    """Rows of one session date, read only from the periods that cover it."""
-    day = F.lit("1998-10-05").cast("date")
-    rows = A.order_dates(spark, sf_dir).where(F.col("date") == day)
+    """Rows of every session date, with the period whose file covers the date."""
+    rows = A.order_dates(spark, sf_dir)
     period = P.period_for_date(F.col("date"), F.lit("2001-09-14").cast("date"))
     return rows.groupBy("symbol", "date", period.alias("period_str")).agg(
         F.count(F.lit(1)).alias("row_count"), F.round(F.sum("o_totalprice"), 2).alias("total")
@@ -144,7 +143,8 @@ FROM grid g LEFT JOIN s ON s.symbol = g.symbol AND s.bar_kind = g.bar_kind AND s
     ),
     "date_rows": (
         date_rows,
-        """SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date, '1998' AS period_str, count(*) AS row_count, round(sum(o_totalprice), 2) AS total
-FROM orders WHERE o_orderdate = TIMESTAMP '1998-10-05' GROUP BY 1, 2""",
+        """SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
+  CASE WHEN year(o_orderdate) < 2001 THEN strftime(o_orderdate, '%Y') WHEN month(o_orderdate) < 9 THEN strftime(o_orderdate, '%Y%m')
+    ELSE strftime(o_orderdate, '%Y%m%d') END AS period_str, count(*) AS row_count, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1, 2, 3""",
     ),
 }

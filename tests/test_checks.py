@@ -191,3 +191,25 @@ def test_plan_ranks_before_the_shuffle_and_reuses_the_exchange(spark):
     assert "WindowGroupLimit" in plan and "BroadcastHashJoin" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     report.collect()
     assert "ReusedExchange" in report._jdf.queryExecution().executedPlan().toString()
+
+
+def test_slot_masks_match_plain_sets(spark):
+    rng = random.Random(11)
+    rows = []
+    for case in range(60):
+        low = rng.randrange(0, 200)
+        high = low + rng.randrange(0, 500)
+        have = sorted(rng.sample(range(low, high + 1), rng.randrange(0, high - low + 2)))
+        words = {}
+        for slot in have:
+            words[slot // 64] = words.get(slot // 64, 0) | (1 << slot % 64)
+        signed = [(w, b - (1 << 64) if b >= 1 << 63 else b) for w, b in sorted(words.items())]
+        rows.append((case, low, high, [s for s in range(low, high + 1) if s not in have][:7], have[:7], signed))
+    frame = spark.createDataFrame(
+        rows, "case int, low bigint, high bigint, gaps array<bigint>, have array<bigint>, words array<struct<word:int,inside:bigint>>"
+    )
+    missing = K._missing_words(F.col("words"), "inside", F.col("low"), F.col("high"))
+    checked = frame.select(
+        (K._first_slots(missing, "bits", 7) == F.col("gaps")).alias("gaps_ok"), (K._first_slots(F.col("words"), "inside", 7) == F.col("have")).alias("have_ok")
+    )
+    assert checked.where("not (gaps_ok and have_ok)").count() == 0

@@ -67,3 +67,42 @@ def test_snapshot_guard_actions(spark):
     assert M.frames_equal(old, old).first()["equal"] and not M.frames_equal(old, new).first()["equal"]
     delta = M.row_count_delta(old, new).first()
     assert (delta["before_count"], delta["after_count"], delta["row_count_diff"]) == (7, 7, 0)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copies_of_one_key_are_reduced_before_the_shuffle(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("symbol"), F.lit("2025-01-02").cast("timestamp").alias("ts"),
+        F.col("id").cast("string").alias("close"), F.col("id").alias("pos"),
+    )
+    stacked = M.stack_sources([rows], order="pos")
+    merged = M.merged_rows(stacked)
+    for frame in (merged, M.conflict_flags(stacked), M.kv_upsert(rows.selectExpr("symbol key", "close value", "pos"), rows.selectExpr("symbol key", "close value", "pos"), order="pos")):
+        plan = plan_of(frame)
+        assert "Window" not in plan and "partial_" in plan and plan.count("Exchange hashpartitioning") == 1
+    hot = merged.where("symbol = 'hot'").first()
+    assert (hot["close"], hot["copies"], hot["conflict"]) == ("0", 1000, True)
+    assert "HashAggregate" in plan_of(M.conflict_flags(stacked)) and "SortAggregate" not in plan_of(M.conflict_flags(stacked))
+
+
+def test_first_conflicts_are_the_earliest(spark):
+    rows = [("a", f"2025-01-{d:02d}", v, i) for i, (d, v) in enumerate([(3, "1"), (3, "2"), (1, "1"), (1, "3"), (2, "1"), (2, "1.0")])]
+    frame = spark.createDataFrame(rows, "symbol string, ts string, close string, pos bigint").withColumn("ts", F.to_timestamp("ts"))
+    found = M.first_conflicts(M.stack_sources([frame], order="pos"), limit=1)
+    assert [str(r["ts"])[:10] for r in found.collect()] == ["2025-01-01"] and "TakeOrderedAndProject" in plan_of(found)
+
+
+def test_audit_agrees_with_stats_and_verification(spark):
+    make = lambda rows: spark.createDataFrame([(t, s, d, c, i) for i, (t, s, d, c) in enumerate(rows)], "target string, symbol string, ts string, close string, pos bigint").withColumn("ts", F.to_timestamp("ts"))
+    keys = ["target", "symbol", "ts"]
+    given = M.stack_sources([make([("x", "a", "2025-01-01", "1"), ("x", "a", "2025-01-01", ""), ("x", "b", "2025-01-01", "2"), ("y", "a", "2026-01-01", "3")])], keys, "pos")
+    kept = make([("x", "a", "2025-01-01", "1"), ("x", "b", "2025-01-01", "2"), ("y", "c", "2026-01-01", "3")])
+    audit = {r["target"]: r for r in M.merge_audit(given, kept, keys, ["target"]).collect()}
+    stats = {r["target"]: r for r in M.merge_stats(given, keys, ["target"]).collect()}
+    for target in ("x", "y"):
+        for name in ("input_row_count", "output_row_count", "duplicate_row_count", "conflict_minute_count"):
+            assert audit[target][name] == stats[target][name]
+    assert audit["x"]["verified"] and not audit["y"]["verified"] and audit["x"]["conflict_minute_count"] == 1
