@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from candlewright.operators import align as L, bars as B, calendar as C, checks as K
+from candlewright.operators import align as L, bars as B, checks as K
 from candlewright.queries import adapters as A
 
 PRICES = ["open", "high", "low", "close"]

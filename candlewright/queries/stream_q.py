@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from candlewright.functions import times as T
 from candlewright.queries import adapters as A
+from candlewright.session import run_folder, stream_session
 from candlewright.streaming import live as S
 
 
@@ -28,26 +29,25 @@ def _versions(spark, sf_dir):
 
 def stream_live(spark, sf_dir):
     """Newest version of every minute after the stream has read everything available."""
-    folder = S.run_live(_versions(spark, sf_dir), "live")
+    folder = S.run_live(_versions(stream_session(spark), sf_dir), "live")
     bars = S.live_table(spark, f"{folder}/bars")
     return bars.select("symbol", A.text("ts").alias("minute"), "close", A.text("arrival_ts").alias("arrival"))
 
 
 def stream_gaps(spark, sf_dir):
     """Missing minutes so far of every session the stream has touched."""
-    folder = S.run_live(_versions(spark, sf_dir), "live-gaps", A.calendar(spark))
+    own = stream_session(spark)
+    folder = S.run_live(_versions(own, sf_dir), "live-gaps", A.calendar(own))
     return S.poll_table(spark, folder)
 
 
 def stream_minute_bars(spark, sf_dir):
     """Five-minute bars of the event stream, written per batch and read back."""
     schema = A.table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    source = stream_session(spark).readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     ticks = source.select(
         F.col("event_type").alias("symbol"), T.from_wall(F.col("ts")).alias("ts"), F.col("value").alias("price"), F.lit(1.0).alias("volume")
     )
-    from candlewright.session import run_folder
-
     folder = run_folder(spark, "minute-bars")
     bars = S.minute_bars(ticks, "5 minutes").withColumn("arrival_ts", F.current_timestamp())
     query = (

@@ -43,22 +43,37 @@ def in_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_root: str | None = None
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder of the cluster, used for streaming state and for tables that cut lineage.
 
     Only a local session without the setting gets a folder of its own; on a cluster a
     machine-local folder would be invisible to the other executors.
     """
+    global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="candlewright-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="candlewright-")
+    return _local_root
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
     """A new, never reused path under the shared folder."""
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for a stateful stream.
+
+    State partitions are fixed for the life of a stream and every micro-batch commits all of them, so
+    they follow the cores instead of the batch shuffle setting.
+    """
+    own = in_utc(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return own

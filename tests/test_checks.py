@@ -6,7 +6,6 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import functions as F
 
 from bars import NY, calendar, minutes, ny
-from candlewright.functions import times as T
 from candlewright.operators import bars as B, calendar as C, checks as K
 
 UTC = ZoneInfo("UTC")

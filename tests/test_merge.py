@@ -80,7 +80,8 @@ def test_copies_of_one_key_are_reduced_before_the_shuffle(spark):
     )
     stacked = M.stack_sources([rows], order="pos")
     merged = M.merged_rows(stacked)
-    for frame in (merged, M.conflict_flags(stacked), M.kv_upsert(rows.selectExpr("symbol key", "close value", "pos"), rows.selectExpr("symbol key", "close value", "pos"), order="pos")):
+    pairs = rows.selectExpr("symbol key", "close value", "pos")
+    for frame in (merged, M.conflict_flags(stacked), M.kv_upsert(pairs, pairs, order="pos")):
         plan = plan_of(frame)
         assert "Window" not in plan and "partial_" in plan and plan.count("Exchange hashpartitioning") == 1
     hot = merged.where("symbol = 'hot'").first()
