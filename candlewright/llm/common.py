@@ -79,3 +79,22 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Indices of the slices [start, start + count), one after another."""
     ends = np.cumsum(counts)
     return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - counts - starts, counts)
+
+
+def numbered(frame: DataFrame, *order: Column | str, label: str = "order") -> tuple[DataFrame, int]:
+    """The sorted frame with `row_number` from 0, and its length.
+
+    Sorted parts are written once; the driver sees one count for each part. Rows that agree in all
+    sort columns take any order among themselves.
+    """
+    spark = frame.sparkSession
+    at = settle(frame.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), label)
+    part = F.shiftright("_at", 33)
+    counts = sorted((r["part"], r["n"]) for r in at.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    starts, total = [], 0
+    for p, n in counts:
+        starts.append((p, total))
+        total += n
+    bases = F.broadcast(spark.createDataFrame(starts, "_part long, _base long"))  # one row for each sorted part
+    joined = at.join(bases, part == F.col("_part"))
+    return joined.withColumn("row_number", F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at", "_part", "_base"), total

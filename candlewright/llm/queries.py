@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewright.llm import exact_dedup
+from candlewright.llm import exact_dedup, mixing, sharding
 from candlewright.llm.common import table
 
 
@@ -14,8 +14,18 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_words(table(spark, sf_dir, "documents"))
+
+
+def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_mix_sources": op5_mix_sources,
+    "op10_feistel_shards": op10_feistel_shards,
 }
 
 SQL: dict[str, str] = {
@@ -24,4 +34,36 @@ SQL: dict[str, str] = {
                row_number() OVER (same ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op5_mix_sources": r"""
+        WITH RECURSIVE sized AS (
+            SELECT doc_id, source, md5('7:' || coalesce(doc_id::VARCHAR, 'null')) AS mark,
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+            FROM sized GROUP BY source),
+        filling AS (
+            SELECT 0 AS step, 0 AS clamped, sum(source_size) / sum(weight) AS level FROM sources
+            UNION ALL
+            SELECT step + 1, n, (total - held) / open FROM (
+                SELECT step, clamped, count(*) FILTER (3 * source_size <= weight * level) AS n, sum(source_size) AS total,
+                       coalesce(sum(3 * source_size) FILTER (3 * source_size <= weight * level), 0) AS held,
+                       sum(weight) FILTER (3 * source_size > weight * level) AS open
+                FROM filling, sources GROUP BY step, clamped, level)
+            WHERE n <> clamped AND open IS NOT NULL),
+        level AS (SELECT arg_max(level, step) AS level FROM filling),
+        planned AS (
+            SELECT source, source_size, 3 * source_size <= weight * level AS capped,
+                   CASE WHEN capped THEN (3 * source_size)::DOUBLE ELSE weight * level END AS target,
+                   CASE WHEN source_size = 0 THEN 0 WHEN capped THEN 3 ELSE floor(target / source_size)::BIGINT END AS whole,
+                   target - whole * source_size AS rest
+            FROM sources, level),
+        started AS (
+            SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY mark, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM sized)
+        SELECT doc_id, size, source_size, target,
+               (size * (whole + CASE WHEN 2 * before + size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
+        FROM started JOIN planned ON started.source IS NOT DISTINCT FROM planned.source
+    """,
 }
