@@ -20,7 +20,7 @@ WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 SEED = 7
 #: Leading hex digits of the hash that make a bin.
-BIN_DIGITS = 4
+BIN_DIGITS = 3
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:

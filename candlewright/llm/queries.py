@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewright.llm import exact_dedup, mixing, sharding
+from candlewright.llm import exact_dedup, mixing, sharding, simhash
 from candlewright.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,7 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op9_simhash_trie": op9_simhash_trie,
     "op10_feistel_shards": op10_feistel_shards,
 }
 
