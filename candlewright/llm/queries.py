@@ -4,12 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewright.llm import exact_dedup, mixing, sharding, simhash
+from candlewright.llm import exact_dedup, fertility, mixing, sharding, simhash
 from candlewright.llm.common import table
 
 
+#: The byte-level vocabulary that measures fertility and encodes, and the piece vocabulary.
+BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
+
+
+def vocabularies(spark: SparkSession) -> fertility.Vocabularies:
+    return fertility.Vocabularies.load(spark, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECES), public_tokenizers.PATTERN)
+
+
+def op1_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.quality(table(spark, sf_dir, "documents"), vocabularies(spark))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -27,6 +41,7 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_tokenizer_fertility": op1_tokenizer_fertility,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op9_simhash_trie": op9_simhash_trie,
