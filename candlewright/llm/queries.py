@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewright.llm import byte_bpe, exact_dedup, fertility, mixing, sharding, simhash
+from candlewright.llm import byte_bpe, exact_dedup, fertility, mixing, pii, sharding, simhash
 from candlewright.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
 
+def op6_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.vocabulary_of(spark, public_tokenizers.path(BYTE_BPE))
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokenizer_fertility": op1_tokenizer_fertility,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix_sources": op5_mix_sources,
+    "op6_semi_markov_pii": op6_semi_markov_pii,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_feistel_shards": op10_feistel_shards,
