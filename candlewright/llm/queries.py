@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewright.llm import byte_bpe, exact_dedup, fertility, mixing, pii, sharding, simhash
+from candlewright.llm import byte_bpe, exact_dedup, fertility, mixing, pii, sharding, simhash, template
 from candlewright.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_template_deduction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokenizer_fertility": op1_tokenizer_fertility,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_template_deduction": op4_template_deduction,
     "op5_mix_sources": op5_mix_sources,
     "op6_semi_markov_pii": op6_semi_markov_pii,
     "op8_byte_bpe": op8_byte_bpe,
