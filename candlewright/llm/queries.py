@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewright.llm import byte_bpe, chat, exact_dedup, fertility, mixing, pii, sharding, simhash, template
+from candlewright.llm import brown, byte_bpe, chat, exact_dedup, fertility, mixing, pii, sharding, simhash, template
 from candlewright.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op1_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality(table(spark, sf_dir, "documents"), vocabularies(spark))
 
 
+def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.brown_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokenizer_fertility": op1_tokenizer_fertility,
+    "op2_brown_classes": op2_brown_classes,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_template_deduction": op4_template_deduction,
     "op5_mix_sources": op5_mix_sources,
