@@ -13,7 +13,6 @@ block. Decoding joins ids to the table of token bytes, whose size is that of the
 
 from __future__ import annotations
 
-import struct
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
@@ -22,53 +21,18 @@ import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from candlewright.llm.common import pieces, ragged, settle, strings
+from candlewright.llm import blocks
+from candlewright.llm.blocks import narrow, pack, split, unpack
+from candlewright.llm.common import pieces, ragged, strings
 from candlewright.llm.fertility import encoding_of, ranks_of
 
-#: Bytes of text in a block.
-BLOCK_BYTES = 16 << 20
-#: Bytes of text for each bucket of words; there are at least LEAST_BUCKETS.
-BUCKET_BYTES = 16 << 20
-LEAST_BUCKETS = 32
 #: Most frequent words of a block, whose slots come first.
 FRONT = 4096
 
-#: Packed parts: number of parts and their lengths, then the parts.
-_zip = zstandard.ZstdCompressor(level=3)
-
-
-def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays or bytes in one compressed value; integers by planes of equal significance."""
-    parts = []
-    for a in arrays:
-        a = np.ascontiguousarray(a)
-        planes = a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() if a.itemsize > 1 else a.tobytes()
-        parts.append((a.dtype.str.encode().ljust(4), planes))
-    head = struct.pack("<I", len(parts)) + b"".join(kind + struct.pack("<Q", len(data)) for kind, data in parts)
-    return _zip.compress(head + b"".join(data for _, data in parts))
-
-
-def unpack(value: bytes) -> list[np.ndarray]:
-    raw = zstandard.decompress(value)
-    (n,) = struct.unpack_from("<I", raw)
-    out, at = [], 4 + 12 * n
-    for i in range(n):
-        kind = np.dtype(raw[4 + 12 * i : 8 + 12 * i].decode().strip())
-        (size,) = struct.unpack_from("<Q", raw, 8 + 12 * i)
-        data = np.frombuffer(raw, np.uint8, size, at)
-        out.append(data.reshape(kind.itemsize, -1).T.copy().view(kind).ravel() if kind.itemsize > 1 else data.view(kind))
-        at += size
-    return out
-
-
-def _narrow(values: np.ndarray) -> np.ndarray:
-    return values.astype(np.uint16 if not len(values) or values.max() < 1 << 16 else np.uint32)
-
 
 class Block:
     """Different words of a block and the positions of its texts."""
@@ -79,10 +43,10 @@ class Block:
         self.rows: list[pa.RecordBatch] = []
         self.bytes = 0
 
-    def add(self, rows: pa.RecordBatch, texts: list[str], split) -> None:
+    def add(self, rows: pa.RecordBatch, texts: list[str], matches) -> None:
         slot = self.slots.__getitem__
         for text in texts:
-            found = split(text)
+            found = matches(text)
             self.places.append(np.fromiter(map(slot, found), np.int32, len(found)))
             self.bytes += len(text) + 1
         self.rows.append(rows)
@@ -109,8 +73,8 @@ class Block:
         for b in range(buckets):
             own = [data[i] for i in order[edges[b] : edges[b + 1]]]
             if own:
-                words.append((b, pack(_narrow(np.array(list(map(len, own)))), np.frombuffer(b"".join(own), np.uint8))))
-        return pack(lengths, _narrow(where[front]), _narrow(new[places])), words
+                words.append((b, pack(narrow(np.array(list(map(len, own)))), np.frombuffer(b"".join(own), np.uint8))))
+        return pack(lengths, narrow(where[front]), narrow(new[places])), words
 
 
 def _exploded(docs: DataFrame, row: list, text_col: str, buckets: int, pattern: str) -> DataFrame:
@@ -120,7 +84,7 @@ def _exploded(docs: DataFrame, row: list, text_col: str, buckets: int, pattern:
     inner = to_arrow_type(kind)
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = regex.compile(pattern).findall
+        matches = regex.compile(pattern).findall
         number = TaskContext.get().partitionId() << 33
 
         def flush(block: Block) -> pa.RecordBatch:
@@ -136,9 +100,9 @@ def _exploded(docs: DataFrame, row: list, text_col: str, buckets: int, pattern:
             return pa.RecordBatch.from_arrays(columns, names=["block", "bucket", "packed", "rows"])
 
         block = Block()
-        for piece in pieces(batches, "text"):
-            block.add(piece, strings(piece.column("text")).to_pylist(), split)
-            if block.bytes >= BLOCK_BYTES:
+        for piece in pieces(batches, "text", 2 << 20):
+            block.add(piece, strings(piece.column("text")).to_pylist(), matches)
+            if block.bytes >= blocks.BLOCK_BYTES:
                 yield flush(block)
                 block, number = Block(), number + 1
         if block.rows:
@@ -159,49 +123,52 @@ def _encoded(words: DataFrame, vocabulary: Broadcast, pattern: str) -> DataFrame
             for block, b, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "packed"))):
                 if b != bucket:
                     known, bucket = {}, b
-                lengths, data = unpack(packed)
-                ends, data = np.cumsum(lengths, dtype=np.int64).tolist(), data.tobytes()
-                found, start = [], 0
-                for end in ends:
-                    word, start = data[start:end], end
+                found = []
+                for word in split(*unpack(packed)):
                     ids = known.get(word)
                     if ids is None:
                         ids = known[word] = encoding.encode_ordinary(word.decode())
                     found.append(ids)
                 counts = np.fromiter(map(len, found), np.int64, len(found))
-                out.append((block, b, pack(_narrow(counts), _narrow(np.array([i for ids in found for i in ids])))))
+                out.append((block, b, pack(narrow(counts), narrow(np.array([i for ids in found for i in ids])))))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))], names=["block", "bucket", "packed"])
 
     dealt = words.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(encode, "block long, bucket int, packed binary")
 
 
-def _assembled(blocks: DataFrame, kind: str) -> DataFrame:
-    """row, n_tokens, ids (little-endian unsigned 32-bit integers) of every text."""
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                lengths, front, places = unpack(batch.column("packed")[at].as_py())
-                parts = [unpack(p["packed"]) for p in sorted(batch.column("ids")[at].as_py() or [], key=lambda p: p["bucket"])]
-                counts = np.concatenate([c for c, _ in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
-                ids = np.concatenate([i for _, i in parts]).astype("<u4") if parts else np.zeros(0, "<u4")
-                starts = np.cumsum(counts) - counts
-                order = np.concatenate((front.astype(np.int64), np.arange(len(counts))))
-                rows = batch.column("rows").slice(at, 1).flatten()
-                ends = np.cumsum(lengths, dtype=np.int64)
-                step = max(1, int(len(lengths) * (1 << 20) // max(len(places), 1)))
-                for i in range(0, len(lengths), step):
-                    j = min(i + step, len(lengths))
-                    word = order[places[(ends[i] - lengths[i]) : ends[j - 1]]]
-                    tokens = counts[word]
-                    running = np.concatenate(([0], np.cumsum(tokens)))
-                    cut = running[np.concatenate(([0], np.cumsum(lengths[i:j], dtype=np.int64)))]
-                    data = ids[ragged(starts[word], tokens)].tobytes()
-                    values = [data[4 * a : 4 * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
-                    yield pa.RecordBatch.from_arrays([rows.slice(i, j - i), pa.array(np.diff(cut)), pa.array(values, pa.binary())], names=["row", "n_tokens", "ids"])
-
-    return blocks.mapInArrow(assemble, f"row {kind}, n_tokens long, ids binary")
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row, n_tokens, ids (little-endian unsigned 32-bit integers) of every text of the blocks."""
+    for batch in batches:
+        for at in range(batch.num_rows):
+            lengths, front, places = unpack(batch.column("packed")[at].as_py())
+            parts = blocks.in_order(batch.column("answers")[at].as_py())
+            counts = np.concatenate([c for c, _ in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+            ids = np.concatenate([i for _, i in parts]).astype("<u4") if parts else np.zeros(0, "<u4")
+            starts = np.cumsum(counts) - counts
+            order = np.concatenate((front.astype(np.int64), np.arange(len(counts))))
+            rows = batch.column("rows").slice(at, 1).flatten()
+            ends = np.cumsum(lengths, dtype=np.int64)
+            step = max(1, int(len(lengths) * (1 << 18) // max(len(places), 1)))
+            for i in range(0, len(lengths), step):
+                j = min(i + step, len(lengths))
+                word = order[places[(ends[i] - lengths[i]) : ends[j - 1]]]
+                tokens = counts[word]
+                running = np.concatenate(([0], np.cumsum(tokens)))
+                cut = running[np.concatenate(([0], np.cumsum(lengths[i:j], dtype=np.int64)))]
+                data = ids[ragged(starts[word], tokens)].tobytes()
+                values = [data[4 * a : 4 * b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([rows.slice(i, j - i), pa.array(np.diff(cut)), pa.array(values, pa.binary())], names=["row", "n_tokens", "ids"])
+
+
+def _with_ids(docs: DataFrame, vocabulary: Broadcast, pattern: str, row: list, text_col: str) -> tuple[DataFrame, str]:
+    """Blocks with the ids of their words, and the type of their rows."""
+    buckets, files = blocks.measures(docs, text_col)
+    exploded = _exploded(docs, row, text_col, buckets, pattern)
+    written = blocks.write_blocks(exploded, files, "bpe-blocks")
+    ids = _encoded(written.where("bucket IS NOT NULL").select("block", "bucket", "packed"), vocabulary, pattern)
+    told = blocks.answered(written.where("bucket IS NULL").select("block", "packed", "rows"), ids, files)
+    return told.select("packed", "rows", "answers"), exploded.schema["rows"].dataType.elementType.simpleString()
 
 
 def encode(docs: DataFrame, vocabulary: Broadcast, pattern: str, row: list, text_col: str = "text") -> DataFrame:
@@ -211,13 +178,8 @@ def encode(docs: DataFrame, vocabulary: Broadcast, pattern: str, row: list, text
     special tokens. Null and empty texts have no ids. Repeated rows each get a row; an empty table gives
     an empty result; columns not named in `row` are not read.
     """
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
-    exploded = settle(_exploded(docs, row, text_col, buckets, pattern), "bpe-blocks")
-    ids = _encoded(exploded.where("bucket IS NOT NULL").select("block", "bucket", "packed"), vocabulary, pattern)
-    by_block = ids.groupBy("block").agg(F.collect_list(F.struct("bucket", "packed")).alias("ids"))
-    blocks = exploded.where("bucket IS NULL").select("block", "packed", "rows").join(by_block, "block", "left")
-    return _assembled(blocks.select("packed", "rows", "ids"), exploded.schema["rows"].dataType.elementType.simpleString())
+    told, kind = _with_ids(docs, vocabulary, pattern, row, text_col)
+    return told.mapInArrow(_assembled, f"row {kind}, n_tokens long, ids binary")
 
 
 def token_bytes(content: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -227,24 +189,36 @@ def token_bytes(content: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), np.uint8), np.concatenate(([0], np.cumsum(list(map(len, tokens)))))
 
 
+def _joined(batches: Iterator[pa.RecordBatch], content: bytes, at: int, name: str) -> Iterator[pa.RecordBatch]:
+    """The batches with the bytes of the ids in column `at`."""
+    table, starts = token_bytes(content)
+    sizes = np.diff(starts)
+    for batch in batches:
+        for piece in pieces([batch], batch.schema.names[at]):
+            values = piece.column(at).to_pylist()
+            ids = np.frombuffer(b"".join(v or b"" for v in values), "<u4").astype(np.int64)
+            data = table[ragged(starts[ids], sizes[ids])].tobytes()
+            places = np.concatenate(([0], np.cumsum([len(v or b"") // 4 for v in values])))
+            cut = np.concatenate(([0], np.cumsum(sizes[ids])))[places].tolist()
+            decoded = [None if v is None else data[a:b] for v, a, b in zip(values, cut[:-1], cut[1:])]
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(decoded, pa.binary())], names=[*piece.schema.names, name])
+
+
 def decode(encoded: DataFrame, vocabulary: Broadcast, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """`encoded` with the bytes of its ids; null ids give null bytes."""
     at = encoded.columns.index(ids_col)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
+    return encoded.mapInArrow(lambda batches: _joined(batches, vocabulary.value, at, out_col), f"{kinds}, `{out_col}` binary")
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, starts = token_bytes(vocabulary.value)
-        sizes = np.diff(starts)
-        for batch in batches:
-            for piece in pieces([batch], batch.schema.names[at]):
-                values = piece.column(at).to_pylist()
-                ids = np.frombuffer(b"".join(v or b"" for v in values), "<u4").astype(np.int64)
-                data = table[ragged(starts[ids], sizes[ids])].tobytes()
-                cut = np.concatenate(([0], np.cumsum(sizes[ids])))[np.concatenate(([0], np.cumsum([len(v or b"") // 4 for v in values])))].tolist()
-                decoded = [None if v is None else data[a:b] for v, a, b in zip(values, cut[:-1], cut[1:])]
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(decoded, pa.binary())], names=[*piece.schema.names, out_col])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(join, f"{kinds}, `{out_col}` binary")
+def encode_and_decode(docs: DataFrame, vocabulary: Broadcast, pattern: str, row: list, text_col: str = "text") -> DataFrame:
+    """`encode` and `decode` in one task: row, n_tokens, ids, decoded."""
+    told, kind = _with_ids(docs, vocabulary, pattern, row, text_col)
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _joined(_assembled(batches), vocabulary.value, 2, "decoded")
+
+    return told.mapInArrow(both, f"row {kind}, n_tokens long, ids binary, decoded binary")
 
 
 def vocabulary_of(spark: SparkSession, path: str) -> Broadcast:
@@ -255,5 +229,5 @@ def vocabulary_of(spark: SparkSession, path: str) -> Broadcast:
 
 def round_trip(docs: DataFrame, vocabulary: Broadcast, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row under the rules of `encode`."""
-    told = decode(encode(docs, vocabulary, pattern, [F.col(id_col).alias("doc_id")], text_col), vocabulary)
+    told = encode_and_decode(docs, vocabulary, pattern, [F.col(id_col).alias("doc_id")], text_col)
     return told.select("row.doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -33,13 +33,25 @@ def rows(rng):
 
 @pytest.mark.parametrize("block_bytes", [16 << 20, 200])
 def test_same_as_library(spark, docs_of, library, monkeypatch, block_bytes):
-    monkeypatch.setattr(op, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(op.blocks, "BLOCK_BYTES", block_bytes)
     data = rows(random.Random(3))
     docs = docs_of(data).withColumn("row", op.F.lit(1)).withColumn("ids", op.F.lit("x"))
     found = op.round_trip(docs, op.vocabulary_of(spark, PATH), public_tokenizers.PATTERN)
     assert sorted(map(tuple, found.collect()), key=str) == sorted((brute(library, *r) for r in data), key=str)
 
 
+def test_decode_joins_token_bytes(spark, library):
+    texts = ["héllo  wörld", "", None]
+    frame = spark.createDataFrame([(i, None if t is None else struct.pack(f"<{len(library.encode_ordinary(t))}I", *library.encode_ordinary(t))) for i, t in enumerate(texts)], "decoded int, ids binary")
+    found = op.decode(frame, op.vocabulary_of(spark, PATH), out_col="bytes").collect()
+    assert [r["bytes"] if r["bytes"] is None else r["bytes"].decode() for r in sorted(found)] == texts
+
+
+def test_encode_gives_ids(spark, docs_of, library):
+    found = op.encode(docs_of([(1, "some text"), (2, None)]), op.vocabulary_of(spark, PATH), public_tokenizers.PATTERN, ["doc_id", "lang"]).collect()
+    assert {r["row"]["doc_id"]: list(struct.unpack(f"<{r['n_tokens']}I", r["ids"])) for r in found} == {1: library.encode_ordinary("some text"), 2: []}
+
+
 def test_block_numbers_every_word_once():
     block = op.Block()
     block.add(None, ["a b a", "b c"], regex.compile(public_tokenizers.PATTERN).findall)
