@@ -7,13 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from candlewright.llm import brown, byte_bpe, chat, exact_dedup, fertility, mixing, pii, sharding, simhash, template
 from candlewright.llm.common import table
 
 
 #: The byte-level vocabulary that measures fertility and encodes, and the piece vocabulary.
-BYTE_BPE = "byte_bpe_multi_50k.tiktoken"
-PIECES = "piece_bpe_32k.model"
+BYTE_BPE, PIECES = corpus_pipeline.BYTE_BPE, corpus_pipeline.PIECES
 
 
 def vocabularies(spark: SparkSession) -> fertility.Vocabularies:
@@ -78,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_feistel_shards": op10_feistel_shards,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
