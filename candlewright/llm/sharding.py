@@ -8,8 +8,10 @@ and slot (quotient), so both can be computed, and inverted, from the row number
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from candlewright.llm.common import numbered, text_of
@@ -61,8 +63,8 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = SEED, id_col: str
     """doc_id, size, text_crc32, law, shard, slot, grown_shard, row_number of every row.
 
     Law `rows`: shard sizes differ by one row at most and slots have no gaps; `grown_shard` is null.
-    Null texts count as empty, null ids come first in the numbering, rows that agree in id and text
-    are counted before the shuffle and numbered next to each other. Copies of one text are spread
+    Null texts count as empty, null ids come first in the numbering; rows that agree in id and text are
+    told apart by where they were read, so that the sort can split them, and may stand for each other. Copies of one text are spread
     over all shards. An empty table gives an empty result; other columns are not read.
     """
     text = text_of(text_col)
@@ -71,19 +73,17 @@ def shard_rows(docs: DataFrame, shards: int = 16, seed: int = SEED, id_col: str
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.xxhash64(text).alias("digest"),
+        F.monotonically_increasing_id().alias("read_at"),
     )
-    counted = rows.groupBy("doc_id", "size", "text_crc32", "digest").agg(F.count(F.lit(1)).alias("copies"))
-    each = counted.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    ordered, n = numbered(each.drop("copies"), "doc_id", "text_crc32", "size", "digest", "copy", label="shards")
-
-    @F.pandas_udf("long")
-    def place(number: pd.Series) -> pd.Series:
-        return pd.Series(permute(number.to_numpy(), n, seed))
-
-    placed = ordered.withColumn("place", place("row_number"))
-    return placed.select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"),
-        (F.col("place") % shards).cast("int").alias("shard"),
-        F.expr(f"place div {shards}").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "row_number",
-    )
+    ordered, n = numbered(rows, "doc_id", "text_crc32", "size", "digest", "read_at", label="shards")
+    names = ["doc_id", "size", "text_crc32", "row_number", "shard", "slot"]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            to = permute(batch.column("row_number").to_numpy(), n, seed)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(to % shards, pa.int32()), pa.array(to // shards)], names=names)
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    placed = ordered.select(names[:4]).mapInArrow(place, f"doc_id {kind}, size long, text_crc32 long, row_number long, shard int, slot long")
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "row_number")
