@@ -16,7 +16,10 @@ from candlewright.streaming import live as S
 
 def _versions(spark, sf_dir):
     schema = A.table(spark, sf_dir, "events").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return _version_columns(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+
+
+def _version_columns(source):
     local = F.col("ts").cast("timestamp")
     instant = T.from_wall(local)
     wait = F.pmod("event_id", F.lit(7)) * F.lit(70 * T.MICROS_PER_SECOND)
@@ -41,6 +44,23 @@ def stream_gaps(spark, sf_dir):
     return S.poll_table(spark, folder)
 
 
+def stream_multi_batch(spark, sf_dir):
+    """The same versions from eight files, one for each micro-batch, out of order, with one symbol behind.
+
+    Files are dealt by number, so every batch reaches from the first to the last day; the versions of the
+    lagging symbol come in the last file.
+    """
+    own = stream_session(spark)
+    folder = run_folder(spark, "version-files")
+    events = A.table(spark, sf_dir, "events")
+    part = F.when(F.col("event_type") == F.lit(LAGGING), F.lit(7)).otherwise(6 - F.pmod("event_id", F.lit(7))).cast("int")
+    for k in range(8):  # one file after the other, so that the stream reads them in this order
+        events.where(part == k).coalesce(1).write.mode("append").parquet(folder)
+    source = own.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    bars = S.live_table(spark, f"{S.run_live(_version_columns(source), 'live-batches')}/bars")
+    return bars.select("symbol", A.text("ts").alias("minute"), "close", A.text("arrival_ts").alias("arrival"))
+
+
 def stream_minute_bars(spark, sf_dir):
     """Five-minute bars of the event stream, written per batch and read back."""
     schema = A.table(spark, sf_dir, "events").schema
@@ -61,6 +81,9 @@ def stream_minute_bars(spark, sf_dir):
     return S.live_table(spark, f"{folder}/bars").select("symbol", A.text("ts").alias("bar"), "open", "high", "low", "close", "volume")
 
 
+#: The symbol whose versions come last.
+LAGGING = "click"
+
 VERSIONS = """WITH v AS (SELECT event_type AS symbol, date_trunc('minute', ts) AS ts, ts + (event_id % 7) * INTERVAL 70 SECOND AS arrival, value AS close FROM events),
 polled AS (SELECT *, date_trunc('minute', arrival - INTERVAL 30 SECOND) - INTERVAL 1 MINUTE AS reach FROM v),
 newest AS (SELECT symbol, ts, arg_max(close, arrival) AS close, max(arrival) AS arrival FROM polled WHERE ts <= reach AND ts >= reach - INTERVAL 4 MINUTE GROUP BY 1, 2)"""
@@ -70,6 +93,10 @@ REPORTS = {
         stream_live,
         VERSIONS + " SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS minute, close, strftime(arrival, '%Y-%m-%d %H:%M:%S') AS arrival FROM newest",
     ),
+    "stream_multi_batch": (
+        stream_multi_batch,
+        VERSIONS + " SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS minute, close, strftime(arrival, '%Y-%m-%d %H:%M:%S') AS arrival FROM newest",
+    ),
     "stream_gaps": (
         stream_gaps,
         VERSIONS.replace("newest AS", "any_newest AS")

@@ -1,13 +1,17 @@
 """Live minute bars: only complete minutes, healed by later versions, the newest version wins.
 
-A source row is one version of one minute: ``symbol, ts, arrival_ts`` and the bar values. The stream
-keeps the newest version per minute in state that expires with the watermark, and every micro-batch
-is written under its own batch id, so a batch that is repeated after a lost executor replaces itself.
-The live table is never merged into the raw zone.
+A source row is one version of one minute: ``symbol, ts, arrival_ts`` and the bar values, with ``seq``
+where the source numbers its versions. What a poll accepts depends on the version alone, so the stream
+keeps no state and no event-time limit: a version of one symbol is never late because another symbol is
+ahead. Every micro-batch is reduced to its newest versions and written under its own batch id, so a
+batch that is repeated after a lost executor replaces itself, and the newest written version wins when
+the table is read. The live table is never merged into the raw zone.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlewright.functions import times as T
@@ -61,13 +65,17 @@ def until_session_end(versions: DataFrame, calendar: DataFrame) -> DataFrame:
     return inside.join(ends, "date").where(F.col("arrival_ts") <= T.plus_micros(F.col("_last"), wait)).drop("_last")
 
 
-def newest_versions(versions: DataFrame, streaming: bool = False) -> DataFrame:
+def version_order(versions: DataFrame) -> Column:
+    """Arrival, then the number of the source or a hash of the values, in one number of fixed width."""
+    tie = F.col("seq") if "seq" in versions.columns else F.shiftright(F.xxhash64(*VALUES), 2)
+    return T.micros(F.col("arrival_ts")).cast("decimal(18,0)") * F.lit(Decimal(10**19)) + tie.cast("decimal(19,0)")
+
+
+def newest_versions(versions: DataFrame) -> DataFrame:
     """The newest version of every minute; the opposite precedence of a raw merge."""
-    if streaming:
-        versions = versions.withWatermark("ts", f"{LOOK_BACK_SECONDS} seconds")
-    return versions.groupBy("symbol", "ts").agg(
-        *[F.max_by(v, "arrival_ts").alias(v) for v in VALUES], F.max("arrival_ts").alias("arrival_ts")
-    )
+    order = version_order(versions)
+    kept = [*VALUES, "arrival_ts", *(["seq"] if "seq" in versions.columns else [])]
+    return versions.groupBy("symbol", "ts").agg(*[F.max_by(v, order).alias(v) for v in kept])
 
 
 def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
@@ -85,7 +93,7 @@ def write_batch(batch: DataFrame, batch_id: int, path: str) -> None:
 
 def live_table(spark: SparkSession, path: str) -> DataFrame:
     """Current bars: the newest written version of every minute."""
-    return newest_versions(spark.read.parquet(path).drop("batch"))
+    return newest_versions(spark.read.parquet(path).drop("batch", "session_date"))
 
 
 def gaps_so_far(bars: DataFrame, calendar: DataFrame, clock: DataFrame, max_listed: int = K.MAX_LISTED) -> DataFrame:
@@ -124,9 +132,9 @@ def run_live(
     received = accepted(versions, backfill_until)
     if calendar is not None:
         received = until_session_end(received, calendar)
-    newest = newest_versions(received, streaming=True)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def sink(versions: DataFrame, batch_id: int) -> None:
+        batch = newest_versions(versions)
         if calendar is None:
             write_batch(batch, batch_id, f"{folder}/bars")
             return
@@ -145,7 +153,7 @@ def run_live(
             batch.unpersist()
 
     query = (
-        newest.writeStream.outputMode("update")
+        received.writeStream.outputMode("append")
         .foreachBatch(sink)
         .option("checkpointLocation", f"{folder}/state")
         .trigger(**(trigger or {"availableNow": True}))
@@ -157,9 +165,9 @@ def run_live(
 
 
 def stored_dates(spark: SparkSession, path: str, clock: DataFrame) -> DataFrame:
-    """Stored versions of the dates in ``clock``; the join prunes the date folders."""
-    stored = spark.read.parquet(path).drop("batch")
-    return stored.join(clock.select(F.col("date").alias("session_date")), "session_date", "left_semi").drop("session_date")
+    """Stored versions of the dates in ``clock``: only the folders of those dates are listed and read."""
+    dates = [r["date"] for r in clock.select("date").distinct().collect()]
+    return spark.read.option("basePath", path).parquet(*[f"{path}/session_date={d}" for d in dates]).drop("batch", "session_date")
 
 
 def poll_table(spark: SparkSession, folder: str) -> DataFrame:

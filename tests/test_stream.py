@@ -52,6 +52,28 @@ def test_stream_equals_batch_and_counts_gaps(spark, tmp_path):
     assert batches == 3
 
 
+def test_no_version_is_late_because_of_another_symbol(spark, tmp_path):
+    """Accepted versions survive whatever came before them in other micro-batches, backfill included."""
+    source, t = str(tmp_path / "in"), ny("2025-11-28 10:00:00")
+    ahead = ny("2025-11-28 12:00:00")
+    rows = [version(ahead, 95, 1.0), version(t, 95, 2.0), ("y", *version(t, 99, 3.0)[1:]), version(ny("2025-11-28 09:31:00"), 95, 4.0)]
+    for row in rows:
+        spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+    folder = S.run_live(stream, "test-late", backfill_until=T.instant_literal("2025-11-28 12:01:35"))
+    assert sorted(r["close"] for r in S.live_table(spark, f"{folder}/bars").collect()) == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_equal_arrivals_have_one_winner(spark):
+    t = ny("2025-11-28 10:00:00")
+    rows = [version(t, 95, float(k)) for k in range(20)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    picked = {S.newest_versions(frame.repartition(n)).first()["close"] for n in (1, 2, 3, 5, 7)}
+    assert len(picked) == 1
+    numbered = frame.withColumn("seq", F.col("close").cast("long"))
+    assert S.newest_versions(numbered.repartition(4)).first()["close"] == 19.0
+
+
 def test_repeating_a_batch_replaces_it(spark, tmp_path):
     path = str(tmp_path / "bars")
     batch = spark.createDataFrame([version(ny("2025-11-28 10:00:00"), 95, 1.0)], SCHEMA)
