@@ -8,6 +8,9 @@ from pyspark.sql import Column, functions as F
 UNSET_VOLUME_WHEN_WRITING = float(2**126)
 UNSET_VOLUME_WHEN_CLASSIFYING = 1e15
 
+#: Decimal numbers, with or without an exponent, and the words for infinity.
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*[+-]?inf(inity)?\s*$"
+
 # Message codes and texts of the historical data service.
 INFO_CODES = (2100, 2199)
 HISTORY_ERROR_CODE = 162
@@ -34,15 +37,29 @@ SOFT_FAILURES = ["partial", "empty", "no_data", "error", "timeout"]
 
 
 def number(text: Column) -> Column:
-    """Text -> DOUBLE; anything that is not a number (NaN included) -> null."""
+    """Text -> DOUBLE; anything that is not a number (NaN and type suffixes included) -> null."""
     value = text.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(text.rlike(NUMBER) & ~F.isnan(value), value)
+
+
+def plain_text(value: Column) -> Column:
+    """The shortest digits that read back as the value, never with an exponent."""
+    text = value.cast("string")
+    sign, whole, fraction, power = (F.regexp_extract(text, r"^(-?)(\d+)\.?(\d*)E(-?\d+)$", k) for k in (1, 2, 3, 4))
+    power = power.try_cast("int")
+    digits = F.concat(whole, F.when(fraction == "0", F.lit("")).otherwise(fraction))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    short = F.length(digits) - 1 <= power
+    large = F.when(short, F.concat(sign, F.rpad(digits, power + 1, "0"), F.lit(".0"))).otherwise(
+        F.concat(sign, F.substring(digits, F.lit(1), power + 1), F.lit("."), F.substring(digits, power + 2, F.length(digits)))
+    )
+    return F.when(~text.contains("E"), text).when(power < 0, small).otherwise(large)
 
 
 def number_text(value: Column) -> Column:
     """Whole numbers without a fraction (up to 38 digits), the others as they are."""
     whole = (value == F.floor(value)) & (F.abs(value) < F.lit(1e38))
-    return F.when(whole, value.try_cast("decimal(38,0)").cast("string")).otherwise(value.cast("string"))
+    return F.when(whole, value.try_cast("decimal(38,0)").cast("string")).otherwise(plain_text(value))
 
 
 def volume_text(volume: Column) -> Column:

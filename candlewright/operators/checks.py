@@ -194,19 +194,22 @@ def issue_report(
     series: DataFrame | None = None,
     step_seconds: int = 60,
     max_listed: int = MAX_LISTED,
+    symbols: DataFrame | None = None,
 ) -> DataFrame:
     """Problem dates of every series: missing sessions, missing / extra minutes, duplicates, no session.
 
     ``bars`` needs ``symbol, ts``; ``calendar`` holds closed sessions only. Coverage starts at the
     first date found, at ``start_date`` for every symbol, or at ``series.start_date`` for the listed
-    symbols; earlier bars are ignored. ``last_date`` is the last date that could have a session.
+    symbols (others start at their first date); earlier bars are ignored. ``last_date`` is the last date
+    that could have a session. With a start date ``symbols`` may name the series where ``bars`` holds the
+    recent ones only.
     """
     starts = None
     if series is not None:
         starts = series.select("symbol", F.col("start_date").cast("date").alias("date"))
     elif start_date is not None:
         # A symbol whose bars all lie before the start is still expected; this reads one column.
-        starts = bars.select("symbol").distinct().withColumn("date", F.lit(start_date).cast("date"))
+        starts = (bars if symbols is None else symbols).select("symbol").distinct().withColumn("date", F.lit(start_date).cast("date"))
         bars = bars.where(F.col("ts") >= T.instant_literal(f"{start_date} 00:00:00"))
     summary = session_summary(dated(bars), calendar, step_seconds, max_listed, empty=starts)
 
@@ -215,7 +218,7 @@ def issue_report(
     by_date = by_symbol.orderBy("date")
     if starts is not None:
         start = F.min(F.when(F.col("asked"), F.col("date"))).over(by_symbol)
-        summary = summary.withColumn("start", start).where(F.col("date") >= F.col("start"))
+        summary = summary.withColumn("start", start).where(F.col("start").isNull() | (F.col("date") >= F.col("start")))
     # Every present date also answers for the days up to the next present one.
     after = F.coalesce(F.date_sub(F.lead("date").over(by_date), 1), F.lit(last_date).cast("date"))
     covered = summary.withColumn("gap_end", F.greatest(after, F.col("date")))
@@ -499,7 +502,7 @@ def text_columns() -> list[Column]:
     """Typed bar -> the eight text cells of a bar file."""
     return [
         T.offset_text(F.col("ts")).alias("timestamp"),
-        *[F.col(p).cast("string").alias(p) for p in ("open", "high", "low", "close")],
+        *[V.plain_text(F.col(p)).alias(p) for p in ("open", "high", "low", "close")],
         V.volume_text(F.col("volume")).alias("volume"),
         F.lit("").alias("created_ts"),
         F.date_format("date", "yyyy-MM-dd").alias("date"),

@@ -9,6 +9,7 @@ from candlewright.operators import calendar as C
 
 LOOK_BACK_DAYS = 400
 YEAR_END_MARGIN_DAYS = 3
+NOTHING_RECENT = "nothing present in the look-back window: give a first date"
 
 
 def present_dates(bars: DataFrame, first: str | None = None, last: str | None = None, catalog: DataFrame | None = None) -> DataFrame:
@@ -78,7 +79,8 @@ def load_plan(
     Without ``first`` a series continues the day after its last present date, or at its start when
     nothing is present. ``finished_rule`` uses the fixed-hour rule instead of close + buffer.
     ``clamp_to_start`` moves an explicit first date up to the start. With ``look_back_days`` only
-    recent dates count as present for the default start, and a series without any gives no row.
+    recent dates count as present for the default start; a series without any gives one row without a
+    date, and every row has a ``reason`` (empty, or why nothing can be planned).
     """
     today = T.wall_date(now)
     over = C.finished_sessions(calendar, now) if finished_rule else C.closed_sessions(calendar, now)
@@ -106,9 +108,13 @@ def load_plan(
         end = F.lit(last).cast("date") if last is not None else today
         spans = starts.select("symbol", begin.alias("begin"), end.alias("end")).where(F.col("begin") <= F.col("end"))
         candidates = spans.select("symbol", F.explode(F.sequence("begin", "end")).alias("date")).join(over.select("date"), "date")
-    if reload:
-        return candidates.select("symbol", "date")
-    return candidates.select("symbol", "date").join(present, ["symbol", "date"], "left_anti")
+    planned = candidates.select("symbol", "date")
+    if not reload:
+        planned = planned.join(present, ["symbol", "date"], "left_anti")
+    if look_back_days is None or wanted or first is not None or from_start:
+        return planned
+    lost = starts.where(F.col("newest").isNull()).select("symbol", F.lit(None).cast("date").alias("date"), F.lit(NOTHING_RECENT).alias("reason"))
+    return planned.withColumn("reason", F.lit("")).unionByName(lost)
 
 
 def year_chunks(plan: DataFrame, calendar: DataFrame, now: Column) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from candlewright.functions import times as T
@@ -13,18 +15,21 @@ from candlewright.sources import sinks
 def zone_issues(
     spark: SparkSession, zones: list[str], calendar: DataFrame, now: Column, last_date: str, start_date: str | None = None, report_path: str | None = None
 ) -> DataFrame:
-    """Issue report over one or more zones; a start date also skips the periods before it."""
-    parts = []
+    """Issue report over one or more zones.
+
+    A start date skips the bars of the periods before it, but not their symbols: a series whose last bar
+    lies in an older period is still expected, and of those periods only the symbol column is read.
+    """
+    parts, known = [], []
     for zone in zones:
         rows = Z.read_zone(spark, zone)
+        known.append(rows.select("symbol"))
         if start_date is not None:
             names = [p for p in Z.periods(spark, zone) if p.ljust(8, "9") >= start_date.replace("-", "")]
             rows = rows.where(F.col("period").isin(names))
         parts.append(rows.select("symbol", "ts"))
-    bars = parts[0]
-    for part in parts[1:]:
-        bars = bars.unionByName(part)
-    issues = K.issue_report(bars, C.closed_sessions(calendar, now), last_date, start_date)
+    bars, symbols = reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, known)
+    issues = K.issue_report(bars, C.closed_sessions(calendar, now), last_date, start_date, symbols=symbols)
     if report_path is not None:
         sinks.write_report(issues, report_path)
     return issues
@@ -34,11 +39,12 @@ def alignment_run(minute: DataFrame, daily: DataFrame, reference: str, order: st
     """Check, lag, edge and verdict tables of stored bars against one reference series.
 
     ``minute`` and ``daily``: ``symbol, date, ts, open, high, low, close`` (daily also ``volume``).
-    With a cut-off, dates of the hold-out window are left out of every table.
+    Of repeated labels the first by ``order`` stays. With a cut-off, dates of the hold-out window are left
+    out of every table.
     """
     if cutoff is not None:
         minute, daily = L.before_cutoff(minute, cutoff), L.before_cutoff(daily, cutoff)
-    unique = B.first_per_label(minute, ["symbol", "date", "ts"], order, ["open", "high", "low", "close"]) if order != "ts" else minute
+    unique = B.first_per_label(minute, ["symbol", "date", "ts"], order, ["open", "high", "low", "close"])
     others = unique.where(F.col("symbol") != reference)
     returns = B.bar_returns(unique)
     lags = L.lag_corr(returns.where(F.col("symbol") != reference), returns.where(F.col("symbol") == reference))

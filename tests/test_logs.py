@@ -69,7 +69,9 @@ def test_load_plan_rules(spark):
     assert plan(first="2025-11-24", last="2025-11-26", clamp_to_start=True) == ["2025-11-26"]
     assert plan(first="2025-11-24", last="2025-11-26", reload=True) == ["2025-11-24", "2025-11-25", "2025-11-26"]
     assert plan(wanted=["2025-11-27", "2025-11-28", "2025-12-08"]) == ["2025-11-28"]
-    assert plan(look_back_days=2) == [] and plan(look_back_days=400) == ["2025-12-09", "2025-12-10", "2025-12-11"]
+    (lost,) = V.load_plan(own, days, have, now, look_back_days=2).collect()
+    assert (lost["symbol"], lost["date"], lost["reason"]) == ("v", None, V.NOTHING_RECENT)
+    assert plan(look_back_days=400) == ["2025-12-09", "2025-12-10", "2025-12-11"]
     assert plan(finished_rule=True, first="2025-12-12") == []
 
 
