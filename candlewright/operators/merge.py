@@ -17,7 +17,8 @@ VALUE_COLUMNS = ["open", "high", "low", "close", "volume"]
 def stack_sources(sources: list[DataFrame], keys: list[str] = KEY, order: str | None = None) -> DataFrame:
     """Union of the sources in order of precedence, with the union of their columns.
 
-    Columns a source lacks become empty text. ``source_rank`` and ``row_pos`` give the precedence.
+    Columns a source lacks become empty text. ``source_rank`` and ``row_pos`` give the precedence; without
+    ``order`` rows of one source stand as Spark's scan of it does, so name a column where that matters.
     """
     names: list[str] = []
     for source in sources:
@@ -28,7 +29,7 @@ def stack_sources(sources: list[DataFrame], keys: list[str] = KEY, order: str |
         filled = [
             (F.coalesce(F.col(c).cast("string"), F.lit("")) if c in source.columns else F.lit("")).alias(c) for c in names
         ]
-        ranked.append(source.select(*keys, F.lit(rank).alias("source_rank"), position.cast("bigint").alias("row_pos"), *filled))
+        ranked.append(source.select(*keys, F.lit(rank).alias("source_rank"), position.cast("decimal(38,0)").alias("row_pos"), *filled))
     stacked = ranked[0]
     for other in ranked[1:]:
         stacked = stacked.unionByName(other)

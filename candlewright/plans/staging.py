@@ -9,7 +9,7 @@ from candlewright.functions import periods as P, times as T, values as V
 from candlewright.operators import gates as G, merge as M
 from candlewright.plans import zone as Z
 from candlewright.session import run_folder
-from candlewright.sources import sinks
+from candlewright.sources import files as FS, sinks
 
 ADDED = "added"
 
@@ -40,20 +40,24 @@ def _kept(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _append_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, raw: str) -> None:
-    """Append whole accepted days and verify them against the staging rows."""
-    chosen = rows.withColumn("date_", P.first_date(F.col("period"))).join(
-        accepted.select("symbol", F.col("date").alias("date_")), ["symbol", "date_"], "left_semi"
-    ).drop("date_")
-    Z.write_zone(chosen, raw)
-    days = [r["period"] for r in chosen.select("period").distinct().collect()]
-    written = Z.read_zone(spark, raw).where(F.col("period").isin(days)).join(
-        accepted.select("symbol", F.date_format("date", "yyyyMMdd").alias("period")), ["symbol", "period"], "left_semi"
-    )
+def _append_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, raw: str) -> DataFrame:
+    """Write whole accepted days beside the zone, verify them against the staging rows, then move them in.
+
+    Raw holds all of the accepted days or none: a job that ends early leaves a folder beside the zone,
+    which nothing reads, and the next run adds the days again. Returns the (symbol, period) pairs.
+    """
+    pairs = accepted.select("symbol", F.date_format("date", "yyyyMMdd").alias("period"))
+    chosen = rows.join(pairs, ["symbol", "period"], "left_semi")
+    scratch = Z.beside(raw, "adding")
+    Z.write_zone(chosen, scratch, "errorifexists")
+    written = Z.read_zone(spark, scratch)
     balance = chosen.select("symbol", "ts", F.lit(1).alias("n")).unionByName(written.select("symbol", "ts", F.lit(-1).alias("n")))
     off = balance.groupBy("symbol", "ts").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
     if not off.isEmpty():
-        raise OSError("verification of the appended days failed")
+        raise OSError("verification of the days to add failed; raw is as it was")
+    Z.add_partitions(spark, scratch, raw)
+    FS.remove(spark, scratch)
+    return pairs
 
 
 def merge_minutes(
@@ -71,7 +75,8 @@ def merge_minutes(
     """One decision per staged (symbol, day); with ``apply`` the accepted days are appended to raw.
 
     Raw rows are never replaced and a day raw already has is never added, so a second run adds
-    nothing. ``calendar`` holds closed sessions; the index rule needs none.
+    nothing. Added days then leave staging: a period as it was staged goes to the folder of merged ones,
+    and what was not accepted stays. ``calendar`` holds closed sessions; the index rule needs none.
     """
     days = [p for p in Z.periods(spark, staging) if len(p) == 8]
     if not days:
@@ -88,7 +93,8 @@ def merge_minutes(
     decided = _kept(spark, decisions, "decisions")
     accepted = decided.where(F.col("decision_str") == G.ADD)
     if not accepted.isEmpty():
-        _append_accepted(spark, rows, accepted, raw)
+        added = _append_accepted(spark, rows, accepted, raw)
+        Z.drop_rows(spark, staging, added, Z.beside(staging, "merged"))
     done = decided.withColumn("decision_str", F.when(F.col("decision_str") == G.ADD, F.lit(ADDED)).otherwise(F.col("decision_str")))
     if log_path is not None:
         _log(done.where(F.col("decision_str") == ADDED), log_path, index_rule)

@@ -1,7 +1,8 @@
 """The raw zone as a table of period partitions, and the jobs that roll it up or rebuild it.
 
 A zone is a Parquet folder partitioned by ``period`` (``YYYY`` / ``YYYYMM`` / ``YYYYMMDD``) with the
-text cells of every bar, its ``symbol`` and its instant ``ts``. Jobs write merged periods to a new
+text cells of every bar, its ``symbol`` and its instant ``ts``, and the order in which its rows came:
+``load_seq`` (when they were written) and ``row_pos`` (their place in what was written). Jobs write merged periods to a new
 folder, verify them against their inputs, and only then swap partition folders. The replaced folders
 are kept in a backup next to the zone; a failed swap is put back. The driver only handles period
 names: one entry per partition folder.
@@ -9,6 +10,8 @@ names: one entry per partition folder.
 
 from __future__ import annotations
 
+import time
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as ST
@@ -44,7 +47,16 @@ def read_zone(spark: SparkSession, zone: str) -> DataFrame:
 
 
 def write_zone(rows: DataFrame, zone: str, mode: str = "append") -> None:
-    """Write rows with a ``period`` column. Large periods are split over several tasks."""
+    """Write rows with a ``period`` column. Large periods are split over several tasks.
+
+    Rows keep the order they have in ``rows`` (by ``load_seq`` and ``row_pos`` where it has them), so that
+    the first of repeated rows is still known when a later job merges them.
+    """
+    if "load_seq" not in rows.columns:
+        rows = rows.withColumn("load_seq", F.lit(time.time_ns()))
+    if "row_pos" not in rows.columns:
+        rows = rows.withColumn("row_pos", F.monotonically_increasing_id())
+    rows = rows.withColumn("row_pos", F.col("row_pos").cast("decimal(38,0)"))
     (
         rows.hint("rebalance", "period")
         .sortWithinPartitions("period", "symbol", "ts")
@@ -57,7 +69,7 @@ def write_zone(rows: DataFrame, zone: str, mode: str = "append") -> None:
 def ingest(bars: DataFrame, zone: str, now: Column) -> None:
     """Text bars (``symbol, ts`` and cells) -> a zone in the organised layout."""
     day = T.wall_date(F.col("ts"))
-    keep = [c for c in bars.columns if c not in ("file_path", "row_pos")]
+    keep = [c for c in bars.columns if c != "file_path"]
     write_zone(bars.select(*keep, P.period_for_date(day, T.wall(now)).alias("period")), zone, "errorifexists")
 
 
@@ -66,10 +78,16 @@ def backup_folder(zone: str) -> str:
 
 
 def stack(rows: DataFrame, target: Column, rank: Column) -> DataFrame:
-    """Add target, precedence and position; blank cells stay empty text."""
-    cells = [c for c in rows.columns if c not in ("symbol", "ts", "period", "target", "source_rank")]
+    """Add target, precedence and position; blank cells stay empty text.
+
+    The position is the stored one; rows of tables without it stand as their scan does.
+    """
+    cells = [c for c in rows.columns if c not in ("symbol", "ts", "period", "target", "source_rank", "load_seq", "row_pos")]
+    load = F.coalesce("load_seq", F.lit(0)) if "load_seq" in rows.columns else F.lit(0)
+    place = F.col("row_pos") if "row_pos" in rows.columns else F.monotonically_increasing_id()
     return rows.select(
-        target.alias("target"), "symbol", "ts", rank.alias("source_rank"), F.monotonically_increasing_id().alias("row_pos"),
+        target.alias("target"), "symbol", "ts", rank.alias("source_rank"),
+        F.struct(load.cast("bigint").alias("load_seq"), place.cast("decimal(38,0)").alias("row_pos")).alias("row_pos"),
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in cells],
     )
 
@@ -216,4 +234,37 @@ def date_rows(spark: SparkSession, zones: list[str], day: str) -> DataFrame:
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part, allowMissingColumns=True)
-    return found
+    return found.drop("load_seq", "row_pos")
+
+
+def beside(path: str, label: str) -> str:
+    """A new folder next to a table, on the same file system, for what a job is about to move in."""
+    return f"{path.rstrip('/')}_{label}_{uuid.uuid4().hex}"
+
+
+def add_partitions(spark: SparkSession, scratch: str, zone: str) -> None:
+    """Move the files of written periods into a zone; on a failure all of them go back."""
+    done: list[tuple[str, str]] = []
+    try:
+        for period in periods(spark, scratch):
+            for entry in FS.listing(spark, f"{scratch}/period={period}"):
+                if entry.name.endswith(".parquet"):
+                    goal = f"{zone.rstrip('/')}/period={period}/{entry.name}"
+                    FS.move(spark, entry.path, goal)
+                    done.append((entry.path, goal))
+    except Exception:
+        for origin, goal in reversed(done):
+            FS.move(spark, goal, origin)
+        raise
+
+
+def drop_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> None:
+    """Take (symbol, period) pairs out of a zone; the periods as they were are moved to ``backup``."""
+    names = [r["period"] for r in gone.select("period").distinct().collect()]
+    rest = read_zone(spark, zone).where(F.col("period").isin(names)).join(gone.select("symbol", "period"), ["symbol", "period"], "left_anti")
+    scratch = beside(zone, "rest")
+    write_zone(rest, scratch, "errorifexists")
+    status, message = _swap(spark, zone, scratch, backup, periods(spark, scratch), names)
+    FS.remove(spark, scratch)
+    if status != "merged":
+        raise OSError(f"the added days are still staged: {message}")

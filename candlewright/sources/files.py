@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -47,6 +48,18 @@ def first_line(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as Spark names it in file metadata, without scheme and leading slashes."""
+    system, location = _hadoop(spark, path)
+    return re.sub(r"^[A-Za-z0-9+.-]+:/*|^/+", "", system.makeQualified(location).toUri().toString())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a job of this package has made."""
+    system, location = _hadoop(spark, path)
+    system.delete(location, True)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     system, location = _hadoop(spark, source)
     destination = spark._jvm.org.apache.hadoop.fs.Path(target)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,8 +29,8 @@ def read_bar_text(spark: SparkSession, paths: list[str], symbol: str | None = No
     """Bar files with every cell as text, blanks as empty text, plus the instant ``ts``.
 
     Files are grouped by their header line, so each layout is one scan; the layouts are then united
-    by column name. Repeated columns (``date.1``) are dropped. ``file_path`` and ``row_pos`` keep
-    the order of rows inside a source.
+    by column name. Repeated columns (``date.1``) are dropped. ``row_pos`` orders the rows as the caller
+    listed the files and as they stand in each file, however Spark packs files into tasks.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
@@ -39,13 +40,21 @@ def read_bar_text(spark: SparkSession, paths: list[str], symbol: str | None = No
         kept = [c for c in header if not re.fullmatch(r".+\.\d+", c)]
         raw = spark.read.option("header", True).schema(S.text_schema(list(header))).csv(members)
         cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in kept]
-        parts.append(raw.select(*cells, F.col("_metadata.file_path").alias("file_path")))
+        # A block of a file is read by one task, in order, so the count inside the task orders its rows.
+        places = [F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_row")]
+        parts.append(raw.select(*cells, F.col("_metadata.file_path").alias("file_path"), *places))
     if not parts:
         raise ValueError("no bar files given")
     united = parts[0]
     for part in parts[1:]:
         united = united.unionByName(part, allowMissingColumns=True)
-    rows = united.fillna("").withColumn("ts", T.instant(F.col("timestamp"))).withColumn("row_pos", F.monotonically_increasing_id())
+    ranks = [(FS.qualified(spark, path), rank) for rank, path in enumerate(dict.fromkeys(paths))]
+    listed = F.broadcast(spark.createDataFrame(ranks, "_path string, _rank long"))  # one row for each listed file
+    name = F.regexp_replace("file_path", "^[A-Za-z0-9+.-]+:/*", "")
+    step = lambda n: F.lit(Decimal(10) ** n)
+    position = F.col("_rank").cast("decimal(12,0)") * step(25) + F.col("_block").cast("decimal(15,0)") * step(10) + F.col("_row").cast("decimal(10,0)")
+    rows = united.fillna("").join(listed, name == F.col("_path"), "left").withColumn("ts", T.instant(F.col("timestamp")))
+    rows = rows.withColumn("row_pos", position.cast("decimal(38,0)")).drop("_path", "_rank", "_block", "_row")
     return rows.withColumn("symbol", F.lit(symbol)) if symbol is not None else rows
 
 

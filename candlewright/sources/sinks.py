@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from candlewright.operators import merge as M
 from candlewright.session import run_folder
@@ -20,21 +22,49 @@ def write_table(frame: DataFrame, path: str, kind: str, mode: str = "I", all_tex
     letter = mode.upper()
     if letter not in MODES:
         raise ValueError(f"access mode {mode!r} is not one of {sorted(MODES)}")
-    if letter == "N" or frame.isEmpty():
-        return False
-    if letter == "I" and FS.exists(frame.sparkSession, path):
+    spark = frame.sparkSession
+    if letter == "N" or letter == "I" and FS.exists(spark, path):
         return False
     if all_text:
         frame = frame.select(*[F.col(c).cast("string").alias(c) for c in frame.columns])
-    writer = frame.write.mode(MODES[letter]).format(kind)
+    # The rows are computed once: they go beside the table, which tells whether there are any.
+    scratch = f"{path.rstrip('/')}_writing_{uuid.uuid4().hex}"
+    counted = Observation()
+    writer = frame.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(kind)
     if kind == "csv":
         writer = writer.option("header", True)
     elif kind == "parquet":
         writer = writer.option("compression", "snappy")
-    writer.save(path)
+    writer.save(scratch)
+    if not counted.get["rows"]:
+        FS.remove(spark, scratch)
+        return False
+    if letter != "A" or not FS.exists(spark, path):
+        _take_place(spark, scratch, path)
+        return True
+    for entry in FS.listing(spark, scratch):
+        if entry.name.startswith("part-"):
+            FS.move(spark, entry.path, f"{path.rstrip('/')}/{entry.name}")
+    FS.remove(spark, scratch)
     return True
 
 
+def _take_place(spark: SparkSession, scratch: str, path: str) -> None:
+    """Put a written folder where another may stand; the other comes back if that fails."""
+    old = f"{path.rstrip('/')}_replaced_{uuid.uuid4().hex}"
+    there = FS.exists(spark, path)
+    if there:
+        FS.move(spark, path, old)
+    try:
+        FS.move(spark, scratch, path)
+    except Exception:
+        if there:
+            FS.move(spark, old, path)
+        raise
+    if there:
+        FS.remove(spark, old)
+
+
 def append_log(rows: DataFrame, path: str, columns: list[str]) -> bool:
     """Append rows in the fixed column order; columns that are not known yet stay empty."""
     ordered = [F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]
@@ -47,18 +77,27 @@ def write_report(frame: DataFrame, path: str) -> bool:
 
 
 def upsert_document(new: DataFrame, path: str, mode: str = "I") -> bool:
-    """Write ``key, value`` rows; mode A merges top-level keys into the stored ones, the new value wins.
+    """Write ``key, value`` rows as one JSON object; mode A merges top-level keys into the stored ones.
 
-    The merged document goes to a new folder first and then takes the place of the old one.
+    A new value replaces the old one and is not merged deeper; stored values keep their JSON type. A value
+    that reads as JSON is written as such, any other as a string. A document is small: its keys make one row.
     """
     spark = new.sparkSession
     letter = mode.upper()
-    if letter != "A" or not FS.exists(spark, path):
-        return write_table(new, path, "parquet", "W" if letter == "A" else letter)
-    scratch = run_folder(spark, "document")
-    M.kv_upsert(spark.read.parquet(path), new).write.parquet(scratch)
-    FS.move(spark, path, f"{scratch}-replaced")
-    FS.move(spark, scratch, path)
+    if letter not in MODES or letter == "N" or letter == "I" and FS.exists(spark, path):
+        return False
+    fragment = F.when(F.try_parse_json("value").isNotNull(), F.col("value")).otherwise(F.regexp_replace(F.to_json(F.array("value")), r"(?s)^\[(.*)\]$", "$1"))
+    rows = new.select("key", F.coalesce(fragment, F.lit("null")).alias("value"))
+    if letter == "A" and FS.exists(spark, path):
+        text = spark.read.text(path, wholetext=True).where(F.ltrim("value").startswith("{"))
+        stored = text.select(F.explode(F.from_json("value", "map<string,variant>")).alias("key", "value"))
+        rows = M.kv_upsert(stored.select("key", F.to_json("value").alias("value")), rows)
+    quoted = F.to_json(F.array("key"))
+    member = F.concat(quoted.substr(F.lit(2), F.length(quoted) - 2), F.lit(": "), "value")
+    text = F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(member)), ", "), F.lit("}"))
+    scratch = f"{path.rstrip('/')}_writing_{uuid.uuid4().hex}"
+    rows.agg(text.alias("value")).write.text(scratch)
+    _take_place(spark, scratch, path)
     return True
 
 

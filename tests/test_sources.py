@@ -92,7 +92,12 @@ def test_documents(spark, tmp_path):
     new = spark.createDataFrame([("a", '{"y":2}')], "key string, value string")
     assert SK.upsert_document(old, path, "A") and not SK.upsert_document(new, path, "I")
     assert SK.upsert_document(new, path, "A")
-    assert {r["key"]: r["value"] for r in spark.read.parquet(path).collect()} == {"a": '{"y":2}', "b": "t"}
+    assert {r["key"]: r["value"] for r in RD.read_document(spark, path).collect()} == {"a": '{"y":2}', "b": "t"}
+    # Stored values keep their JSON type, and a document written by hand can be merged into.
+    merged = str(tmp_path / "doc.json")
+    assert SK.upsert_document(spark.createDataFrame([("n", "7"), ('q"', 'say "hi"'), ("none", None)], "key string, value string"), merged, "A")
+    text = "".join(r["value"] for r in spark.read.text(merged, wholetext=True).collect())
+    assert json.loads(text) == {"a": {"x": 1}, "b": "t", "n": 7, 'q"': 'say "hi"', "none": None}
 
 
 def test_log_keeps_its_column_order(spark, tmp_path):
