@@ -81,15 +81,39 @@ def candle_issues(spark, sf_dir):
 
 
 def session_text(spark, sf_dir):
-    """Text rows of the session files: first row per session minute, ISO text with the offset."""
-    bars = A.event_bars(spark, sf_dir, step=60, planted=True).select(
-        "symbol", "date", "ts", *[F.col(c) for c in ("open", "high", "low", "close", "volume")], "event_id"
-    )
+    """Text rows of the session files: first row per session minute, ISO text with the offset; tiny and huge prices too."""
+    bars = A.event_bars(spark, sf_dir, step=60, planted=True).select("symbol", "date", "ts", *_written_prices(), "volume", "event_id")
     text = K.session_text(bars, A.calendar(spark, early=True), "event_id")
-    rounded = [F.round(F.col(c).cast("double"), 4).alias(c) for c in ("open", "high", "low", "close")]
-    return text.select("symbol", "timestamp", *rounded, "volume", "created_ts", "date")
+    return text.select("symbol", "timestamp", "open", "high", "low", "close", "volume", "created_ts", "date")
+
+
+def _written_prices():
+    """Whole numbers by event, moved by powers of ten from a ten-thousandth to ten million."""
+    number = F.col("event_id")
+    return [
+        (number + 1).cast("double").alias("open"), (F.pmod(number, F.lit(9)) * 10_000_000 + 12_345_678).cast("double").alias("high"),
+        F.element_at(F.array(*[F.lit(float(x)) for x in TINY]), (F.pmod(number, F.lit(len(TINY))) + 1).cast("int")).alias("low"),
+        (number + F.lit(0.5)).alias("close"),
+    ]
+
+
+def day_text(spark, sf_dir):
+    """Text rows of index days: every bar of its own day, first row per label."""
+    bars = A.event_bars(spark, sf_dir, step=60, planted=True).select("symbol", "date", "ts", *_written_prices(), "volume", "event_id")
+    return K.day_text(bars, "event_id")
 
 
+#: Prices below a thousandth and around it, with their text.
+TINY = ("0.00012", "0.00005", "0.001", "0.0999", "0.000001234")
+
+WRITTEN_BARS = f"""bars AS (SELECT p.symbol, p.date, p.event_id, p.volume, date_trunc('minute', e.ts) AS ts,
+  (p.event_id + 1) || '.0' AS open, ((p.event_id % 9) * 10000000 + 12345678) || '.0' AS high,
+  list_value({", ".join(f"'{x}'" for x in TINY)})[p.event_id % {len(TINY)} + 1] AS low, p.event_id || '.5' AS close
+  FROM planted p JOIN events e ON e.event_id = p.event_id)"""
+WRITTEN_ROW = """symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') || '-05:00' AS timestamp, open, high, low, close,
+  CASE WHEN volume >= pow(2, 126) THEN '' WHEN volume = floor(volume) THEN CAST(CAST(volume AS BIGINT) AS VARCHAR) ELSE CAST(volume AS VARCHAR) END AS volume,
+  '' AS created_ts, CAST(date AS VARCHAR) AS date"""
+
 ISSUE_CTES = """
 per_ts AS (SELECT symbol, ts, CAST(ts AS DATE) AS date, count(*) AS n FROM bars GROUP BY 1, 2, 3),
 expected AS (SELECT s.symbol, c.date, g.ts FROM starts s JOIN cal c ON c.date >= s.start,
@@ -236,11 +260,15 @@ SELECT symbol, date, count(*) AS row_count_int, count(*) FILTER (least(open, hig
         session_text,
         f"""WITH {A.SQL_MINUTE_CALENDAR}, {A.SQL_PLANTED},
 spans AS (SELECT date, first_ts, CASE WHEN date = DATE '2024-01-19' THEN date + INTERVAL 779 MINUTE ELSE last_ts END AS last_ts FROM cal),
-bars AS (SELECT p.* EXCLUDE (ts), date_trunc('minute', e.ts) AS ts FROM planted p JOIN events e ON e.event_id = p.event_id),
+{WRITTEN_BARS},
 kept AS (SELECT b.* FROM bars b JOIN spans s ON s.date = b.date AND b.ts BETWEEN first_ts AND last_ts
   QUALIFY row_number() OVER (PARTITION BY symbol, b.ts ORDER BY event_id) = 1)
-SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') || '-05:00' AS timestamp, round(open, 4) AS open, round(high, 4) AS high, round(low, 4) AS low,
-  round(close, 4) AS close, CASE WHEN volume >= pow(2, 126) THEN '' WHEN volume = floor(volume) THEN CAST(CAST(volume AS BIGINT) AS VARCHAR)
-  ELSE CAST(volume AS VARCHAR) END AS volume, '' AS created_ts, CAST(date AS VARCHAR) AS date FROM kept""",
+SELECT {WRITTEN_ROW} FROM kept""",
+    ),
+    "day_text": (
+        day_text,
+        f"""WITH {A.SQL_PLANTED}, {WRITTEN_BARS},
+kept AS (SELECT * FROM bars QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY event_id) = 1)
+SELECT {WRITTEN_ROW} FROM kept""",
     ),
 }
