@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from candlewright.functions import periods as P, times as T
 from candlewright.operators import calendar as C
@@ -30,28 +30,39 @@ def present_dates(bars: DataFrame, first: str | None = None, last: str | None =
     return dates.distinct()
 
 
-def expected_sessions(series: DataFrame, calendar: DataFrame, last: Column) -> DataFrame:
-    """(symbol, session) pairs since each series' start, through an equi-join on the date."""
-    days = F.sequence(F.col("start_date"), last)
+def gap_sessions(spans: DataFrame, calendar: DataFrame, present: DataFrame) -> DataFrame:
+    """Sessions of ``spans`` (``symbol, begin, end``, one span per symbol) that are not present.
+
+    Each present date is compared with the next one, and only the days between are made: series x days
+    is never built, and nothing is looked up day by day.
+    """
+    held = present.select("symbol", "date").join(spans, "symbol").where(F.col("date").between(F.col("begin"), F.col("end")))
+    start = spans.select("symbol", F.date_sub("begin", 1).alias("date"), "begin", "end")
+    follows = F.lead("date").over(W.partitionBy("symbol").orderBy("date"))
+    gaps = start.unionByName(held).withColumn("next", F.coalesce(follows, F.date_add("end", 1))).where(F.datediff("next", "date") > 1)
+    days = F.sequence(F.date_add("date", 1), F.date_sub("next", 1))
+    return gaps.select("symbol", F.explode(days).alias("date")).join(calendar.select("date"), "date").select("symbol", "date")
+
+
+def _spans(series: DataFrame, last: Column) -> DataFrame:
     open_ended = series.where(F.col("start_date") <= last)
-    return open_ended.select("symbol", F.explode(days).alias("date")).join(calendar, "date")
+    return open_ended.groupBy("symbol").agg(F.min("start_date").alias("begin")).withColumn("end", last)
 
 
 def missing_sessions(series: DataFrame, calendar: DataFrame, present: DataFrame, last: Column) -> DataFrame:
     """Closed sessions since the start that are neither in raw nor in staging."""
-    expected = expected_sessions(series, calendar.select("date"), last)
-    return expected.join(present.select("symbol", "date"), ["symbol", "date"], "left_anti")
+    return gap_sessions(_spans(series, last), calendar, present)
 
 
 def missing_summary(series: DataFrame, calendar: DataFrame, present: DataFrame, last: Column, shown: int = 3) -> DataFrame:
     """Expected and missing session counts per series, with the first and last missing dates."""
-    expected = expected_sessions(series, calendar.select("date"), last)
-    there = present.select("symbol", "date").distinct().withColumn("there", F.lit(True))
-    marked = expected.join(there, ["symbol", "date"], "left")
-    gap = F.when(F.col("there").isNull(), F.col("date"))
+    spans = _spans(series, last)
+    there = present.select("symbol", "date").distinct().join(spans, "symbol").where(F.col("date").between(F.col("begin"), F.col("end")))
+    there = there.join(calendar.select("date"), "date").select("symbol", F.lit(None).cast("date").alias("gap"))
+    gaps = gap_sessions(spans, calendar, present).select("symbol", F.col("date").alias("gap"))
     # One entry per session date at most.
-    grouped = marked.groupBy("symbol").agg(
-        F.count(F.lit(1)).alias("expected_count"), F.count(gap).alias("missing_count"), F.sort_array(F.collect_list(gap)).alias("gaps")
+    grouped = gaps.unionByName(there).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("expected_count"), F.count("gap").alias("missing_count"), F.sort_array(F.collect_list("gap")).alias("gaps")
     )
     text = lambda dates: F.array_join(F.transform(dates, lambda d: d.cast("string")), " ")
     last_ones = F.slice("gaps", F.greatest(F.size("gaps") - shown + 1, F.lit(1)), F.lit(shown))
@@ -107,9 +118,10 @@ def load_plan(
             begin = F.greatest(begin, F.col("start_date"))
         end = F.lit(last).cast("date") if last is not None else today
         spans = starts.select("symbol", begin.alias("begin"), end.alias("end")).where(F.col("begin") <= F.col("end"))
-        candidates = spans.select("symbol", F.explode(F.sequence("begin", "end")).alias("date")).join(over.select("date"), "date")
+        nothing = present.where(F.lit(False))
+        candidates = gap_sessions(spans, over, nothing if reload else present)
     planned = candidates.select("symbol", "date")
-    if not reload:
+    if wanted and not reload:
         planned = planned.join(present, ["symbol", "date"], "left_anti")
     if look_back_days is None or wanted or first is not None or from_start:
         return planned

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from candlewright.operators import align as L, bars as B, checks as K
@@ -74,10 +76,10 @@ def _session_hours(spark, sf_dir):
     return K.in_session(A.hourly_candles(spark, sf_dir), A.calendar(spark, hourly=True))
 
 
-def _weekday_dailies(spark, sf_dir):
-    """Daily bars over the whole day, on weekdays (holidays included) up to 26 January."""
-    rolled = B.ohlcv_rollup(A.hourly_candles(spark, sf_dir), ["symbol", "date"])
-    return rolled.where((F.weekday("date") < 5) & (F.col("date") <= F.lit("2024-01-26").cast("date"))).withColumn("pos", F.lit(0))
+def _weekday_dailies(spark, sf_dir, gaps=False):
+    """Daily bars over the whole day, on weekdays (holidays included); ``gaps`` plants one at every seventh day of the year."""
+    rolled = B.ohlcv_rollup(A.hourly_candles(spark, sf_dir), ["symbol", "date"]).where(F.weekday("date") < 5)
+    return (rolled.where(F.dayofyear("date") % 7 != 0) if gaps else rolled).withColumn("pos", F.lit(0))
 
 
 def daily_vs_minute(spark, sf_dir):
@@ -86,6 +88,14 @@ def daily_vs_minute(spark, sf_dir):
     return both.select("symbol", "date", *[F.round(c, 4).alias(c) for c in both.columns[2:]])
 
 
+def _packed(first, *others):
+    """Keys in one number of fixed width (18 digits and those given), so that the aggregate over it needs no sort."""
+    value = F.col(first).cast("decimal(38,0)")
+    for name, digits in others:
+        value = (value * F.lit(Decimal(10) ** digits) + F.col(name).cast("decimal(18,0)")).cast("decimal(38,0)")
+    return value
+
+
 def order_vs_lines(spark, sf_dir):
     """Two grains of one table: order totals of a status and date against the lines of those orders."""
     orders = A.table(spark, sf_dir, "orders").select(
@@ -95,7 +105,7 @@ def order_vs_lines(spark, sf_dir):
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     price = F.col("l_extendedprice")
     minute = joined.select(
-        "symbol", "date", F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("pos"),
+        "symbol", "date", _packed("l_orderkey", ("l_linenumber", 4), ("l_partkey", 9), ("l_suppkey", 7)).alias("pos"),
         *[price.alias(c) for c in PRICES], F.col("l_quantity").alias("volume"),
     )
     total = F.col("o_totalprice")
@@ -105,7 +115,7 @@ def order_vs_lines(spark, sf_dir):
 
 
 def _checks(spark, sf_dir):
-    return L.alignment_check(_session_hours(spark, sf_dir), _weekday_dailies(spark, sf_dir), "pos")
+    return L.alignment_check(_session_hours(spark, sf_dir), _weekday_dailies(spark, sf_dir, gaps=True), "pos")
 
 
 FLAGS = ["open_equals_first", "close_equals_last", "high_equals_max", "low_equals_min"]
@@ -147,10 +157,10 @@ full_corrs AS (SELECT s.symbol, l.lag, COALESCE(pairs, 0) AS pairs, corr FROM (S
 SIDES = f"""WITH {A.SQL_HOURLY}, {A.SQL_HOUR_CALENDAR},
 mins AS (SELECT h.* FROM hourly h JOIN cal c ON c.date = h.date AND h.ts BETWEEN first_ts AND last_ts),
 daily AS (SELECT symbol, date, arg_min(open, ts) AS o, max(high) AS h, min(low) AS l, arg_max(close, ts) AS c, sum(volume) AS v FROM hourly
-  WHERE isodow(date) < 6 AND date <= DATE '2024-01-26' GROUP BY 1, 2),
+  WHERE isodow(date) < 6 GROUP BY 1, 2),
 mday AS (SELECT symbol, date, count(*) AS n, arg_min(open, ts) AS o, max(high) AS h, min(low) AS l, arg_max(close, ts) AS c, sum(volume) AS v,
   min(ts) AS lo, max(ts) AS hi FROM mins GROUP BY 1, 2)"""
-CHECKS = SIDES + """, hits AS (SELECT m.symbol, m.date, min(m.ts) FILTER (abs(m.open - d.o) <= 0.005) AS oh, max(m.ts) FILTER (abs(m.close - d.c) <= 0.005) AS ch
+CHECKS = SIDES.replace("isodow(date) < 6", "isodow(date) < 6 AND dayofyear(date) % 7 <> 0") + """, hits AS (SELECT m.symbol, m.date, min(m.ts) FILTER (abs(m.open - d.o) <= 0.005) AS oh, max(m.ts) FILTER (abs(m.close - d.c) <= 0.005) AS ch
   FROM mins m JOIN daily d ON d.symbol = m.symbol AND d.date = m.date GROUP BY 1, 2),
 checks AS (SELECT COALESCE(m.symbol, d.symbol) AS symbol, COALESCE(m.date, d.date) AS date,
   concat_ws(' ', CASE WHEN d.symbol IS NULL THEN 'no daily bar' END, CASE WHEN m.symbol IS NULL THEN 'no minute bars' END) AS note,
