@@ -22,12 +22,11 @@ def zone_issues(
     """
     parts, known = [], []
     for zone in zones:
-        rows = Z.read_zone(spark, zone)
-        known.append(rows.select("symbol"))
+        known.append(Z.read_zone(spark, zone).select("symbol"))
+        names = None
         if start_date is not None:
             names = [p for p in Z.periods(spark, zone) if p.ljust(8, "9") >= start_date.replace("-", "")]
-            rows = rows.where(F.col("period").isin(names))
-        parts.append(rows.select("symbol", "ts"))
+        parts.append(Z.read_zone(spark, zone, names).select("symbol", "ts"))
     bars, symbols = reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, known)
     issues = K.issue_report(bars, C.closed_sessions(calendar, now), last_date, start_date, symbols=symbols)
     if report_path is not None:

@@ -29,7 +29,7 @@ def raw_dates(spark: SparkSession, raw: str, days: list[str]) -> DataFrame:
     covering = [p for p in Z.periods(spark, raw) if p.ljust(8, "0") <= high and p.ljust(8, "9") >= low]
     if not covering:
         return spark.createDataFrame([], "symbol string, date date")
-    rows = Z.read_zone(spark, raw).where(F.col("period").isin(covering)).select("symbol", T.wall_date(F.col("ts")).alias("date"))
+    rows = Z.read_zone(spark, raw, covering).select("symbol", T.wall_date(F.col("ts")).alias("date"))
     return rows.where(F.col("date").between(F.to_date(F.lit(low), "yyyyMMdd"), F.to_date(F.lit(high), "yyyyMMdd"))).distinct()
 
 
@@ -81,7 +81,7 @@ def merge_minutes(
     days = [p for p in Z.periods(spark, staging) if len(p) == 8]
     if not days:
         return None
-    rows = Z.read_zone(spark, staging).where(F.col("period").isin(days))
+    rows = Z.read_zone(spark, staging, days)
     present = raw_dates(spark, raw, days)
     if index_rule:
         decisions = G.merge_gate_index(typed(rows), present, include_partial, step_seconds=step_seconds)
@@ -121,7 +121,7 @@ def merge_daily(spark: SparkSession, staging: str, raw: str, apply: bool = False
     names = Z.periods(spark, staging)
     if not names:
         return None
-    rows = Z.read_zone(spark, staging).where(F.col("period").isin(names))
+    rows = Z.read_zone(spark, staging, names)
     decisions = _kept(spark, G.merge_gate_daily(typed(rows), ["symbol", "period"]), "daily-decisions")
     accepted = decisions.where(F.col("decision_str") == G.MERGE).select("symbol", "period")
     passed = accepted.select("symbol", F.col("period").alias("target"))
@@ -130,7 +130,7 @@ def merge_daily(spark: SparkSession, staging: str, raw: str, apply: bool = False
     stacked = chosen
     present = Z.periods(spark, raw)
     if present:
-        stored = Z.read_zone(spark, raw).where(F.col("period").isin(names))
+        stored = Z.read_zone(spark, raw, names)
         stacked = Z.stack(stored, F.col("period"), F.lit(0)).unionByName(chosen, allowMissingColumns=True).fillna("")
     stacked = stacked.join(passed.select("target").distinct(), "target", "left_semi")
     conflicts = _kept(spark, M.merge_stats(stacked, Z.KEYS, ["target", "symbol"]), "daily-conflicts")

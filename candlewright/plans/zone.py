@@ -38,12 +38,24 @@ def catalog(spark: SparkSession, zone: str) -> DataFrame:
     return Y.catalog_of(spark.createDataFrame([(p,) for p in periods(spark, zone)], "period_str string"))
 
 
-def read_zone(spark: SparkSession, zone: str) -> DataFrame:
-    """Zone rows with the union of the partitions' columns. The period stays text, other files are skipped."""
-    reader = lambda: spark.read.option("pathGlobFilter", "*.parquet")
-    found = reader().option("mergeSchema", True).parquet(zone).schema
+def read_zone(spark: SparkSession, zone: str, names: list[str] | None = None) -> DataFrame:
+    """Zone rows with the union of the partitions' columns. The period stays text, other files are skipped.
+
+    With ``names`` only the folders of those periods are listed and opened; names without a folder are
+    left out, and without any the result is empty.
+    """
+    reader = lambda: spark.read.option("pathGlobFilter", "*.parquet").option("basePath", zone)
+    paths = [zone]
+    if names is not None:
+        stored = periods(spark, zone)
+        there = [p for p in dict.fromkeys(names) if p in set(stored)]
+        paths = [f"{zone.rstrip('/')}/period={p}" for p in there or stored[-1:]]
+        if not stored:
+            return spark.createDataFrame([], "symbol string, ts timestamp, period string")
+    found = reader().option("mergeSchema", True).parquet(*paths).schema
     fields = [ST.StructField("period", ST.StringType()) if f.name == "period" else f for f in found.fields]
-    return reader().schema(ST.StructType(fields)).parquet(zone)
+    rows = reader().schema(ST.StructType(fields)).parquet(*paths)
+    return rows if names is None else rows.where(F.col("period").isin(there))
 
 
 def write_zone(rows: DataFrame, zone: str, mode: str = "append") -> None:
@@ -158,7 +170,7 @@ def _fold(spark: SparkSession, zone: str, planned: DataFrame, apply: bool) -> Da
     involved |= {target: target for target in sources if target in order}
     ranks = [(p, t, 0 if p == t else order[p] + 1) for p, t in involved.items()]
     lookup = F.broadcast(spark.createDataFrame(ranks, "period string, target string, source_rank int"))
-    rows = read_zone(spark, zone).where(F.col("period").isin(sorted(involved))).join(lookup, "period")
+    rows = read_zone(spark, zone, sorted(involved)).join(lookup, "period")
     return merge_into(spark, zone, stack(rows, F.col("target"), F.col("source_rank")), sources, apply)
 
 
@@ -217,7 +229,7 @@ def save_stage(spark: SparkSession, new: DataFrame, staging: str, daily: bool) -
     parts = stack(fresh, F.col("period"), F.lit(1))
     if FS.exists(spark, staging):
         # Positions are taken from the scan itself, before any shuffle.
-        stored = stack(read_zone(spark, staging).where(F.col("period").isin(names)), F.col("period"), F.lit(0))
+        stored = stack(read_zone(spark, staging, names), F.col("period"), F.lit(0))
         if not daily:
             replaced = fresh.select("symbol", F.col("period").alias("target")).distinct()
             stored = stored.join(replaced, ["symbol", "target"], "left_anti")
@@ -230,7 +242,7 @@ def date_rows(spark: SparkSession, zones: list[str], day: str) -> DataFrame:
     compact = day.replace("-", "")
     covering = [compact[:4], compact[:6], compact]
     low, high = T.instant_literal(f"{day} 00:00:00"), T.instant_literal(f"{day} 23:59:59.999999")
-    parts = [read_zone(spark, zone).where(F.col("period").isin(covering) & F.col("ts").between(low, high)) for zone in zones]
+    parts = [read_zone(spark, zone, covering).where(F.col("ts").between(low, high)) for zone in zones]
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part, allowMissingColumns=True)
@@ -261,7 +273,7 @@ def add_partitions(spark: SparkSession, scratch: str, zone: str) -> None:
 def drop_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> None:
     """Take (symbol, period) pairs out of a zone; the periods as they were are moved to ``backup``."""
     names = [r["period"] for r in gone.select("period").distinct().collect()]
-    rest = read_zone(spark, zone).where(F.col("period").isin(names)).join(gone.select("symbol", "period"), ["symbol", "period"], "left_anti")
+    rest = read_zone(spark, zone, names).join(gone.select("symbol", "period"), ["symbol", "period"], "left_anti")
     scratch = beside(zone, "rest")
     write_zone(rest, scratch, "errorifexists")
     status, message = _swap(spark, zone, scratch, backup, periods(spark, scratch), names)

@@ -159,3 +159,17 @@ def test_zone_shaping(spark):
     wanted = spark.createDataFrame([("20250217-20250221",), ("20250224-20250228",)], "week string")
     assert [r["week"] for r in O.required_ranges(wanted, loaded).collect()] == ["20250224-20250228"]
     assert M.row_count_delta(wanted, loaded).first()["row_count_diff"] == -1
+
+
+def test_rows_stand_as_the_files_are_listed(spark, tmp_path):
+    """The first listed file is the smaller one; its rows still come first, and lines keep their order."""
+    small, large = tmp_path / "small.csv", tmp_path / "large.csv"
+    head = "timestamp,close\n"
+    small.write_text(head + "2024-01-03 10:00:00-05:00,small\n")
+    large.write_text(head + "".join(f"2024-01-03 10:{i:02d}:00-05:00,large{k}\n" for i in range(60) for k in (0, 1)))
+    rows = RD.read_bar_text(spark, [str(small), str(large)], "x")
+    merged = {r["ts"]: r["close"] for r in M.merge_existing_wins([rows.drop("file_path")], order="row_pos").collect()}
+    values = [merged[t] for t in sorted(merged)]
+    assert values == ["small", *["large0"] * 59]
+    other = RD.read_bar_text(spark, [str(large), str(small)], "x")
+    assert "small" not in {r["close"] for r in M.merge_existing_wins([other.drop("file_path")], order="row_pos").collect()}

@@ -236,3 +236,52 @@ def test_ingest_text_into_the_organised_layout(spark, tmp_path):
     rows = text_rows("2025-12-31")[:2] + text_rows("2026-09-30")[:2] + text_rows("2026-10-05")[:2]
     Z.ingest(text_frame(spark, rows), zone, T.instant_literal(NOW))
     assert Z.periods(spark, zone) == ["2025", "202609", "20261005"] and TEXT.startswith("timestamp")
+
+
+def test_one_day_opens_one_folder_of_many(spark, tmp_path):
+    zone = str(tmp_path / "many")
+    rows = spark.createDataFrame([("x", f"{y}{m:02d}", f"{y}-{m:02d}-03 15:00:00") for y in range(2000, 2010) for m in range(1, 13)], "symbol string, period string, t string")
+    Z.write_zone(rows.select("symbol", "period", F.to_timestamp("t").alias("ts"), F.lit("1").alias("open")), zone)
+    found = Z.date_rows(spark, [zone], "2005-07-03")
+    assert found.count() == 1 and len(found.inputFiles()) == 1
+    assert Z.date_rows(spark, [zone], "2020-01-01").count() == 0
+
+
+def test_broken_append_leaves_raw_and_the_next_run_adds(spark, tmp_path, monkeypatch):
+    raw, staging = str(tmp_path / "raw"), str(tmp_path / "staged")
+    row = lambda symbol, day: (symbol, day, f"{day[:4]}-{day[4:6]}-{day[6:]} 15:00:00")
+    make = lambda rows: spark.createDataFrame(rows, "symbol string, period string, t string").select("symbol", "period", F.to_timestamp("t").alias("ts"), F.lit("1").alias("open"))
+    Z.write_zone(make([row("a", "20240102")]), raw)
+    Z.write_zone(make([row("a", "20240103"), row("b", "20240103"), row("b", "20240104")]), staging)
+    pairs = spark.createDataFrame([("a", "2024-01-03"), ("b", "2024-01-04")], "symbol string, d string").select("symbol", F.to_date("d").alias("date"))
+    before = sorted(map(tuple, Z.read_zone(spark, raw).select("symbol", "period").collect()))
+    moves = []
+
+    def break_second(spark_, source, target, move=FS.move):
+        moves.append(target)
+        if len(moves) == 2:
+            raise OSError("lost")
+        move(spark_, source, target)
+
+    monkeypatch.setattr(FS, "move", break_second)
+    with pytest.raises(OSError):
+        G._append_accepted(spark, Z.read_zone(spark, staging), pairs, raw)
+    monkeypatch.undo()
+    spark.catalog.refreshByPath(raw)
+    assert sorted(map(tuple, Z.read_zone(spark, raw).select("symbol", "period").collect())) == before
+    added = G._append_accepted(spark, Z.read_zone(spark, staging), pairs, raw)
+    Z.drop_rows(spark, staging, added, str(tmp_path / "merged"))
+    assert sorted(map(tuple, Z.read_zone(spark, raw).select("symbol", "period").collect())) == [*before, ("a", "20240103"), ("b", "20240104")]
+    assert [tuple(r) for r in Z.read_zone(spark, staging).select("symbol", "period").collect()] == [("b", "20240103")]
+
+
+def test_first_of_repeated_rows_wins_whatever_the_file_sizes(spark, tmp_path):
+    """A day holds a minute twice: first in a small file, later in a larger one."""
+    zone = str(tmp_path / "repeats")
+    cells = lambda value, n: spark.createDataFrame([("x", "20240103", f"2024-01-03 15:{i:02d}:00", value) for i in range(n)], "symbol string, period string, t string, close string")
+    make = lambda frame: frame.select("symbol", "period", F.to_timestamp("t").alias("ts"), "close")
+    Z.write_zone(make(cells("1.0", 1)), zone)
+    Z.write_zone(make(cells("2.0", 60)), zone)
+    Z.organize(spark, zone, T.instant_literal("2024-03-05 12:00:00"), True)
+    first = Z.read_zone(spark, zone).orderBy("ts").first()
+    assert (first["period"], first["close"]) == ("202401", "1.0")
