@@ -62,10 +62,10 @@ def split(lengths: np.ndarray, data: np.ndarray) -> list[bytes]:
     return out
 
 
-def measures(docs: DataFrame, text_col: str) -> tuple[int, int]:
+def measures(docs: DataFrame, text_col: str, block_bytes: int = 0) -> tuple[int, int]:
     """Number of word buckets and of block files for the texts of `docs`."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(LEAST_BUCKETS, math.isqrt(size >> 20)), max(1, min(MAX_FILES, size // BLOCK_BYTES))
+    return max(LEAST_BUCKETS, math.isqrt(size >> 20)), max(1, min(MAX_FILES, size // (block_bytes or BLOCK_BYTES)))
 
 
 def write_blocks(exploded: DataFrame, files: int, label: str) -> DataFrame:

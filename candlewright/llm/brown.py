@@ -30,6 +30,8 @@ from candlewright.llm import blocks
 from candlewright.llm.blocks import narrow, pack, split, unpack
 from candlewright.llm.common import pieces, settle, strings, words
 
+#: Bytes of text in a block: a task holds several numbers for each of its tokens.
+BLOCK_BYTES = 6 << 20
 #: Classes of words. Two more classes stand for the end of a text and for words not seen in training.
 CLASSES = 32
 PASSES = 3
@@ -93,9 +95,10 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
         for piece in pieces(batches, "text", 2 << 20):
             held.append(piece)
             size += piece.column("text").nbytes
-            if size >= blocks.BLOCK_BYTES:
+            if size >= BLOCK_BYTES:
                 yield flush()
                 number, held, size = number + 1, [], 0
+                pa.default_memory_pool().release_unused()
         if held:
             yield flush()
 
@@ -132,8 +135,8 @@ def _vocabulary(sent: DataFrame) -> DataFrame:
     return dealt.mapInArrow(merge, "bucket int, packed binary, types long, tokens long, singles long")
 
 
-def _ask(state: DataFrame, questions: DataFrame, answer) -> DataFrame:
-    """block, bucket, packed: `answer(state arrays, question arrays)` for each question of each block.
+def _ask(state: DataFrame, questions: DataFrame, prepare, answer) -> DataFrame:
+    """block, bucket, packed: `answer(prepare(state arrays), question arrays)` for each question of each block.
 
     The owner of a bucket reads its one row of state first and then the questions one after another.
     """
@@ -144,7 +147,7 @@ def _ask(state: DataFrame, questions: DataFrame, answer) -> DataFrame:
             rows = []
             for block, bucket, packed in zip(*(batch.column(c).to_pylist() for c in ("block", "bucket", "packed"))):
                 if block is None:
-                    held = unpack(packed)
+                    held = prepare(unpack(packed))
                 else:
                     rows.append((block, bucket, pack(*answer(held, unpack(packed)))))
             yield _batch(["block", "bucket", "packed"], [pa.int64(), pa.int32(), pa.binary()], rows)
@@ -153,11 +156,16 @@ def _ask(state: DataFrame, questions: DataFrame, answer) -> DataFrame:
     return both.repartition("bucket").sortWithinPartitions("bucket", F.col("block").asc_nulls_first()).mapInArrow(reply, _answer)
 
 
-def _numbers(held: list[np.ndarray], asked: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _places(state: list[np.ndarray]) -> tuple[dict[bytes, int], np.ndarray]:
+    lengths, data, counts = state
+    return {word: i for i, word in enumerate(split(lengths, data))}, counts
+
+
+def _numbers(held: tuple[dict[bytes, int], np.ndarray], asked: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Number of each word in its bucket, and its training count."""
-    place = {word: i for i, word in enumerate(split(held[0], held[1]))}
+    place, counts = held
     numbers = np.array([place[w] for w in split(asked[0], asked[1])], np.int64)
-    return narrow(numbers), narrow(held[2][numbers])
+    return narrow(numbers), narrow(counts[numbers])
 
 
 def _classes_of(held: list[np.ndarray], asked: list[np.ndarray]) -> tuple[np.ndarray]:
@@ -185,17 +193,17 @@ class Sequence:
 
     def __init__(self, packed: bytes, classes: list[list[np.ndarray]]):
         lengths, held, places = unpack(packed)
-        of_slot = np.concatenate([c[0] for c in classes]).astype(np.int64) if classes else np.zeros(0, np.int64)
+        of_slot = np.concatenate([c[0] for c in classes]).astype(np.int32) if classes else np.zeros(0, np.int32)
         self.sizes = [len(c[0]) for c in classes]
         self.lengths = lengths.astype(np.int64) + 1
         ends = np.cumsum(self.lengths)
-        self.slots = np.full(int(ends[-1]) if len(ends) else 0, -1, np.int64)
+        self.slots = np.full(int(ends[-1]) if len(ends) else 0, -1, np.int32)
         inside = np.ones(len(self.slots), bool)
         inside[ends - 1] = False
         self.slots[inside] = places
-        self.classes = np.full(len(self.slots), END, np.int64)
+        self.classes = np.full(len(self.slots), END, np.int32)
         self.classes[inside] = of_slot[self.slots[inside]]
-        self.before = np.concatenate(([END], self.classes[:-1]))[: len(self.classes)]
+        self.before = np.concatenate((np.array([END], np.int32), self.classes[:-1]))[: len(self.classes)]
         self.held = held
         self.trained = np.repeat(~held, self.lengths)
         self.starts = ends - self.lengths
@@ -209,7 +217,7 @@ def _transitions(told: DataFrame, width: int) -> np.ndarray:
             for packed, answers, known in zip(*(batch.column(c).to_pylist() for c in ("packed", "answers", "known"))):
                 seq = Sequence(packed, blocks.in_order(answers))
                 once = np.concatenate([k[1] for k in blocks.in_order(known)]) == 1 if known else np.zeros(0, bool)
-                single = np.zeros(len(seq.slots), np.int64)
+                single = np.zeros(len(seq.slots), np.int32)
                 single[seq.slots >= 0] = once[seq.slots[seq.slots >= 0]]
                 cell = ((seq.before * width + seq.classes) * 2 + single)[seq.trained]
                 counts = np.bincount(cell, minlength=width * width * 2)
@@ -229,9 +237,9 @@ def _contexts(told: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             for block, packed, answers, known in zip(*(batch.column(c).to_pylist() for c in ("block", "packed", "answers", "known"))):
                 seq = Sequence(packed, blocks.in_order(answers))
-                after = np.concatenate((seq.classes[1:], [END]))[: len(seq.classes)]
+                after = np.concatenate((seq.classes[1:], np.array([END], np.int32)))[: len(seq.classes)]
                 use = seq.trained & (seq.slots >= 0)
-                slots = seq.slots[use] * (2 * width)
+                slots = seq.slots[use].astype(np.int64) * (2 * width)
                 keys = np.concatenate((slots + seq.before[use], slots + width + after[use]))
                 keys, counts = np.unique(keys, return_counts=True)
                 numbers = blocks.in_order(known)
@@ -339,17 +347,17 @@ def brown_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are not read.
     """
     width = FIRST + classes
-    buckets, files = blocks.measures(docs, text_col)
+    buckets, files = blocks.measures(docs, text_col, BLOCK_BYTES)
     written = blocks.write_blocks(_exploded(docs, id_col, text_col, buckets), files, "brown-blocks")
     texts = written.where("bucket IS NULL").select("block", "packed", "ids")
     sent = written.where("bucket IS NOT NULL").select("block", "bucket", "packed")
     vocabulary = settle(_vocabulary(sent), "brown-words")
     types, tokens, singles = (int(x or 0) for x in vocabulary.agg(F.sum("types"), F.sum("tokens"), F.sum("singles")).first())
-    known = settle(_ask(vocabulary, sent, _numbers), "brown-numbers")
+    known = settle(_ask(vocabulary, sent, _places, _numbers), "brown-numbers")
     held_known = known.repartition(files, "block").groupBy("block").agg(F.collect_list(F.struct("bucket", "packed")).alias("known"))
     state = settle(_first_classes(vocabulary, classes), "brown-classes")
     for again in range(passes + 1):
-        told = blocks.answered(texts, settle(_ask(state, known, _classes_of), "brown-answers"), files).join(held_known, "block", "left")
+        told = blocks.answered(texts, settle(_ask(state, known, list, _classes_of), "brown-answers"), files).join(held_known, "block", "left")
         table = _transitions(told, width)
         if again < passes:
             state = settle(_exchanged(state, _contexts(told, width), table), "brown-classes")
