@@ -82,13 +82,14 @@ def _entries(docs: DataFrame, text_col: str, id_col: str, keep_rows: bool) -> Da
     inner = pa.struct([pa.field(f.name, to_arrow_type(f.dataType)) for f in rest])
     narrow = docs.select(F.col(text_col).alias("t"), F.struct(*[F.col(f"`{f.name}`") for f in rest]).alias("r"))
     kind = StructType(held.fields[1:]).simpleString()
+    id_at = [f.name for f in rest].index(id_col)
     schema = f"entry long, key long, sha256 string, text string, is_null boolean, best long, best_at int, n long, members array<{kind}>"
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entry = TaskContext.get().partitionId() << 33
         for piece in pieces(batches, "t"):
             texts = strings(piece.column("t")).to_pylist()
-            ids = pc.struct_field(piece.column("r"), [0]).to_pylist()
+            ids = pc.struct_field(piece.column("r"), [id_at]).to_pylist()
             groups: dict[str, list[int]] = {}
             for i, text in enumerate(texts):
                 groups.setdefault(text, []).append(i)

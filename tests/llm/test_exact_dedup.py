@@ -59,6 +59,11 @@ def test_drop_copies_keeps_all_columns(docs_of):
     assert sorted(((r["doc_id"], r["text"] or "") for r in kept.collect()), key=str) == sorted({(b[1], t or "") for (i, t) in ROWS for b in brute(ROWS) if b[4] == hashlib.sha256((t or "").encode()).hexdigest()}, key=str)
 
 
+def test_id_need_not_come_first(docs_of):
+    docs = docs_of([(1, "a"), (9, "a"), (4, "b")]).select("n_chars", "text", "lang", "doc_id")
+    assert sorted(r["doc_id"] for r in op.drop_copies(docs).collect()) == [4, 9]
+
+
 def test_empty_table(docs_of):
     assert op.exact_dedup(docs_of([])).count() == 0
     assert op.drop_copies(docs_of([])).count() == 0
