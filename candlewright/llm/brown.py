@@ -84,6 +84,7 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType
     inner = to_arrow_type(kind)
+    block_bytes = BLOCK_BYTES
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 33, [], 0
@@ -95,7 +96,7 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> Data
         for piece in pieces(batches, "text", 2 << 20):
             held.append(piece)
             size += piece.column("text").nbytes
-            if size >= BLOCK_BYTES:
+            if size >= block_bytes:
                 yield flush()
                 number, held, size = number + 1, [], 0
                 pa.default_memory_pool().release_unused()

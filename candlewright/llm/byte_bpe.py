@@ -82,6 +82,7 @@ def _exploded(docs: DataFrame, row: list, text_col: str, buckets: int, pattern:
     narrow = docs.select(F.struct(*row).alias("row"), F.col(text_col).alias("text"))
     kind = narrow.schema["row"].dataType
     inner = to_arrow_type(kind)
+    block_bytes = blocks.BLOCK_BYTES
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matches = regex.compile(pattern).findall
@@ -102,7 +103,7 @@ def _exploded(docs: DataFrame, row: list, text_col: str, buckets: int, pattern:
         block = Block()
         for piece in pieces(batches, "text", 2 << 20):
             block.add(piece, strings(piece.column("text")).to_pylist(), matches)
-            if block.bytes >= blocks.BLOCK_BYTES:
+            if block.bytes >= block_bytes:
                 yield flush(block)
                 block, number = Block(), number + 1
         if block.rows:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import candlewright
 from candlewright.session import run_folder
 
 #: A word is a longest run of code points that are none of these six.
@@ -18,7 +22,26 @@ SPACES = " \t\n\x0b\x0c\r"
 PIECE_BYTES = 8 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application: their Python may not find the driver's copy."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(candlewright.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="candlewright-code-")) / "candlewright.zip"  # Spark serves it from the driver
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a data folder, for a query whose tasks run code of this package."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
