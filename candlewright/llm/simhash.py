@@ -229,7 +229,7 @@ def _linked(rows: pa.RecordBatch, keys: list[str], budget: int) -> pa.RecordBatc
 
 def _classed(prints: DataFrame) -> DataFrame:
     """fingerprint, root: class of every different fingerprint that is linked to a smaller one."""
-    return components(links(prints)).select(F.col("node").alias("fingerprint"), "root")
+    return components(settle(links(prints), "simhash-links")).select(F.col("node").alias("fingerprint"), "root")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
