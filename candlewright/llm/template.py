@@ -41,10 +41,11 @@ OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search al
 
 # Words in class and id names of what surrounds an article.
 OUTSIDE_NAMES = frozenset(
-    """ad ads adbox adsense advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment commentlist comments consent
-    cookie cookies dialog disclaimer disqus footer form gdpr header login masthead menu modal nav navbar navigation navigator newsletter
-    notice notices overlay pager pagination popup promo promotion recommended related replies reply respond search share sharebar sharing
-    sidebar signup sitemap social sponsor sponsored subscribe subscription toolbar widget widgets""".split()
+    """ad ads adbox adsense advert adverts advertisement advertising alert announcement banner breadcrumb breadcrumbs comment commentlist
+    comments consent cookie cookies dialog disclaimer discussion disqus footer form gdpr header infobar login masthead menu modal nav navbar
+    navigation navigator newsletter notice notices overlay pager pagination popup promo promotion recommended related replies reply respond
+    responses search share sharebar sharing sidebar signup sitemap skiplink snackbar social sponsor sponsored subscribe subscription toast
+    toolbar topbar widget widgets""".split()
 )
 CONTENT_NAMES = frozenset("article articlebody entry post story".split())
 
@@ -78,7 +79,8 @@ class Page:
 def _element(name: str, attributes: str, block: int) -> Element:
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _attribute.finditer(attributes)} if "=" in attributes else {}
     label = " ".join(filter(None, (found.get("class", ""), found.get("id", "")))).lower()
-    names = set(_name.findall(label)) if label else set()
+    # A name counts by its words and by all of them together: side-bar is a sidebar.
+    names = {*_name.findall(label), *("".join(_name.findall(token)) for token in label.split())} if label else set()
     landmark = name in ("html", "body") or name in CONTENT
     outside = name in OUTSIDE or not landmark and (bool(names & OUTSIDE_NAMES) or found.get("role", "").lower() in OUTSIDE_ROLES or bool(_hidden.search(attributes)))
     content = name in CONTENT or found.get("role") in ("main", "article") or "articlebody" in found.get("itemprop", "").lower() or bool(names & CONTENT_NAMES) and name in ("div", "section")

@@ -55,6 +55,12 @@ def test_page_without_article_mark():
     assert op.extract([f"<body><div>{menu}</div><div><p>One  story.<br>It goes&nbsp;on</p></div></body>"]) == ["One story. It goes on"]
 
 
+def test_names_of_what_surrounds():
+    around = "".join(f'<div class="{name}"><p>{name} words</p></div>' for name in ("side-bar", "reader-comments", "ad-slot", "site_notice", "main-nav", "share"))
+    kept = '<div class="lead-text"><p>Kept words</p></div>'
+    assert op.extract([f"<article><h1>Title</h1>{around}{kept}</article>"]) == ["Title Kept words"]
+
+
 def test_broken_markup():
     assert op.extract(["", "no markup at all", "<", "a < b", "<article><p>open", "<article><p><b>one.<br><p>two <i>three</article>tail<script>x", "<p" * 50, "<!-- x"]) == [
         "", "no markup at all", "<", "a < b", "open", "one. two three", op.extract(["<p" * 50])[0], "",
