@@ -212,3 +212,20 @@ def test_slot_masks_match_plain_sets(spark):
         (K._first_slots(missing, "bits", 7) == F.col("gaps")).alias("gaps_ok"), (K._first_slots(F.col("words"), "inside", 7) == F.col("have")).alias("have_ok")
     )
     assert checked.where("not (gaps_ok and have_ok)").count() == 0
+
+
+def test_symbols_outside_the_registry_stay(spark):
+    days = calendar(spark, "2025-12-01", "2025-12-03", [])
+    make = lambda rows: spark.createDataFrame(rows, "symbol string, t string").select("symbol", F.to_timestamp("t").alias("ts"))
+    bars = make([("listed", "2025-12-02 14:30:00"), ("other", "2025-12-02 14:30:00")])
+    series = spark.createDataFrame([("listed", "2025-12-01")], "symbol string, start_date string")
+    found = {(r["symbol"], str(r["date"])) for r in K.issue_report(bars, days, "2025-12-03", series=series).select("symbol", "date").collect()}
+    assert found == {("listed", d) for d in ("2025-12-01", "2025-12-02", "2025-12-03")} | {("other", d) for d in ("2025-12-02", "2025-12-03")}
+
+
+def test_named_symbols_without_recent_bars_are_expected(spark):
+    days = calendar(spark, "2025-12-01", "2025-12-03", [])
+    bars = spark.createDataFrame([("live", "2025-12-02 14:30:00")], "symbol string, t string").select("symbol", F.to_timestamp("t").alias("ts"))
+    known = spark.createDataFrame([("live",), ("stalled",)], "symbol string")
+    found = K.issue_report(bars, days, "2025-12-03", "2025-12-02", symbols=known)
+    assert {r["symbol"] for r in found.where("issue_str = 'missing_session'").collect()} == {"live", "stalled"}

@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from candlewright.functions import periods as P, times as T, values as V
@@ -106,3 +108,14 @@ def test_epoch_and_zone_gap(spark):
 def test_latest_rows_hide_prices(spark):
     rows = [("daily_bars_latest", "1/2/3/4"), ("daily_bars", "1/2/3/4")]
     assert values(spark, rows, "t string, p string", V.hide_latest(F.col("t"), F.col("p"))) == ["", "1/2/3/4"]
+
+
+def test_numbers_and_their_text(spark):
+    values = [1.23456789e7, 1.2e-4, 5e-5, 1e22, -1.5e-7, 100.25, 1e7, 0.001, -123456789012.5, 1.0]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", V.plain_text(F.col("v")).alias("text")).collect()
+    for r in rows:
+        want = format(Decimal(repr(r["v"])), "f")
+        assert r["text"] == (want if "." in want else f"{want}.0")
+    texts = {"1.5d": None, "2f": None, "1e3": 1000.0, " 7 ": 7.0, "-.5": -0.5, "NaN": None, "abc": None, "": None, "1.": 1.0, "0x1p3": None}
+    found = spark.createDataFrame([(k,) for k in texts], "t string").select("t", V.number(F.col("t")).alias("n")).collect()
+    assert {r["t"]: r["n"] for r in found} == texts
