@@ -10,6 +10,7 @@ is encoded once.
 from __future__ import annotations
 
 import base64
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -27,39 +28,49 @@ from candlewright.llm.common import pieces, ragged, strings, sums, words
 MIN_WORDS = 20
 WINDOW = 8
 MAX_REPEAT_PERCENT = 30
+#: Share of the most bits of entropy that a text of so many tokens can have.
+ENTROPY_SHARE = 0.6
 
 
 @dataclass(frozen=True)
 class Band:
-    """Texts outside are rejected: characters per token, share of byte pieces, bits of entropy per token."""
+    """Texts outside are rejected: characters per token, share of byte pieces, bits of entropy per token.
+
+    n tokens have log2(n) bits at most, so the entropy floor grows as ENTROPY_SHARE * log2(n), from
+    `min_entropy` (about that of MIN_WORDS tokens) up to `full_entropy`.
+    """
 
     min_chars: float
     max_chars: float
     max_bytes: float
     min_entropy: float
+    full_entropy: float
+
+    def entropy_floor(self, n_tokens: float) -> float:
+        return min(self.full_entropy, max(self.min_entropy, ENTROPY_SHARE * math.log2(max(n_tokens, 1))))
 
 
 # Bands by language.
 LANGUAGE_BANDS = {
-    "de": Band(1.85, 7.0, 0.05, 4.3),
-    "en": Band(1.80, 7.0, 0.05, 4.3),
-    "es": Band(1.72, 7.0, 0.05, 4.3),
-    "fr": Band(1.67, 7.0, 0.05, 4.3),
+    "de": Band(1.85, 7.0, 0.05, 2.5, 4.3),
+    "en": Band(1.80, 7.0, 0.05, 2.5, 4.3),
+    "es": Band(1.72, 7.0, 0.05, 2.5, 4.3),
+    "fr": Band(1.67, 7.0, 0.05, 2.5, 4.3),
 }
 
 # Bands by script, for texts without a language of the list above.
 SCRIPT_BANDS = {
-    "Latin": Band(1.2, 7.5, 0.10, 4.0),
-    "Cyrillic": Band(0.8, 6.0, 0.10, 4.0),
-    "Greek": Band(0.6, 4.0, 0.30, 4.0),
-    "Arabic": Band(0.6, 4.0, 0.30, 4.0),
-    "Hebrew": Band(0.6, 4.0, 0.40, 4.0),
-    "Devanagari": Band(0.3, 4.0, 0.60, 3.5),
-    "Thai": Band(0.3, 4.0, 0.70, 3.5),
-    "Han": Band(0.3, 3.0, 0.70, 3.5),
-    "Hiragana": Band(0.3, 3.0, 0.60, 3.5),
-    "Hangul": Band(0.3, 3.0, 0.80, 3.5),
-    "other": Band(0.2, 8.0, 1.00, 3.5),
+    "Latin": Band(1.2, 7.5, 0.10, 2.5, 4.0),
+    "Cyrillic": Band(0.8, 6.0, 0.10, 2.5, 4.0),
+    "Greek": Band(0.6, 4.0, 0.30, 2.5, 4.0),
+    "Arabic": Band(0.6, 4.0, 0.30, 2.5, 4.0),
+    "Hebrew": Band(0.6, 4.0, 0.40, 2.5, 4.0),
+    "Devanagari": Band(0.3, 4.0, 0.60, 2.5, 3.5),
+    "Thai": Band(0.3, 4.0, 0.70, 2.5, 3.5),
+    "Han": Band(0.3, 3.0, 0.70, 2.5, 3.5),
+    "Hiragana": Band(0.3, 3.0, 0.60, 2.5, 3.5),
+    "Hangul": Band(0.3, 3.0, 0.80, 2.5, 3.5),
+    "other": Band(0.2, 8.0, 1.00, 2.5, 3.5),
 }
 
 
@@ -197,7 +208,8 @@ def measure(texts: pa.StringArray, languages: list[str | None], vocabularies: Vo
     for i, script in zip(unknown, script_of(texts.take(pa.array(unknown, pa.int64())))):
         names[i] = script
     bands = [LANGUAGE_BANDS.get(name) or SCRIPT_BANDS[name] for name in names]
-    lowest, highest, most_bytes, least_entropy = (np.array([getattr(b, f) for b in bands]) for f in ("min_chars", "max_chars", "max_bytes", "min_entropy"))
+    lowest, highest, most_bytes = (np.array([getattr(b, f) for b in bands]) for f in ("min_chars", "max_chars", "max_bytes"))
+    least_entropy = np.array([b.entropy_floor(n) for b, n in zip(bands, n_tokens.tolist())])
     inside = (per_token >= lowest) & (per_token <= highest) & (bytes_share <= most_bytes) & (entropy >= least_entropy)
     duplicates = [duplicate_lines(text) for text in texts.to_pylist()]
     columns = [n_words, chars, symbols, np.array(duplicates, np.int64), repeated, failed, ~failed & inside, n_tokens, per_token, bytes_share, entropy]

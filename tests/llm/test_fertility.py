@@ -73,3 +73,25 @@ def test_verdict_by_language_and_script(spark, docs_of):
 def test_empty_table(spark, docs_of):
     assert op.quality(docs_of([]), vocabularies(spark)).count() == 0
     assert op.drop_rejected(docs_of([]), vocabularies(spark)).count() == 0
+
+
+def test_short_clean_texts_stay(spark, docs_of):
+    texts = [
+        "The old bridge over the river was closed for the winter, and the people of the town had to walk around the hill.",
+        "We walked to the market in the morning and bought bread, apples and a little cheese for the children of the house.",
+        "The members of the committee said that the work of the committee on the road to the north of the town was done.",
+        "It was late when the last of the boats came in, and the men on the quay were tired of the wind and of the rain that had come "
+        "with the night, but the one who had the key to the shed was not there.",
+    ]
+    assert any(brute_measures(text)[3] < 4.3 for text in texts[:3])
+    rows = [(i, text, lang) for i, (text, lang) in enumerate((t, lang) for t in texts for lang in ("en", None))]
+    assert all(r["kept"] for r in op.quality(docs_of(rows), vocabularies(spark)).collect())
+
+
+def test_entropy_floor_grows_with_length(spark, docs_of):
+    for band in (*op.LANGUAGE_BANDS.values(), *op.SCRIPT_BANDS.values()):
+        floors = [band.entropy_floor(n) for n in range(op.MIN_WORDS, 400)]
+        assert floors == sorted(floors) and floors[0] < math.log2(op.MIN_WORDS) - 1 and floors[-1] == band.full_entropy
+    rng = random.Random(1)
+    dull = [(0, " ".join(rng.choices("the cat sat on".split(), k=24)), "en"), (1, " ".join(rng.choices("the cat sat on a mat and ran to it".split(), k=400)), "en")]
+    assert not any(r["kept"] for r in op.quality(docs_of(dull), vocabularies(spark)).collect())
