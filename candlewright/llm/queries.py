@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from candlewright.llm import brown, byte_bpe, chat, exact_dedup, fertility, mixing, pii, sharding, simhash, template
+from candlewright.llm import brown, byte_bpe, chat, exact_dedup, fertility, mixing, pii, prefix_counts, repair, resample, sharding, simhash, template
 from candlewright.llm.common import table
 
 
@@ -67,6 +67,25 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The vocabulary whose tokens are counted.
+COUNTED = "byte_bpe_50k.json"
+
+
+def op12_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(COUNTED), encoding="utf-8") as file:
+        vocabulary = spark.sparkContext.broadcast(file.read())
+    return prefix_counts.token_budget(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.audit(turns, repair.damage(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_tokenizer_fertility": op1_tokenizer_fertility,
     "op2_brown_classes": op2_brown_classes,
@@ -78,9 +97,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_simhash_trie": op9_simhash_trie,
     "op10_feistel_shards": op10_feistel_shards,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_prefix_token_counts": op12_prefix_token_counts,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 
+#: CRC-32 in SQL: the table of its 256 steps, and the checksum of the bytes whose hex digits are `digits`.
+CRC_STEPS = "list_transform(range(256), lambda b: list_reduce(list_prepend(b::BIGINT, range(8)), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END))"
+CRC = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(digits) + 1, 2), lambda i: ('0x' || substr(digits, i, 2))::BIGINT)), "
+    "lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1])))"
+)
+
 SQL: dict[str, str] = {
     "op3_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -148,4 +177,97 @@ SQL: dict[str, str] = {
                (sum(chars) + sum(CASE WHEN fresh THEN past + CASE WHEN place > 1 AND has_system THEN system_chars ELSE 0 END ELSE 0 END))::BIGINT AS formatted_chars
         FROM opened GROUP BY conv_id
     """,
+    "op11_importance_resampling": r"""
+        WITH steps AS (
+            SELECT <CRC_STEPS> AS step),
+        lowered AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words, row_number() OVER () AS row_at
+            FROM documents),
+        aimed AS (
+            SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+            FROM benchmark),
+        read AS (SELECT row_at, unnest(words) AS word FROM lowered),
+        known AS (
+            SELECT word, hex(encode(word)) AS digits FROM (SELECT word FROM read UNION SELECT word FROM aimed)),
+        hashed AS (
+            SELECT word, <CRC> % 10000 AS bucket
+            FROM known, steps),
+        corpus AS (SELECT bucket, count(*) AS s FROM read JOIN hashed USING (word) GROUP BY bucket),
+        target AS (SELECT bucket, count(*) AS t FROM aimed JOIN hashed USING (word) GROUP BY bucket),
+        totals AS (SELECT (SELECT coalesce(sum(s), 0) FROM corpus)::DOUBLE AS s_all, (SELECT coalesce(sum(t), 0) FROM target)::DOUBLE AS t_all),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (s_all + 10000) / ((coalesce(s, 0)::DOUBLE + 1) * (t_all + 10000))))::BIGINT AS gain
+            FROM corpus FULL JOIN target USING (bucket), totals),
+        weighed AS (
+            SELECT row_at, count(*) AS n, sum(gain)::BIGINT AS weight FROM read JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row_at),
+        scored AS (
+            SELECT doc_id, row_at, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+            FROM lowered LEFT JOIN weighed USING (row_at)),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, row_at) AS place,
+                   count(*) OVER (PARTITION BY n_features >= 20) AS n_all FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * n_all // 100 THEN place END AS rank FROM ranked
+    """.replace("<CRC_STEPS>", CRC_STEPS).replace("<CRC>", CRC),
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE steps AS (
+            SELECT <CRC_STEPS> AS step),
+        keyed AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS digits
+            FROM conversations),
+        struck AS (
+            SELECT conv_id, turn, role, text,
+                   <CRC> % 20 AS hit
+            FROM keyed, steps),
+        damaged AS (
+            SELECT conv_id, turn, CASE WHEN hit = 4 THEN 'user' ELSE role END AS role,
+                   CASE hit WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(range(CASE hit WHEN 3 THEN 2 ELSE 1 END)) AS copy
+            FROM struck WHERE hit <> 0),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || ':' || text), copy) AS place
+            FROM damaged),
+        judged AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 2
+                           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 3
+                           WHEN right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS fault,
+                   left(lag(role) OVER (PARTITION BY conv_id ORDER BY place), 1) || left(role, 1) AS pair, place > 1 AS later
+            FROM placed),
+        found AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 2) AS blank,
+                   count(*) FILTER (fault = 3) AS duplicate, count(*) FILTER (fault = 1) AS truncated,
+                   count(*) FILTER (later AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+            FROM judged GROUP BY conv_id),
+        -- States 1 to 4: nothing, system, user or assistant came last. A way has its cost, its edits and its turns.
+        behind AS (
+            SELECT conv_id, n + 1 AS place, [
+                {'c': 0, 'a': '', 't': []::VARCHAR[]}, {'c': 6, 'a': 'II', 't': ['user:', 'assistant:']},
+                {'c': 3, 'a': 'I', 't': ['assistant:']}, {'c': 0, 'a': '', 't': []::VARCHAR[]}] AS way
+            FROM found
+            UNION ALL
+            SELECT conv_id, place, list_transform([1, 2, 3, 4], lambda s: list_min([
+                raw[s],
+                {'c': raw[due[s]].c + 3, 'a': 'I' || raw[due[s]].a, 't': list_prepend(name[due[s]] || ':', raw[due[s]].t)},
+                {'c': raw[due[due[s]]].c + 6, 'a': 'II' || raw[due[due[s]]].a, 't': list_prepend(name[due[s]] || ':', list_prepend(name[due[due[s]]] || ':', raw[due[due[s]]].t))}]))
+            FROM (
+                SELECT conv_id, place, due, name, list_transform([1, 2, 3, 4], lambda s: list_min(list_filter([
+                    {'c': way[s].c + 4, 'a': 'D' || way[s].a, 't': way[s].t},
+                    CASE WHEN fault < 2 THEN {'c': way[due[s]].c + 3 + 3 * fault, 'a': 'R' || way[due[s]].a, 't': list_prepend(name[due[s]] || ':' || text, way[due[s]].t)} END,
+                    CASE WHEN fault < 2 AND kept[s] IS NOT NULL THEN {'c': way[kept[s]].c + 3 * fault, 'a': 'K' || way[kept[s]].a, 't': list_prepend(role || ':' || text, way[kept[s]].t)} END
+                ], lambda x: x IS NOT NULL))) AS raw
+                FROM (
+                    SELECT j.conv_id, j.place, j.role, j.text, j.fault, b.way, [3, 3, 4, 3] AS due, [NULL, NULL, 'user', 'assistant'] AS name,
+                           CASE left(j.role, 1) WHEN 's' THEN [2, NULL, NULL, NULL] WHEN 'u' THEN [3, 3, NULL, 3] WHEN 'a' THEN [NULL, NULL, 4, NULL]
+                                ELSE [NULL, NULL, NULL, NULL]::INT[] END AS kept
+                    FROM behind b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.place = b.place - 1))),
+        best AS (SELECT conv_id, way[1] AS way FROM behind WHERE place = 1)
+        SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+               coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(way.c, 0)::BIGINT AS cost,
+               coalesce(way.a, '') AS audit, sha256(coalesce(array_to_string(way.t, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+             LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id
+    """.replace("<CRC_STEPS>", CRC_STEPS).replace("<CRC>", CRC),
 }

@@ -9,7 +9,7 @@ import __spark_entry__ as entry_point
 from candlewright.llm.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-KEY = {"op4_template_deduction": ("pages", "page_id"), "op7_chat_windows": ("conversations", "conv_id")}
+KEY = {"op4_template_deduction": ("pages", "page_id"), "op7_chat_windows": ("conversations", "conv_id"), "op13_conversation_repair": ("conversations", "conv_id")}
 EXTRA = {"op7_chat_windows": {-1}}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are absent")
@@ -18,14 +18,14 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
-    for name in ("documents", "pages", "conversations"):
+    for name in ("benchmark", "documents", "pages", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(entry_point.queries()) and SQL.items() <= entry_point.oracle_sql().items()
-    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
