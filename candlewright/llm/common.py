@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -45,11 +47,43 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Scratch tables written since a job began to gather them, or None.
+_gathered: ContextVar[list[str] | None] = ContextVar("gathered", default=None)
+
+
 def settle(frame: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: lineage ends there and positions are fixed."""
     path = run_folder(frame.sparkSession, label)
     frame.write.parquet(path, compression="zstd")
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    written = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    written.scratch_path = path
+    if (gathered := _gathered.get()) is not None:
+        gathered.append(path)
+    return written
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders of scratch tables, wherever the shared folder lies."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more; other frames stay as they are."""
+    for frame in frames:
+        if path := getattr(frame, "scratch_path", None):
+            remove(frame.sparkSession, path)
+
+
+@contextmanager
+def gathering() -> Iterator[list[str]]:
+    """The paths of the scratch tables that are written inside."""
+    mark = _gathered.set([])
+    try:
+        yield _gathered.get()
+    finally:
+        _gathered.reset(mark)
 
 
 def text_of(name: str) -> Column:

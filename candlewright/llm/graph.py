@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from candlewright.llm.common import settle
+from candlewright.llm.common import discard, settle
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -28,7 +28,9 @@ def components(links: DataFrame) -> DataFrame:
     links = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     before = None
     while True:
-        links = settle(_stars(_stars(links, True).distinct(), False).distinct(), "components")
+        known, links = links, settle(_stars(_stars(links, True).distinct(), False).distinct(), "components")
+        if before is not None:
+            discard(known)
         now = tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))

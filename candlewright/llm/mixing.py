@@ -21,6 +21,8 @@ EPOCHS = 3
 SEED = 7
 #: Leading hex digits of the hash that make a bin.
 BIN_DIGITS = 3
+#: Cuts of so many sources are sent to every task; more are joined by a shuffle.
+SENT_SOURCES = 10_000
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
@@ -89,9 +91,35 @@ def mix_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     return told.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+def cuts(sized: DataFrame, planned: DataFrame) -> DataFrame:
+    """of, whole, last: one row for each source; `last` has mark and size of the last row that its rest takes, null if none.
+
+    Rows are taken in the order of mark and size as long as half of the next one still fits, so one mark
+    for each source tells them all. Only the rows of the bin of the cut are ordered.
+    """
+    took = repetitions(sized, planned, "source", "mark").join(
+        planned.select(F.col("source").alias("of"), "whole"), F.col("source").eqNullSafe(F.col("of"))
+    ).where(F.col("times") > F.col("whole"))
+    last = took.groupBy("source").agg(F.max(F.struct("mark", "size")).alias("last")).withColumnRenamed("source", "took")
+    plan = planned.select(F.col("source").alias("of"), "whole")
+    return plan.join(last, F.col("of").eqNullSafe(F.col("took")), "left").select("of", "whole", "last")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = SEED) -> DataFrame:
-    """The rows of `docs`, each as often as the mix repeats it; same rules as `mix_words`."""
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_sized(docs, id_col, text_col, source_col, seed))
-    planned = targets(sized.select("source", "size"))
-    told = repetitions(sized, planned, "row").withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))))
-    return told.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+    """The rows of `docs`, each as often as the mix repeats it; same rules as `mix_words`.
+
+    Rows without words come as often as whole epochs of their source do. Only ids, sizes and sources move
+    to find the cuts; the rows themselves stay where they are read, unless there are too many sources to
+    send their cuts to every task.
+    """
+    own = _sized(docs, id_col, text_col, source_col, seed)
+    sized = settle(docs.select(*own), "mix-sizes")
+    told = settle(cuts(sized, settle(targets(sized), "mix-targets")), "mix-cuts")
+    if told.count() <= SENT_SOURCES:
+        told = F.broadcast(told)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *own)
+    rows = rows.join(told, F.col("source").eqNullSafe(F.col("of")))
+    picked = F.coalesce(F.struct("mark", "size") <= F.col("last"), F.lit(False)) & (F.col("size") > 0)
+    times = F.col("whole") + F.when(picked, 1).otherwise(0)
+    rows = rows.withColumn("again", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

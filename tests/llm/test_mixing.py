@@ -55,6 +55,30 @@ def test_reruns_agree_and_rows_repeat(docs_of):
     assert words == sum(r[4] for r in first)
 
 
+def test_blank_rows_come_as_often_as_whole_epochs(docs_of):
+    rows = [(i, text, "en", source) for source in ("a", "b") for i, text in enumerate([" ", None, "w " * 30, "", "v " * 50])]
+    rows += [(100 + i, "x " * 400, "en", "c") for i in range(30)]
+    out = defaultdict(int)
+    for r in op.mix(docs_of(rows)).collect():
+        out[r["source"], r["doc_id"]] += 1
+    assert out["a", 2] == out["a", 4] == 3  # a small source of great weight is clamped
+    assert all(out[s, i] <= 3 and out[s, i] <= max(out[s, 2], out[s, 4]) for s in ("a", "b") for i in (0, 1, 3))
+
+
+def test_cuts_stand_for_all_rows(docs_of, monkeypatch):
+    for sent in (10_000, 0):  # cuts sent to every task, or joined by a shuffle
+        monkeypatch.setattr(op, "SENT_SOURCES", sent)
+        docs = docs_of(ROWS)
+        out = defaultdict(int)
+        for r in op.mix(docs).collect():
+            out[r["doc_id"], r["source"]] += len((r["text"] or "").split())
+        taken = defaultdict(int)
+        source = {r[0]: r[3] for r in ROWS}
+        for r in op.mix_words(docs).collect():
+            taken[r["doc_id"], source[r["doc_id"]]] += r["taken"]
+        assert {k: n for k, n in out.items() if n} == {k: n for k, n in taken.items() if n}
+
+
 def test_no_rows_and_no_words(docs_of):
     assert op.mix_words(docs_of([])).count() == 0
     assert op.mix(docs_of([])).count() == 0

@@ -1,6 +1,7 @@
 """Every stage, and all of them, against brute force on a fixture that holds each case."""
 
 import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ from candlewright.llm.mixing import SEED
 from .test_byte_bpe import PATH, brute as encode
 from .test_fertility import brute_base, brute_measures
 from .test_mixing import brute_targets
-from .test_simhash import brute_classes, brute_print
+from .test_near_copies import brute as brute_near
 
 ROW = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -30,6 +31,10 @@ def fixture(rng):
         near = list(long)
         near[rng.randrange(1500)] = "changed"
         rows.append((100 + i, " ".join(near), "en", "src1", 0))
+    for i in range(3):  # similar at 0.8, too far apart for a fingerprint of 64 bits
+        near = list(long[:300])
+        near[20 + i * 90] = near[60 + i * 90] = "altered"
+        rows.append((110 + i, " ".join(near), "en", "src3", 0))
     rows += [(200, rows[0][1], "en", "src0", 1), (201, rows[0][1], None, None, None), (202, None, "en", "src0", 0), (203, "too short", "en", "src0", 9)]
     rows += [(204, " ".join(f"z{i}#$%x" for i in range(50)), "en", "src2", 9), (None, " ".join(rng.sample(words, 22)), "xx", None, 3)]
     return rows
@@ -39,9 +44,10 @@ def quality(rows):
     def kept(r):
         if brute_base(r[1])[5]:
             return False
-        _, chars, byte_share, entropy = brute_measures(r[1])
+        n_tokens, chars, byte_share, entropy = brute_measures(r[1])
         band = fertility.LANGUAGE_BANDS.get(r[2], fertility.SCRIPT_BANDS["Latin"])
-        return band.min_chars <= chars <= band.max_chars and byte_share <= band.max_bytes and entropy >= band.min_entropy
+        floor = min(band.min_entropy, max(2.5, 0.6 * math.log2(n_tokens)))
+        return band.min_chars <= chars <= band.max_chars and byte_share <= band.max_bytes and entropy >= floor
 
     return [r for r in rows if kept(r)]
 
@@ -56,10 +62,8 @@ def exact(rows):
 
 
 def near(rows):
-    classes = defaultdict(list)
-    for r, c in zip(rows, brute_classes([brute_print(r[1]) for r in rows])):
-        classes[c].append(r)
-    return [min(c, key=lambda r: (r[0] is None, r[0] or 0)) for c in classes.values()]
+    ids = set(brute_near([(i if r[0] is None else -1000 + r[0], r[1]) for i, r in enumerate(rows)]))
+    return [r for i, r in enumerate(rows) if (i if r[0] is None else -1000 + r[0]) in ids]
 
 
 def mixed(rows):
