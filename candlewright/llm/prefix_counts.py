@@ -36,7 +36,7 @@ CHUNK = 1 << 18
 #: A longer text is read in parts, cut where white space begins.
 PART = 1 << 19
 #: Pre-tokens that a task remembers.
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 19
 #: Pairs of tokens that a task remembers.
 KNOWN_PAIRS = 1 << 21
 LIMIT = 1024
@@ -105,23 +105,23 @@ class Counter(dict):
 
     def prefixes(self, data: bytes) -> list[int]:
         """Tokens of each prefix of a pre-token's bytes, from one byte on."""
-        ends, pairs = self.ends, self.pairs
-        last, counts = [-1], [0]
+        ends, known = self.ends, self.pairs.get
+        last, counts = [0], [0]  # a last token counts from one and stands in the upper half of a pair
         for stop in range(1, len(data) + 1):
             start = stop - 1
             while True:  # the bytes from `start` on end a token as long as no last token is found
                 token = ends[data[start:stop]]
                 if token >= 0:
-                    pair = (last[start] + 1) << 32 | token
-                    good = pairs.get(pair)
+                    good = known(last[start] | token)
                     if good is None:
-                        good = pairs[pair] = self.together(last[start], token)
+                        good = self.pairs[last[start] | token] = self.together((last[start] >> 32) - 1, token)
                     if good:
                         break
                 start -= 1
-            last.append(token)
+            last.append(token + 1 << 32)
             counts.append(counts[start] + 1)
-        return counts[1:]
+        del counts[0]
+        return counts
 
     def by_character(self, word: str) -> list[int]:
         if len(word) > 2 and word[0] == "'" and word[1].isalpha():  # a contraction: cut short it is two pre-tokens
@@ -131,8 +131,7 @@ class Counter(dict):
         counts = self.prefixes(data)
         if len(data) == len(word):
             return counts
-        ends = np.cumsum([len(c.encode()) for c in word]) - 1
-        return [counts[i] for i in ends.tolist()]
+        return [n for n, after in zip(counts, data[1:] + b"a") if after & 0xC0 != 0x80]
 
     def __missing__(self, word: str) -> int:
         counts = self.by_character(word)
