@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from candlewright import schema as S
 from candlewright.functions import periods as P, times as T, values as V
 from candlewright.operators import gates as G, merge as M
-from candlewright.plans import zone as Z
+from candlewright.plans import publish as PB, zone as Z
 from candlewright.session import run_folder
 from candlewright.sources import files as FS, sinks
 
@@ -40,24 +40,29 @@ def _kept(spark: SparkSession, frame: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _append_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, raw: str) -> DataFrame:
-    """Write whole accepted days beside the zone, verify them against the staging rows, then move them in.
+def _pairs(accepted: DataFrame) -> DataFrame:
+    return accepted.select("symbol", F.date_format("date", "yyyyMMdd").alias("period"))
 
-    Raw holds all of the accepted days or none: a job that ends early leaves a folder beside the zone,
-    which nothing reads, and the next run adds the days again. Returns the (symbol, period) pairs.
-    """
-    pairs = accepted.select("symbol", F.date_format("date", "yyyyMMdd").alias("period"))
-    chosen = rows.join(pairs, ["symbol", "period"], "left_semi")
+
+def _write_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, raw: str) -> str:
+    """Whole accepted days beside the zone, verified against the staging rows."""
+    chosen = rows.join(_pairs(accepted), ["symbol", "period"], "left_semi")
     scratch = Z.beside(raw, "adding")
     Z.write_zone(chosen, scratch, "errorifexists")
     written = Z.read_zone(spark, scratch)
     balance = chosen.select("symbol", "ts", F.lit(1).alias("n")).unionByName(written.select("symbol", "ts", F.lit(-1).alias("n")))
     off = balance.groupBy("symbol", "ts").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
     if not off.isEmpty():
+        FS.remove(spark, scratch)
         raise OSError("verification of the days to add failed; raw is as it was")
-    Z.add_partitions(spark, scratch, raw)
-    FS.remove(spark, scratch)
-    return pairs
+    return scratch
+
+
+def _append_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, raw: str) -> DataFrame:
+    """Add whole accepted days to raw, all of them or none. Returns the (symbol, period) pairs."""
+    scratch = _write_accepted(spark, rows, accepted, raw)
+    PB.publish(spark, Z.added_files(spark, scratch, raw), [raw], [scratch])
+    return _pairs(accepted)
 
 
 def merge_minutes(
@@ -77,7 +82,11 @@ def merge_minutes(
     Raw rows are never replaced and a day raw already has is never added, so a second run adds
     nothing. Added days then leave staging: a period as it was staged goes to the folder of merged ones,
     and what was not accepted stays. ``calendar`` holds closed sessions; the index rule needs none.
+
+    Adding to raw, leaving staging and the log are one set of moves: a run that is lost between two of them
+    is completed by the next one.
     """
+    PB.recover(spark, raw, staging)
     days = [p for p in Z.periods(spark, staging) if len(p) == 8]
     if not days:
         return None
@@ -92,25 +101,26 @@ def merge_minutes(
         return decisions
     decided = _kept(spark, decisions, "decisions")
     accepted = decided.where(F.col("decision_str") == G.ADD)
-    if not accepted.isEmpty():
-        added = _append_accepted(spark, rows, accepted, raw)
-        Z.drop_rows(spark, staging, added, Z.beside(staging, "merged"))
     done = decided.withColumn("decision_str", F.when(F.col("decision_str") == G.ADD, F.lit(ADDED)).otherwise(F.col("decision_str")))
-    if log_path is not None:
-        _log(done.where(F.col("decision_str") == ADDED), log_path, index_rule)
+    if not accepted.isEmpty():
+        adding = _write_accepted(spark, rows, accepted, raw)
+        rest, moves = Z.without_rows(spark, staging, _pairs(accepted), Z.beside(staging, "merged"))
+        moves, spent = Z.added_files(spark, adding, raw) + moves, [adding, rest]
+        if log_path is not None:
+            logged = _staged_log(done.where(F.col("decision_str") == ADDED), log_path, index_rule)
+            moves, spent = moves + PB.file_moves(spark, logged, log_path), [*spent, logged]
+        PB.publish(spark, moves, [raw, staging], spent)
     return done
 
 
-def _log(added: DataFrame, path: str, index_rule: bool) -> None:
+def _staged_log(added: DataFrame, path: str, index_rule: bool) -> str:
     stamp = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     named = added.withColumn("merged_at_utc", stamp).withColumn("staging_file_str", F.col("file_name_str")).withColumn("raw_file_str", F.col("file_name_str"))
     if index_rule:
         rows = named.withColumn("bar_kind", F.lit("1min")).withColumn("file_str", F.col("file_name_str")).withColumn("conflict_minute_count_int", F.lit(0))
-        sinks.append_log(rows, path, S.INDEX_MERGE_LOG_COLUMNS)
-    else:
-        # The date column alone does not name a series here, so the symbol leads it.
-        rows = named.withColumnRenamed("check_status_str", "status_str")
-        sinks.append_log(rows, path, ["symbol", *S.MERGE_LOG_COLUMNS])
+        return sinks.stage_log(rows, path, S.INDEX_MERGE_LOG_COLUMNS)
+    # The date column alone does not name a series here, so the symbol leads it.
+    return sinks.stage_log(named.withColumnRenamed("check_status_str", "status_str"), path, ["symbol", *S.MERGE_LOG_COLUMNS])
 
 
 def merge_daily(spark: SparkSession, staging: str, raw: str, apply: bool = False, log_path: str | None = None) -> DataFrame | None:
@@ -118,6 +128,7 @@ def merge_daily(spark: SparkSession, staging: str, raw: str, apply: bool = False
 
     A (symbol, period) with a price issue or a repeated date is skipped as a whole.
     """
+    PB.recover(spark, raw, staging)
     names = Z.periods(spark, staging)
     if not names:
         return None

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from candlewright.functions import periods as P, times as T
 from candlewright.operators import layout as Y, merge as M
+from candlewright.plans import publish as PB
 from candlewright.session import run_folder
 from candlewright.sources import files as FS
 
@@ -106,16 +107,11 @@ def stack(rows: DataFrame, target: Column, rank: Column) -> DataFrame:
 
 def _swap(spark: SparkSession, zone: str, scratch: str, backup: str, built: list[str], retired: list[str]) -> tuple[str, str]:
     """Move old partitions to the backup and the new ones in; put everything back on failure."""
-    folder = lambda root, period: f"{root}/period={period}"
-    done: list[tuple[str, str]] = []
     try:
-        for origin, goal, names in ((zone, backup, retired), (scratch, zone, built)):
-            for period in names:
-                FS.move(spark, folder(origin, period), folder(goal, period))
-                done.append((folder(origin, period), folder(goal, period)))
+        PB.publish(spark, PB.folder_moves(zone, backup, retired) + PB.folder_moves(scratch, zone, built), [zone])
+    except PB.Unsettled:
+        raise
     except Exception as error:
-        for origin, goal in reversed(done):
-            FS.move(spark, goal, origin)
         return "rolled_back", f"{type(error).__name__}; partitions put back"
     return "merged", ""
 
@@ -129,12 +125,14 @@ def merge_into(
     counts. Otherwise the merged periods are written to a new folder, read back and verified, and a
     target is swapped in only when no key is lost, foreign or repeated.
     """
+    if apply:
+        PB.recover(spark, zone)
     present = set(periods(spark, zone))
     outcome: dict[str, tuple[str, str]] = {}
     if not apply:
         stats = {r["target"]: r for r in M.merge_stats(stacked, KEYS, ["target"]).collect()}
     else:
-        scratch = run_folder(spark, "periods")
+        scratch = beside(zone, "periods")
         merged = M.merged_rows(stacked, KEYS).drop("source_rank", "copies", "conflict")
         write_zone(merged.withColumnRenamed("target", "period"), scratch, "errorifexists")
         written = read_zone(spark, scratch).withColumnRenamed("period", "target")
@@ -146,6 +144,7 @@ def merge_into(
                 continue
             retired = [p for p in dict.fromkeys([target, *sources.get(target, [])]) if p in present]
             outcome[target] = _swap(spark, zone, scratch, keep_in, [target], retired)
+        FS.remove(spark, scratch)
     rows = [
         (
             target, " ".join(p for p in sources.get(target, []) if p != target), target in present, s["input_row_count"], s["output_row_count"],
@@ -158,6 +157,7 @@ def merge_into(
 
 def _fold(spark: SparkSession, zone: str, planned: DataFrame, apply: bool) -> DataFrame:
     """Merge every period whose target is another period into that target; existing rows win."""
+    PB.recover(spark, zone)
     order = {p: i for i, p in enumerate(periods(spark, zone))}
     plan = {r["period_str"]: r["target_period_str"] for r in planned.select("period_str", "target_period_str").collect()}
     sources: dict[str, list[str]] = {}
@@ -189,6 +189,8 @@ def rebuild(spark: SparkSession, source: str, target: str, now: Column, apply: b
 
     In place, periods that are not rebuilt are always retired, or their rows would exist twice.
     """
+    if apply:
+        PB.recover(spark, source, target)
     in_place = source.rstrip("/") == target.rstrip("/")
     remove_stale = remove_stale or in_place
     # Longer periods win: four digits before six before eight, then the older one.
@@ -202,15 +204,17 @@ def rebuild(spark: SparkSession, source: str, target: str, now: Column, apply: b
     plan_path = run_folder(spark, "rebuild-plan")
     planned.write.parquet(plan_path)
     plan = spark.read.parquet(plan_path)
-    scratch = run_folder(spark, "rebuild")
+    scratch = beside(target, "rebuild")
     write_zone(merged.withColumnRenamed("target", "period"), scratch, "errorifexists")
     verdict = M.merge_verify(stacked, read_zone(spark, scratch).withColumnRenamed("period", "target"), KEYS).first()
     if not verdict["verified"]:
+        FS.remove(spark, scratch)
         raise OSError(f"verification of the rebuilt zone failed: {verdict.asDict()}")
     # In place, every old period steps aside before the first new one appears.
     built = periods(spark, scratch)
     retired = [p for p in periods(spark, target) if p in built or remove_stale]
     status, message = _swap(spark, target, scratch, backup_folder(target), built, retired)
+    FS.remove(spark, scratch)
     if status != "merged":
         raise OSError(f"the rebuilt zone was not swapped in: {message}")
     return plan
@@ -222,6 +226,7 @@ def save_stage(spark: SparkSession, new: DataFrame, staging: str, daily: bool) -
     Intraday rows replace the staged day of their symbol; daily rows join the staged year and the
     rows already staged win.
     """
+    PB.recover(spark, staging)
     day = T.wall_date(F.col("ts"))
     period = F.date_format(day, "yyyy" if daily else "yyyyMMdd")
     fresh = new.withColumn("period", period)
@@ -254,29 +259,25 @@ def beside(path: str, label: str) -> str:
     return f"{path.rstrip('/')}_{label}_{uuid.uuid4().hex}"
 
 
-def add_partitions(spark: SparkSession, scratch: str, zone: str) -> None:
-    """Move the files of written periods into a zone; on a failure all of them go back."""
-    done: list[tuple[str, str]] = []
-    try:
-        for period in periods(spark, scratch):
-            for entry in FS.listing(spark, f"{scratch}/period={period}"):
-                if entry.name.endswith(".parquet"):
-                    goal = f"{zone.rstrip('/')}/period={period}/{entry.name}"
-                    FS.move(spark, entry.path, goal)
-                    done.append((entry.path, goal))
-    except Exception:
-        for origin, goal in reversed(done):
-            FS.move(spark, goal, origin)
-        raise
+def added_files(spark: SparkSession, scratch: str, zone: str) -> list[tuple[str, str]]:
+    """Moves that bring the files of written periods into a zone."""
+    folder = lambda root, period: f"{root.rstrip('/')}/period={period}"
+    return [move for p in periods(spark, scratch) for move in PB.file_moves(spark, folder(scratch, p), folder(zone, p))]
 
 
-def drop_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> None:
-    """Take (symbol, period) pairs out of a zone; the periods as they were are moved to ``backup``."""
+def without_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> tuple[str, list[tuple[str, str]]]:
+    """What a zone keeps without (symbol, period) pairs, written beside it, and the moves that swap it in.
+
+    The periods as they were go to ``backup``.
+    """
     names = [r["period"] for r in gone.select("period").distinct().collect()]
     rest = read_zone(spark, zone, names).join(gone.select("symbol", "period"), ["symbol", "period"], "left_anti")
     scratch = beside(zone, "rest")
     write_zone(rest, scratch, "errorifexists")
-    status, message = _swap(spark, zone, scratch, backup, periods(spark, scratch), names)
-    FS.remove(spark, scratch)
-    if status != "merged":
-        raise OSError(f"the added days are still staged: {message}")
+    return scratch, PB.folder_moves(zone, backup, names) + PB.folder_moves(scratch, zone, periods(spark, scratch))
+
+
+def drop_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> None:
+    """Take (symbol, period) pairs out of a zone; the periods as they were are moved to ``backup``."""
+    scratch, moves = without_rows(spark, zone, gone, backup)
+    PB.publish(spark, moves, [zone], [scratch])

@@ -48,6 +48,16 @@ def first_line(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def write_line(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of one line."""
+    system, location = _hadoop(spark, path)
+    stream = system.create(location, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """A path as Spark names it in file metadata, without scheme and leading slashes."""
     system, location = _hadoop(spark, path)

@@ -65,10 +65,20 @@ def _take_place(spark: SparkSession, scratch: str, path: str) -> None:
         FS.remove(spark, old)
 
 
+def _log_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns])
+
+
 def append_log(rows: DataFrame, path: str, columns: list[str]) -> bool:
     """Append rows in the fixed column order; columns that are not known yet stay empty."""
-    ordered = [F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    return write_table(rows.select(*ordered), path, "parquet", "A")
+    return write_table(_log_rows(rows, columns), path, "parquet", "A")
+
+
+def stage_log(rows: DataFrame, path: str, columns: list[str]) -> str:
+    """Write log rows beside the log, to be moved in together with what they tell of."""
+    scratch = f"{path.rstrip('/')}_logging_{uuid.uuid4().hex}"
+    _log_rows(rows, columns).write.option("compression", "snappy").parquet(scratch)
+    return scratch
 
 
 def write_report(frame: DataFrame, path: str) -> bool:

@@ -7,7 +7,7 @@ from bars import TEXT, calendar, text_frame, text_rows
 from candlewright import schema as S
 from candlewright.functions import times as T
 from candlewright.operators import align as L, layout as Y
-from candlewright.plans import reports as R, staging as G, zone as Z
+from candlewright.plans import publish as PB, reports as R, staging as G, zone as Z
 from candlewright.sources import files as FS
 
 NOW = "2026-10-06 12:00:00"
@@ -285,3 +285,73 @@ def test_first_of_repeated_rows_wins_whatever_the_file_sizes(spark, tmp_path):
     Z.organize(spark, zone, T.instant_literal("2024-03-05 12:00:00"), True)
     first = Z.read_zone(spark, zone).orderBy("ts").first()
     assert (first["period"], first["close"]) == ("202401", "1.0")
+
+
+class Killed(BaseException):
+    """Stands for the end of the driver: nothing is put back."""
+
+
+def killed_after(monkeypatch, n):
+    real, calls = FS.move, []
+
+    def move(session, source, target):
+        if len(calls) == n:
+            raise Killed
+        calls.append(target)
+        real(session, source, target)
+
+    monkeypatch.setattr(FS, "move", move)
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 5, 6])
+def test_a_lost_add_is_completed_by_the_next_run(spark, zones, tmp_path, monkeypatch, n):
+    """The driver ends after n moves; the next run ends with all rows of the added days in raw, and none of them staged."""
+    raw, staging = zones
+    log = str(tmp_path / "merge_log")
+    before = Z.read_zone(spark, raw).count()
+    killed_after(monkeypatch, n)
+    with pytest.raises(Killed):
+        G.merge_minutes(spark, staging, raw, closed(spark), True, True, log_path=log)
+    monkeypatch.undo()
+    assert PB.pending(spark, raw) and PB.pending(spark, staging)
+    again = decisions(G.merge_minutes(spark, staging, raw, closed(spark), True, True, log_path=log))
+    assert "added" not in again.values() and sorted(again) == ["2025-12-03", "2025-12-11", "2025-12-13"]
+    assert Z.read_zone(spark, raw).count() == before + 390 + 390 + 360
+    assert Z.read_zone(spark, staging).count() == 3 * 390 and spark.read.parquet(log).count() == 3
+    left = [e.name for e in FS.listing(spark, str(tmp_path))]
+    assert not any(mark in name for name in left for mark in ("_intent_", "_adding_", "_rest_", "_logging_"))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_a_lost_roll_up_is_completed_by_the_next_job(spark, zones, monkeypatch, n):
+    raw, _ = zones
+    rows = Z.read_zone(spark, raw).select("symbol", "ts").distinct().count()
+    killed_after(monkeypatch, n)
+    with pytest.raises(Killed):
+        Z.organize(spark, raw, T.instant_literal(NOW), True)
+    monkeypatch.undo()
+    Z.organize(spark, raw, T.instant_literal(NOW), True)
+    kept = Z.read_zone(spark, raw)
+    assert Z.periods(spark, raw) == ["2024", "2025"] and kept.count() == kept.select("symbol", "ts").distinct().count() == rows
+
+
+def test_moves_that_cannot_be_put_back_are_kept_for_the_next_job(spark, tmp_path, monkeypatch):
+    for name in "ab":
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.parquet").write_text(name)
+    zone = str(tmp_path / "zone")
+    moves = [(f"{tmp_path}/{n}/x.parquet", f"{zone}/{n}.parquet") for n in "ab"]
+    real, calls = FS.move, []
+
+    def broken(session, source, target):
+        calls.append(source)
+        if len(calls) >= 2:
+            raise OSError("no connection")
+        real(session, source, target)
+
+    monkeypatch.setattr(FS, "move", broken)
+    with pytest.raises(PB.Unsettled):
+        PB.publish(spark, moves, [zone])
+    monkeypatch.undo()
+    assert PB.recover(spark, zone) == 1 and PB.recover(spark, zone) == 0
+    assert sorted(e.name for e in FS.listing(spark, zone)) == ["a.parquet", "b.parquet"]
