@@ -12,11 +12,11 @@ Report = Callable[[SparkSession, str], DataFrame]
 
 
 def load() -> tuple[dict[str, Report], dict[str, str]]:
-    from candlewright.queries import align_q, calendar_q, checks_q, coverage_q, jobs_q, layout_q, logs_q, merge_q, stream_q, zones_q
+    from candlewright.queries import align_q, apply_q, calendar_q, checks_q, coverage_q, jobs_q, layout_q, logs_q, merge_q, stream_q, zones_q
 
     reports: dict[str, Report] = {}
     sql: dict[str, str] = {}
-    for module in (checks_q, calendar_q, coverage_q, align_q, merge_q, layout_q, zones_q, logs_q, jobs_q, stream_q):
+    for module in (checks_q, calendar_q, coverage_q, align_q, merge_q, layout_q, zones_q, logs_q, jobs_q, apply_q, stream_q):
         for name, (report, statement) in module.REPORTS.items():
             reports[name] = _pinned(report)
             if statement is not None:

@@ -14,17 +14,18 @@ from candlewright.sources import files, readers, sinks
 NOW = "2024-02-06 12:00:00"
 
 
-def _text(bars):
+def as_text(bars, created=None, *carry):
     """Typed bars as text cells of a zone."""
     cells = [F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close")]
+    created = F.lit("") if created is None else created
     return bars.select(
-        "symbol", "ts", T.offset_text(F.col("ts")).alias("timestamp"), *cells, F.lit("").alias("volume"), F.lit("").alias("created_ts"),
-        F.date_format(T.wall_date(F.col("ts")), "yyyy-MM-dd").alias("date"),
+        "symbol", "ts", T.offset_text(F.col("ts")).alias("timestamp"), *cells, F.lit("").alias("volume"), created.alias("created_ts"),
+        F.date_format(T.wall_date(F.col("ts")), "yyyy-MM-dd").alias("date"), *carry,
     )
 
 
 def _minutes(spark, sf_dir):
-    return _text(A.event_bars(spark, sf_dir, step=60))
+    return as_text(A.event_bars(spark, sf_dir, step=60))
 
 
 def organize_apply(spark, sf_dir):
@@ -56,7 +57,7 @@ def rebuild_apply(spark, sf_dir):
 
 def _staged(spark, sf_dir):
     raw, staging = run_folder(spark, "raw"), run_folder(spark, "staging")
-    bars = _text(merge_q.staged(spark, sf_dir))
+    bars = as_text(merge_q.staged(spark, sf_dir))
     dated = bars.withColumn("period", F.regexp_replace("date", "-", ""))
     Z.write_zone(dated, staging)
     Z.write_zone(dated.where(F.col("date") <= "2024-01-08"), raw)
@@ -99,15 +100,8 @@ def zone_issues_stalled(spark, sf_dir):
 
 def _ordered_minutes(spark, sf_dir):
     """Minute bars whose place is the event number, in two loads: the larger one came later."""
-    return _text_with(A.event_bars(spark, sf_dir, step=60)).withColumn("load_seq", F.when(F.pmod("event_id", F.lit(4)) == 0, 1).otherwise(2).cast("bigint"))
-
-
-def _text_with(bars):
-    cells = [F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close")]
-    return bars.select(
-        "symbol", "ts", T.offset_text(F.col("ts")).alias("timestamp"), *cells, F.lit("").alias("volume"), F.col("event_id").cast("string").alias("created_ts"),
-        F.date_format(T.wall_date(F.col("ts")), "yyyy-MM-dd").alias("date"), "event_id", F.col("event_id").alias("row_pos"),
-    )
+    rows = as_text(A.event_bars(spark, sf_dir, step=60), F.col("event_id").cast("string"), "event_id", F.col("event_id").alias("row_pos"))
+    return rows.withColumn("load_seq", F.when(F.pmod("event_id", F.lit(4)) == 0, 1).otherwise(2).cast("bigint"))
 
 
 def _winners(spark, zone):

@@ -61,6 +61,13 @@ def stream_multi_batch(spark, sf_dir):
     return bars.select("symbol", A.text("ts").alias("minute"), "close", A.text("arrival_ts").alias("arrival"))
 
 
+def stream_backfill(spark, sf_dir):
+    """The first poll reads the session from its start: versions that arrive up to then have no look-back limit."""
+    folder = S.run_live(_versions(stream_session(spark), sf_dir), "live-backfill", backfill_until=T.instant_literal(FIRST_POLL))
+    bars = S.live_table(spark, f"{folder}/bars")
+    return bars.select("symbol", A.text("ts").alias("minute"), "close", A.text("arrival_ts").alias("arrival"))
+
+
 def stream_minute_bars(spark, sf_dir):
     """Five-minute bars of the event stream, written per batch and read back."""
     schema = A.table(spark, sf_dir, "events").schema
@@ -84,6 +91,9 @@ def stream_minute_bars(spark, sf_dir):
 #: The symbol whose versions come last.
 LAGGING = "click"
 
+#: New York time of the first poll of the back-filled stream.
+FIRST_POLL = "2024-01-17 12:00:00"
+
 VERSIONS = """WITH v AS (SELECT event_type AS symbol, date_trunc('minute', ts) AS ts, ts + (event_id % 7) * INTERVAL 70 SECOND AS arrival, value AS close FROM events),
 polled AS (SELECT *, date_trunc('minute', arrival - INTERVAL 30 SECOND) - INTERVAL 1 MINUTE AS reach FROM v),
 newest AS (SELECT symbol, ts, arg_max(close, arrival) AS close, max(arrival) AS arrival FROM polled WHERE ts <= reach AND ts >= reach - INTERVAL 4 MINUTE GROUP BY 1, 2)"""
@@ -93,6 +103,11 @@ REPORTS = {
         stream_live,
         VERSIONS + " SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS minute, close, strftime(arrival, '%Y-%m-%d %H:%M:%S') AS arrival FROM newest",
     ),
+    "stream_backfill": (
+        stream_backfill,
+        VERSIONS.replace("ts >= reach - INTERVAL 4 MINUTE", f"(ts >= reach - INTERVAL 4 MINUTE OR arrival <= TIMESTAMP '{FIRST_POLL}')")
+        + " SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS minute, close, strftime(arrival, '%Y-%m-%d %H:%M:%S') AS arrival FROM newest",
+    ),
     "stream_multi_batch": (
         stream_multi_batch,
         VERSIONS + " SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS minute, close, strftime(arrival, '%Y-%m-%d %H:%M:%S') AS arrival FROM newest",
