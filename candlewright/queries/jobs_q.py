@@ -173,6 +173,24 @@ def text_layouts(spark, sf_dir):
     )
 
 
+def text_layouts_many(spark, sf_dir):
+    """One text file for each day in each of three layouts, read back as one table: rows and cells by day and layout."""
+    folder = run_folder(spark, "layouts-many")
+    rows = _minutes(spark, sf_dir).drop("symbol", "ts").withColumn("day", F.regexp_replace("date", "-", ""))
+    third = F.substring("timestamp", 15, 2).cast("int") % 3
+    tail = [c for c in rows.columns if c not in ("timestamp", "day")]
+    for k, cells in enumerate((["timestamp", *tail], ["note", *reversed(tail), "timestamp"], ["timestamp", *tail, "close_again"])):
+        part = rows.where(third == k).withColumn("note", F.lit("second")).withColumn("close_again", F.lit("third"))
+        part.select("day", *cells).repartition(4, "day").write.partitionBy("day").option("header", True).csv(f"{folder}/{k}")
+    days = [d.path for k in range(3) for d in files.listing(spark, f"{folder}/{k}") if d.is_folder]
+    paths = [e.path for d in days for e in files.listing(spark, d) if files.has_extension(e.path, "csv")]
+    found = readers.read_bar_text(spark, paths, "all")
+    layout = F.when(F.col("note") != "", F.col("note")).when(F.col("close_again") != "", F.col("close_again")).otherwise(F.lit("first"))
+    return found.groupBy("date", layout.alias("layout")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("row_pos").alias("place_count"), F.sum(F.col("close").cast("decimal(12,2)")).cast("double").alias("close_sum")
+    )
+
+
 STALLED = ["click", "view"]
 
 MINUTES = "bars AS (SELECT event_type AS symbol, date_trunc('minute', ts) AS ts, value, event_id FROM events)"
@@ -241,4 +259,9 @@ WHERE CAST(ts AS DATE) = DATE '2024-01-10' GROUP BY 1""",
         f"""WITH {MINUTES} SELECT strftime(ts, '%Y-%m-%d') AS date, CASE WHEN minute(ts) % 2 = 0 THEN 'x' ELSE '' END AS layout, count(*) AS row_count,
   count(DISTINCT ts) AS minute_count, CAST(sum(CAST(value AS DECIMAL(12, 2))) AS DOUBLE) AS close_sum FROM bars GROUP BY 1, 2""",
     ),
+    "text_layouts_many": (
+        text_layouts_many,
+        f"""WITH {MINUTES} SELECT strftime(ts, '%Y-%m-%d') AS date, CASE minute(ts) % 3 WHEN 0 THEN 'first' WHEN 1 THEN 'second' ELSE 'third' END AS layout,
+  count(*) AS row_count, count(*) AS place_count, CAST(sum(CAST(value AS DECIMAL(12, 2))) AS DOUBLE) AS close_sum FROM bars GROUP BY 1, 2""",
+    ),
 }

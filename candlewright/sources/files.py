@@ -37,6 +37,24 @@ def listing(spark: SparkSession, path: str) -> list[Entry]:
     return sorted(found, key=lambda e: e.name)
 
 
+def present(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that exist, in their order; one listing for each folder they lie in."""
+    folders: dict[str, set[str]] = {}
+    found = []
+    for path in paths:
+        folder, _, name = path.rstrip("/").rpartition("/")
+        if folder not in folders:
+            folders[folder] = {e.name for e in listing(spark, folder or ("/" if path.startswith("/") else "."))}
+        if name in folders[folder]:
+            found.append(path)
+    return found
+
+
+def bare(path: str) -> str:
+    """A path without scheme and leading slashes."""
+    return re.sub(r"^[A-Za-z0-9+.-]+:/*|^/+", "", path)
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     """Header of one text file. Reads a single line, not the file."""
     system, location = _hadoop(spark, path)
@@ -59,9 +77,11 @@ def write_line(spark: SparkSession, path: str, text: str) -> None:
 
 
 def qualified(spark: SparkSession, path: str) -> str:
-    """A path as Spark names it in file metadata, without scheme and leading slashes."""
-    system, location = _hadoop(spark, path)
-    return re.sub(r"^[A-Za-z0-9+.-]+:/*|^/+", "", system.makeQualified(location).toUri().toString())
+    """A path as Spark names it in file metadata, without scheme and leading slashes; only a relative one is looked up."""
+    if not re.match(r"[A-Za-z0-9+.-]+:|/", path):
+        system, location = _hadoop(spark, path)
+        path = system.makeQualified(location).toUri().toString()
+    return bare(path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -6,6 +6,7 @@ import csv
 import re
 from datetime import date, datetime
 from decimal import Decimal
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -15,28 +16,48 @@ from candlewright.functions import periods as P, times as T
 from candlewright.sources import files as FS
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    cells = next(csv.reader([FS.first_line(spark, path)]), [])
+def _names(header: str) -> tuple[str, ...]:
+    """Column names of a header line; a repeated name gets a number behind it."""
     names: list[str] = []
-    for cell in cells:
+    for cell in next(csv.reader([header]), []):
         seen = names.count(cell)
-        # A repeated name gets a numeric suffix and is dropped below.
         names.append(f"{cell}.{seen}" if seen else cell)
     return tuple(names)
 
 
+def layouts(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The paths by the columns of their header line, in the order of the list; files without a line are left out.
+
+    One job reads the first block of every file and keeps its first line, and brings the files of one
+    header together; the driver opens nothing and sees one row for each layout. The number of rows in
+    front of a line inside a task orders the lines, since a block is read by one task.
+    """
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
+    first = lines.where("block = 0").withColumn("at", F.monotonically_increasing_id())
+    # The set makes Spark hash the few files of a task instead of sorting their lines.
+    headers = first.groupBy("path").agg(F.min_by("value", "at").alias("header"), F.collect_set(F.lit(True)).alias("_"))
+    found = headers.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    given = {FS.qualified(spark, path): (i, path) for i, path in enumerate(paths)}
+    grouped: dict[tuple[str, ...], list[tuple[int, str]]] = {}
+    for row in found:
+        members = [given.get(FS.bare(path)) or given.get(FS.bare(unquote(path))) or (len(paths), unquote(path)) for path in row["paths"]]
+        grouped.setdefault(_names(row["header"]), []).extend(members)
+    ordered = {header: [path for _, path in sorted(members)] for header, members in grouped.items()}
+    place = {path: i for i, path in enumerate(paths)}
+    return dict(sorted(ordered.items(), key=lambda item: place.get(item[1][0], len(paths))))
+
+
 def read_bar_text(spark: SparkSession, paths: list[str], symbol: str | None = None) -> DataFrame:
     """Bar files with every cell as text, blanks as empty text, plus the instant ``ts``.
 
-    Files are grouped by their header line, so each layout is one scan; the layouts are then united
-    by column name. Repeated columns (``date.1``) are dropped. ``row_pos`` orders the rows as the caller
+    Files are grouped by their header line in one job, so each layout is one scan; the layouts are then
+    united by column name. Repeated columns (``date.1``) are dropped. ``row_pos`` orders the rows as the caller
     listed the files and as they stand in each file, however Spark packs files into tasks.
     """
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        layouts.setdefault(_header(spark, path), []).append(path)
     parts = []
-    for header, members in layouts.items():
+    for header, members in layouts(spark, paths).items():
         kept = [c for c in header if not re.fullmatch(r".+\.\d+", c)]
         raw = spark.read.option("header", True).schema(S.text_schema(list(header))).csv(members)
         cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in kept]
@@ -44,13 +65,14 @@ def read_bar_text(spark: SparkSession, paths: list[str], symbol: str | None = No
         places = [F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_row")]
         parts.append(raw.select(*cells, F.col("_metadata.file_path").alias("file_path"), *places))
     if not parts:
-        raise ValueError("no bar files given")
+        raise ValueError("no bar files given, or none with a header")
     united = parts[0]
     for part in parts[1:]:
         united = united.unionByName(part, allowMissingColumns=True)
     ranks = [(FS.qualified(spark, path), rank) for rank, path in enumerate(dict.fromkeys(paths))]
-    listed = F.broadcast(spark.createDataFrame(ranks, "_path string, _rank long"))  # one row for each listed file
-    name = F.regexp_replace("file_path", "^[A-Za-z0-9+.-]+:/*", "")
+    listed = spark.createDataFrame(ranks, "_path string, _rank long")  # one row for each listed file: Spark knows its size
+    encoded = F.regexp_replace("file_path", "^[A-Za-z0-9+.-]+:/*", "")
+    name = F.coalesce(F.try_url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))), encoded)  # blanks and the like are escaped there
     step = lambda n: F.lit(Decimal(10) ** n)
     position = F.col("_rank").cast("decimal(12,0)") * step(25) + F.col("_block").cast("decimal(15,0)") * step(10) + F.col("_row").cast("decimal(10,0)")
     rows = united.fillna("").join(listed, name == F.col("_path"), "left").withColumn("ts", T.instant(F.col("timestamp")))
@@ -110,12 +132,9 @@ def read_many(spark: SparkSession, paths: list[str], kind: str) -> DataFrame | N
 
     Parquet and JSON are one scan; CSV is one scan per header line.
     """
-    there = [p for p in paths if FS.exists(spark, p)]
+    there = FS.present(spark, paths)
     if kind == "csv":
-        layouts: dict[tuple[str, ...], list[str]] = {}
-        for path in there:
-            layouts.setdefault(_header(spark, path), []).append(path)
-        frames = [spark.read.option("header", True).csv(members) for members in layouts.values()]
+        frames = [spark.read.option("header", True).csv(members) for members in layouts(spark, there).values()]
         if not frames:
             return None
         united = frames[0]

@@ -173,3 +173,32 @@ def test_rows_stand_as_the_files_are_listed(spark, tmp_path):
     assert values == ["small", *["large0"] * 59]
     other = RD.read_bar_text(spark, [str(large), str(small)], "x")
     assert "small" not in {r["close"] for r in M.merge_existing_wins([other.drop("file_path")], order="row_pos").collect()}
+
+
+def test_headers_are_found_without_opening_files_on_the_driver(spark, tmp_path, monkeypatch):
+    """Three layouts over many files, one empty and one with a blank in its name; a path that is not there is skipped."""
+    heads = ["timestamp,open,close", "close,timestamp,open,close", '"timestamp",extra']
+    paths = []
+    for i in range(60):
+        file = tmp_path / f"part {i}.csv"
+        cells = {0: f"2025-12-0{i % 9 + 1} 10:00:00-05:00,1.0,2.0", 1: f"3.0,2025-12-0{i % 9 + 1} 10:00:00-05:00,1.5,9.0", 2: f"2025-12-0{i % 9 + 1} 10:00:00-05:00,note"}[i % 3]
+        file.write_text(heads[i % 3] + "\n" + cells + "\n")
+        paths.append(str(file))
+    (tmp_path / "empty.csv").write_text("")
+    paths.insert(7, str(tmp_path / "empty.csv"))
+
+    def opened(*args):
+        raise AssertionError("a file was opened on the driver")
+
+    monkeypatch.setattr(FS, "first_line", opened)
+    monkeypatch.setattr(FS, "exists", opened)
+    found = RD.layouts(spark, paths)
+    assert {k: len(v) for k, v in found.items()} == {("timestamp", "open", "close"): 20, ("close", "timestamp", "open", "close.1"): 20, ("timestamp", "extra"): 20}
+    assert [p for p in paths if p in set(found["timestamp", "open", "close"])] == found["timestamp", "open", "close"]
+    rows = RD.read_bar_text(spark, paths, "x").orderBy("row_pos").collect()
+    assert [r["timestamp"][:10] for r in rows] == [f"2025-12-0{i % 9 + 1}" for i in range(60)]
+    assert {(r["open"], r["close"], r["extra"]) for r in rows} == {("1.0", "2.0", ""), ("1.5", "3.0", ""), ("", "", "note")}
+    many = RD.read_many(spark, [*paths, str(tmp_path / "absent.csv"), "/no/such/folder/x.csv"], "csv")
+    assert many.count() == 60
+    plan = spark.read.text(paths[:2]).select("value", F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.min_by("value", F.length("value")), F.collect_set(F.lit(True)))
+    assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
