@@ -44,6 +44,11 @@ def stream_gaps(spark, sf_dir):
     return S.poll_table(spark, folder)
 
 
+def _dealt():
+    """Number of the file an event comes in."""
+    return F.when(F.col("event_type") == F.lit(LAGGING), F.lit(7)).otherwise(6 - F.pmod("event_id", F.lit(7))).cast("int")
+
+
 def stream_multi_batch(spark, sf_dir):
     """The same versions from eight files, one for each micro-batch, out of order, with one symbol behind.
 
@@ -52,8 +57,7 @@ def stream_multi_batch(spark, sf_dir):
     """
     own = stream_session(spark)
     folder = run_folder(spark, "version-files")
-    events = A.table(spark, sf_dir, "events")
-    part = F.when(F.col("event_type") == F.lit(LAGGING), F.lit(7)).otherwise(6 - F.pmod("event_id", F.lit(7))).cast("int")
+    events, part = A.table(spark, sf_dir, "events"), _dealt()
     for k in range(8):  # one file after the other, so that the stream reads them in this order
         events.where(part == k).coalesce(1).write.mode("append").parquet(folder)
     source = own.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
@@ -68,24 +72,37 @@ def stream_backfill(spark, sf_dir):
     return bars.select("symbol", A.text("ts").alias("minute"), "close", A.text("arrival_ts").alias("arrival"))
 
 
+def stream_compacted(spark, sf_dir):
+    """The multi-batch stream, stopped half way, its finished dates folded, and gone on with."""
+    own = stream_session(spark)
+    source = run_folder(spark, "version-files")
+    events, part = A.table(spark, sf_dir, "events"), _dealt()
+    folder = None
+    for half in (range(4), range(4, 8)):
+        for k in half:
+            events.where(part == k).coalesce(1).write.mode("append").parquet(source)
+        stream = own.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        folder = S.run_live(_version_columns(stream), "live-compacted", folder=folder)
+        S.compact(spark, folder, "2024-01-20")
+    bars = S.live_table(spark, f"{folder}/bars")
+    return bars.select("symbol", A.text("ts").alias("minute"), "close", A.text("arrival_ts").alias("arrival"))
+
+
 def stream_minute_bars(spark, sf_dir):
-    """Five-minute bars of the event stream, written per batch and read back."""
-    schema = A.table(spark, sf_dir, "events").schema
-    source = stream_session(spark).readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    ticks = source.select(
-        F.col("event_type").alias("symbol"), T.from_wall(F.col("ts")).alias("ts"), F.col("value").alias("price"), F.lit(1.0).alias("volume")
-    )
-    folder = run_folder(spark, "minute-bars")
-    bars = S.minute_bars(ticks, "5 minutes").withColumn("arrival_ts", F.current_timestamp())
-    query = (
-        bars.writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: S.write_batch(batch, batch_id, f"{folder}/bars"))
-        .option("checkpointLocation", f"{folder}/state")
-        .trigger(availableNow=True)
-        .start()
+    """Five-minute bars of the event stream from eight files, one for each batch, each reaching over all days: late ticks count."""
+    own = stream_session(spark)
+    source = run_folder(spark, "tick-files")
+    events, part = A.table(spark, sf_dir, "events"), _dealt()
+    for k in range(8):
+        events.where(part == k).coalesce(1).write.mode("append").parquet(source)
+    stream = own.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    ticks = stream.select(
+        F.col("event_type").alias("symbol"), T.from_wall(F.date_trunc("second", F.col("ts"))).alias("ts"), F.col("value").alias("price"), F.lit(1.0).alias("volume"),
+        F.col("event_id").alias("seq"),
     )
-    query.awaitTermination()
-    return S.live_table(spark, f"{folder}/bars").select("symbol", A.text("ts").alias("bar"), "open", "high", "low", "close", "volume")
+    folder = S.run_bars(ticks, "minute-bars", "5 minutes")
+    S.compact(spark, folder, "2024-01-10", S.merge_partials)
+    return S.bar_table(spark, f"{folder}/bars").select("symbol", A.text("ts").alias("bar"), "open", "high", "low", "close", "volume")
 
 
 #: The symbol whose versions come last.
@@ -112,6 +129,10 @@ REPORTS = {
         stream_multi_batch,
         VERSIONS + " SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS minute, close, strftime(arrival, '%Y-%m-%d %H:%M:%S') AS arrival FROM newest",
     ),
+    "stream_compacted": (
+        stream_compacted,
+        VERSIONS + " SELECT symbol, strftime(ts, '%Y-%m-%d %H:%M:%S') AS minute, close, strftime(arrival, '%Y-%m-%d %H:%M:%S') AS arrival FROM newest",
+    ),
     "stream_gaps": (
         stream_gaps,
         VERSIONS.replace("newest AS", "any_newest AS")
@@ -129,7 +150,8 @@ SELECT symbol, date, n AS total_bar_count_int, missing AS missing_count_int,
     ),
     "stream_minute_bars": (
         stream_minute_bars,
-        """SELECT event_type AS symbol, strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS bar, arg_min(value, ts) AS open, max(value) AS high, min(value) AS low,
-  arg_max(value, ts) AS close, CAST(count(*) AS DOUBLE) AS volume FROM events GROUP BY 1, 2""",
+        """WITH ticks AS (SELECT *, CAST(epoch(date_trunc('second', ts)) AS HUGEINT) * 1000000000000 + event_id AS place FROM events)
+SELECT event_type AS symbol, strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS bar, arg_min(value, place) AS open, max(value) AS high, min(value) AS low,
+  arg_max(value, place) AS close, CAST(count(*) AS DOUBLE) AS volume FROM ticks GROUP BY 1, 2""",
     ),
 }
