@@ -18,16 +18,21 @@ def zone_issues(
     """Issue report over one or more zones.
 
     A start date skips the bars of the periods before it, but not their symbols: a series whose last bar
-    lies in an older period is still expected, and of those periods only the symbol column is read.
+    lies in an older period is still expected. The symbols of those periods come from the zone's statistics;
+    only periods without any are opened for them.
     """
     parts, known = [], []
     for zone in zones:
-        known.append(Z.read_zone(spark, zone).select("symbol"))
-        names = None
+        stored = Z.periods(spark, zone)
+        names = stored
         if start_date is not None:
-            names = [p for p in Z.periods(spark, zone) if p.ljust(8, "9") >= start_date.replace("-", "")]
+            names = [p for p in stored if p.ljust(8, "9") >= start_date.replace("-", "")]
+        known.append(Z.read_stats(spark, zone).select("symbol"))
+        untold = Z.without_stats(spark, zone, stored)
+        if untold:
+            known.append(Z.read_zone(spark, zone, untold).select("symbol"))
         parts.append(Z.read_zone(spark, zone, names).select("symbol", "ts"))
-    bars, symbols = reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, known)
+    bars, symbols = reduce(DataFrame.unionByName, parts), reduce(DataFrame.unionByName, known).distinct()
     issues = K.issue_report(bars, C.closed_sessions(calendar, now), last_date, start_date, symbols=symbols)
     if report_path is not None:
         sinks.write_report(issues, report_path)

@@ -9,7 +9,7 @@ from candlewright.functions import periods as P, times as T, values as V
 from candlewright.operators import gates as G, merge as M
 from candlewright.plans import publish as PB, zone as Z
 from candlewright.session import run_folder
-from candlewright.sources import files as FS, sinks
+from candlewright.sources import sinks
 
 ADDED = "added"
 
@@ -53,7 +53,7 @@ def _write_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, r
     balance = chosen.select("symbol", "ts", F.lit(1).alias("n")).unionByName(written.select("symbol", "ts", F.lit(-1).alias("n")))
     off = balance.groupBy("symbol", "ts").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
     if not off.isEmpty():
-        FS.remove(spark, scratch)
+        Z.clear(spark, scratch)
         raise OSError("verification of the days to add failed; raw is as it was")
     return scratch
 
@@ -61,7 +61,7 @@ def _write_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, r
 def _append_accepted(spark: SparkSession, rows: DataFrame, accepted: DataFrame, raw: str) -> DataFrame:
     """Add whole accepted days to raw, all of them or none. Returns the (symbol, period) pairs."""
     scratch = _write_accepted(spark, rows, accepted, raw)
-    PB.publish(spark, Z.added_files(spark, scratch, raw), [raw], [scratch])
+    PB.publish(spark, Z.added_files(spark, scratch, raw), [raw], [scratch, Z.stats_path(scratch)])
     return _pairs(accepted)
 
 
@@ -105,7 +105,7 @@ def merge_minutes(
     if not accepted.isEmpty():
         adding = _write_accepted(spark, rows, accepted, raw)
         rest, moves = Z.without_rows(spark, staging, _pairs(accepted), Z.beside(staging, "merged"))
-        moves, spent = Z.added_files(spark, adding, raw) + moves, [adding, rest]
+        moves, spent = Z.added_files(spark, adding, raw) + moves, [adding, Z.stats_path(adding), *rest]
         if log_path is not None:
             logged = _staged_log(done.where(F.col("decision_str") == ADDED), log_path, index_rule)
             moves, spent = moves + PB.file_moves(spark, logged, log_path), [*spent, logged]

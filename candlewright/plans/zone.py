@@ -39,23 +39,56 @@ def catalog(spark: SparkSession, zone: str) -> DataFrame:
     return Y.catalog_of(spark.createDataFrame([(p,) for p in periods(spark, zone)], "period_str string"))
 
 
+def stats_path(zone: str) -> str:
+    """The side table of a zone: period, symbol, first and last instant, rows, and the columns of each load."""
+    return f"{zone.rstrip('/')}_stats"
+
+
+STATS = "symbol string, first_ts timestamp, last_ts timestamp, row_count bigint, columns string, period string"
+
+
+def read_stats(spark: SparkSession, zone: str, names: list[str] | None = None) -> DataFrame:
+    """Statistics of a zone's periods; those of tables written by other means are missing."""
+    side = stats_path(zone)
+    there = [p for p in periods(spark, side) if names is None or p in set(names)]
+    if not there:
+        return spark.createDataFrame([], STATS)
+    return spark.read.schema(STATS).option("basePath", side).parquet(*[f"{side}/period={p}" for p in there])
+
+
+def without_stats(spark: SparkSession, zone: str, names: list[str]) -> list[str]:
+    known = set(periods(spark, stats_path(zone)))
+    return [p for p in names if p not in known]
+
+
+def _schema(spark: SparkSession, zone: str, names: list[str], paths: list[str]) -> ST.StructType:
+    """The union of the periods' columns, from the statistics; footers are opened only where those are missing or disagree."""
+    if not without_stats(spark, zone, names):
+        fields: dict[str, ST.StructField] = {}
+        told = [r["columns"] for r in read_stats(spark, zone, names).select("columns").distinct().orderBy("columns").collect()]
+        agree = True
+        for f in (f for ddl in told for f in ST.StructType.fromDDL(ddl).fields):
+            agree &= fields.setdefault(f.name, f).dataType == f.dataType
+        if told and agree:
+            return ST.StructType([*fields.values(), ST.StructField("period", ST.StringType())])
+    reader = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", zone)
+    found = reader.option("mergeSchema", True).parquet(*paths).schema
+    return ST.StructType([ST.StructField("period", ST.StringType()) if f.name == "period" else f for f in found.fields])
+
+
 def read_zone(spark: SparkSession, zone: str, names: list[str] | None = None) -> DataFrame:
     """Zone rows with the union of the partitions' columns. The period stays text, other files are skipped.
 
-    With ``names`` only the folders of those periods are listed and opened; names without a folder are
-    left out, and without any the result is empty.
+    With ``names`` only the folders of those periods are listed; names without a folder are left out, and
+    without any the result is empty.
     """
-    reader = lambda: spark.read.option("pathGlobFilter", "*.parquet").option("basePath", zone)
-    paths = [zone]
-    if names is not None:
-        stored = periods(spark, zone)
-        there = [p for p in dict.fromkeys(names) if p in set(stored)]
-        paths = [f"{zone.rstrip('/')}/period={p}" for p in there or stored[-1:]]
-        if not stored:
-            return spark.createDataFrame([], "symbol string, ts timestamp, period string")
-    found = reader().option("mergeSchema", True).parquet(*paths).schema
-    fields = [ST.StructField("period", ST.StringType()) if f.name == "period" else f for f in found.fields]
-    rows = reader().schema(ST.StructType(fields)).parquet(*paths)
+    stored = periods(spark, zone)
+    if not stored and names is not None:
+        return spark.createDataFrame([], "symbol string, ts timestamp, period string")
+    there = stored if names is None else [p for p in dict.fromkeys(names) if p in set(stored)]
+    paths = [zone] if names is None else [f"{zone.rstrip('/')}/period={p}" for p in there or stored[-1:]]
+    schema = _schema(spark, zone, there or stored[-1:], paths)
+    rows = spark.read.option("pathGlobFilter", "*.parquet").option("basePath", zone).schema(schema).parquet(*paths)
     return rows if names is None else rows.where(F.col("period").isin(there))
 
 
@@ -70,13 +103,34 @@ def write_zone(rows: DataFrame, zone: str, mode: str = "append") -> None:
     if "row_pos" not in rows.columns:
         rows = rows.withColumn("row_pos", F.monotonically_increasing_id())
     rows = rows.withColumn("row_pos", F.col("row_pos").cast("decimal(38,0)"))
-    (
-        rows.hint("rebalance", "period")
-        .sortWithinPartitions("period", "symbol", "ts")
-        .write.mode(mode)
-        .partitionBy("period")
-        .parquet(zone)
-    )
+    spark = rows.sparkSession
+    if mode != "append" or not FS.exists(spark, zone):
+        _write(rows, zone, mode)
+        return
+    # Rows and their statistics join what is there as one set of moves.
+    scratch = beside(zone, "writing")
+    _write(rows, scratch, "errorifexists")
+    PB.publish(spark, added_files(spark, scratch, zone), [zone], [scratch, stats_path(scratch)])
+
+
+def _write(rows: DataFrame, path: str, mode: str) -> None:
+    """Rows by period, and beside them what the periods hold, told from the written symbols and instants."""
+    spark = rows.sparkSession
+    rows.hint("rebalance", "period").sortWithinPartitions("period", "symbol", "ts").write.mode(mode).partitionBy("period").parquet(path)
+    columns = ST.StructType([f for f in rows.schema.fields if f.name != "period"])
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+    schema = ST.StructType([*columns.fields, ST.StructField("period", ST.StringType())])
+    if not periods(spark, path):
+        return
+    written = spark.read.option("pathGlobFilter", "*.parquet").schema(schema).parquet(path)
+    told = written.groupBy("period", "symbol").agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("row_count"))
+    told.withColumn("columns", F.lit(ddl)).hint("rebalance", "period").write.mode(mode).partitionBy("period").parquet(stats_path(path))
+
+
+def clear(spark: SparkSession, path: str) -> None:
+    """Remove a scratch table with its statistics."""
+    FS.remove(spark, path)
+    FS.remove(spark, stats_path(path))
 
 
 def ingest(bars: DataFrame, zone: str, now: Column) -> None:
@@ -105,10 +159,19 @@ def stack(rows: DataFrame, target: Column, rank: Column) -> DataFrame:
     )
 
 
+def swap_moves(spark: SparkSession, zone: str, scratch: str, backup: str, built: list[str], retired: list[str]) -> list[tuple[str, str]]:
+    """Moves of old partitions to the backup and of new ones in, with their statistics."""
+    moves = []
+    for origin, goal, names in ((zone, backup, retired), (scratch, zone, built)):
+        there = set(periods(spark, stats_path(origin)))
+        moves += PB.folder_moves(origin, goal, names) + PB.folder_moves(stats_path(origin), stats_path(goal), [p for p in names if p in there])
+    return moves
+
+
 def _swap(spark: SparkSession, zone: str, scratch: str, backup: str, built: list[str], retired: list[str]) -> tuple[str, str]:
     """Move old partitions to the backup and the new ones in; put everything back on failure."""
     try:
-        PB.publish(spark, PB.folder_moves(zone, backup, retired) + PB.folder_moves(scratch, zone, built), [zone])
+        PB.publish(spark, swap_moves(spark, zone, scratch, backup, built, retired), [zone])
     except PB.Unsettled:
         raise
     except Exception as error:
@@ -144,7 +207,7 @@ def merge_into(
                 continue
             retired = [p for p in dict.fromkeys([target, *sources.get(target, [])]) if p in present]
             outcome[target] = _swap(spark, zone, scratch, keep_in, [target], retired)
-        FS.remove(spark, scratch)
+        clear(spark, scratch)
     rows = [
         (
             target, " ".join(p for p in sources.get(target, []) if p != target), target in present, s["input_row_count"], s["output_row_count"],
@@ -157,7 +220,6 @@ def merge_into(
 
 def _fold(spark: SparkSession, zone: str, planned: DataFrame, apply: bool) -> DataFrame:
     """Merge every period whose target is another period into that target; existing rows win."""
-    PB.recover(spark, zone)
     order = {p: i for i, p in enumerate(periods(spark, zone))}
     plan = {r["period_str"]: r["target_period_str"] for r in planned.select("period_str", "target_period_str").collect()}
     sources: dict[str, list[str]] = {}
@@ -176,11 +238,13 @@ def _fold(spark: SparkSession, zone: str, planned: DataFrame, apply: bool) -> Da
 
 def organize(spark: SparkSession, zone: str, now: Column, apply: bool = False) -> DataFrame:
     """Roll days of closed months into months and everything of closed years into years."""
+    PB.recover(spark, zone)
     return _fold(spark, zone, Y.rollup_plan(catalog(spark, zone), now), apply)
 
 
 def clean_orphans(spark: SparkSession, zone: str, apply: bool = False) -> DataFrame:
     """Fold left-over periods into the larger period that already exists for them."""
+    PB.recover(spark, zone)
     return _fold(spark, zone, Y.orphan_periods(catalog(spark, zone)), apply)
 
 
@@ -208,13 +272,13 @@ def rebuild(spark: SparkSession, source: str, target: str, now: Column, apply: b
     write_zone(merged.withColumnRenamed("target", "period"), scratch, "errorifexists")
     verdict = M.merge_verify(stacked, read_zone(spark, scratch).withColumnRenamed("period", "target"), KEYS).first()
     if not verdict["verified"]:
-        FS.remove(spark, scratch)
+        clear(spark, scratch)
         raise OSError(f"verification of the rebuilt zone failed: {verdict.asDict()}")
     # In place, every old period steps aside before the first new one appears.
     built = periods(spark, scratch)
     retired = [p for p in periods(spark, target) if p in built or remove_stale]
     status, message = _swap(spark, target, scratch, backup_folder(target), built, retired)
-    FS.remove(spark, scratch)
+    clear(spark, scratch)
     if status != "merged":
         raise OSError(f"the rebuilt zone was not swapped in: {message}")
     return plan
@@ -260,13 +324,14 @@ def beside(path: str, label: str) -> str:
 
 
 def added_files(spark: SparkSession, scratch: str, zone: str) -> list[tuple[str, str]]:
-    """Moves that bring the files of written periods into a zone."""
+    """Moves that bring the files of written periods, and of their statistics, into a zone."""
     folder = lambda root, period: f"{root.rstrip('/')}/period={period}"
-    return [move for p in periods(spark, scratch) for move in PB.file_moves(spark, folder(scratch, p), folder(zone, p))]
+    tables = [(scratch, zone), (stats_path(scratch), stats_path(zone))]
+    return [move for origin, goal in tables for p in periods(spark, origin) for move in PB.file_moves(spark, folder(origin, p), folder(goal, p))]
 
 
-def without_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> tuple[str, list[tuple[str, str]]]:
-    """What a zone keeps without (symbol, period) pairs, written beside it, and the moves that swap it in.
+def without_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> tuple[list[str], list[tuple[str, str]]]:
+    """What a zone keeps without (symbol, period) pairs, written beside it: its folders, and the moves that swap it in.
 
     The periods as they were go to ``backup``.
     """
@@ -274,10 +339,10 @@ def without_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -
     rest = read_zone(spark, zone, names).join(gone.select("symbol", "period"), ["symbol", "period"], "left_anti")
     scratch = beside(zone, "rest")
     write_zone(rest, scratch, "errorifexists")
-    return scratch, PB.folder_moves(zone, backup, names) + PB.folder_moves(scratch, zone, periods(spark, scratch))
+    return [scratch, stats_path(scratch)], swap_moves(spark, zone, scratch, backup, periods(spark, scratch), names)
 
 
 def drop_rows(spark: SparkSession, zone: str, gone: DataFrame, backup: str) -> None:
     """Take (symbol, period) pairs out of a zone; the periods as they were are moved to ``backup``."""
-    scratch, moves = without_rows(spark, zone, gone, backup)
-    PB.publish(spark, moves, [zone], [scratch])
+    spent, moves = without_rows(spark, zone, gone, backup)
+    PB.publish(spark, moves, [zone], spent)

@@ -355,3 +355,51 @@ def test_moves_that_cannot_be_put_back_are_kept_for_the_next_job(spark, tmp_path
     monkeypatch.undo()
     assert PB.recover(spark, zone) == 1 and PB.recover(spark, zone) == 0
     assert sorted(e.name for e in FS.listing(spark, zone)) == ["a.parquet", "b.parquet"]
+
+
+def stored_stats(spark, zone):
+    told = Z.read_stats(spark, zone).groupBy("period", "symbol").agg(F.min("first_ts").alias("a"), F.max("last_ts").alias("b"), F.sum("row_count").alias("n"))
+    return sorted(map(tuple, told.collect()))
+
+
+def true_stats(spark, zone):
+    told = Z.read_zone(spark, zone).groupBy("period", "symbol").agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count(F.lit(1)).alias("n"))
+    return sorted(map(tuple, told.collect()))
+
+
+def test_statistics_follow_every_job(spark, zones, tmp_path):
+    raw, staging = zones
+    put(text_frame(spark, text_rows("2025-12-02")[:7], "Y"), raw, "202512")
+    assert stored_stats(spark, raw) == true_stats(spark, raw) and len(stored_stats(spark, raw)) == 4
+    G.merge_minutes(spark, staging, raw, closed(spark), True, True)
+    assert stored_stats(spark, raw) == true_stats(spark, raw) and stored_stats(spark, staging) == true_stats(spark, staging)
+    Z.clean_orphans(spark, raw, True)
+    Z.organize(spark, raw, T.instant_literal(NOW), True)
+    assert stored_stats(spark, raw) == true_stats(spark, raw)
+    Z.save_stage(spark, text_frame(spark, text_rows("2025-12-13")[:5]), staging, daily=False)
+    assert stored_stats(spark, staging) == true_stats(spark, staging)
+    rebuilt = str(tmp_path / "rebuilt")
+    Z.rebuild(spark, raw, rebuilt, T.instant_literal(NOW), True)
+    assert stored_stats(spark, rebuilt) == true_stats(spark, rebuilt)
+
+
+def test_a_report_opens_only_the_periods_it_needs(spark, zones):
+    """Of the periods before the start date no data file is opened, yet their series are expected."""
+    raw, _ = zones
+    put(text_frame(spark, text_rows("2024-12-30")[:3], "OLD"), raw, "2024")
+    report = R.zone_issues(spark, [raw], closed(spark), T.instant_literal(NOW), "2025-12-31", "2025-12-01")
+    opened = [f for f in report.inputFiles() if "/raw/" in f]
+    assert opened and all("/period=202512/" in f for f in opened)
+    assert {r["symbol"] for r in report.collect()} >= {"OLD"}
+    # A zone whose statistics are lost still tells the same.
+    FS.remove(spark, Z.stats_path(raw))
+    again = R.zone_issues(spark, [raw], closed(spark), T.instant_literal(NOW), "2025-12-31", "2025-12-01")
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, report.collect()))
+
+
+def test_columns_come_from_statistics(spark, zones, monkeypatch):
+    raw, _ = zones
+    put(days(spark, ["2025-12-06"]).withColumn("highest_val", F.lit("9")), raw, "202512")
+    rows = Z.read_zone(spark, raw)
+    assert {"highest_val", "load_seq", "row_pos", "period"} <= set(rows.columns) and rows.where("highest_val = '9'").count() == 390
+    assert rows.where("highest_val is null").count() == rows.count() - 390
