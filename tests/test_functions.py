@@ -11,24 +11,24 @@ def values(spark, rows, schema, column):
 
 
 def test_bar_date_field(spark):
-    fields = ["1104762600", "1784295000", "20260717 09:30:00 US/Eastern", "20260717 09:30:00", "20250102"]
+    fields = ["1520434800", "1562074200", "20190702 13:45:10 US/Eastern", "20190702 13:45:10", "20180307"]
     shown = values(spark, [(f,) for f in fields], "f string", T.offset_text(T.bar_date(F.col("f"))))
     assert shown == [
-        "2005-01-03 09:30:00-05:00", "2026-07-17 09:30:00-04:00", "2026-07-17 09:30:00-04:00", "2026-07-17 09:30:00-04:00", "2025-01-02 00:00:00-05:00",
+        "2018-03-07 10:00:00-05:00", "2019-07-02 09:30:00-04:00", "2019-07-02 13:45:10-04:00", "2019-07-02 13:45:10-04:00", "2018-03-07 00:00:00-05:00",
     ]
     labels = values(spark, [(f,) for f in fields], "f string", T.label_text(T.bar_date(F.col("f")), T.bar_date_is_daily(F.col("f"))))
-    assert labels[0] == "2005-01-03 09:30" and labels[4] == "2025-01-02"
+    assert labels[0] == "2018-03-07 10:00" and labels[4] == "2018-03-07"
 
 
 def test_instants_of_any_offset_are_equal(spark):
-    texts = [("2005-01-03 09:30:00-05:00",), ("2005-01-03 14:30:00+00:00",), ("not a time",)]
+    texts = [("2018-03-07 10:00:00-05:00",), ("2018-03-07 20:30:00+05:30",), ("tomorrow",)]
     seconds = values(spark, texts, "t string", F.unix_seconds(T.instant(F.col("t"))))
-    assert seconds[0] == seconds[1] == 1104762600 and seconds[2] is None
+    assert seconds[0] == seconds[1] == 1520434800 and seconds[2] is None
 
 
 def test_volume_text_and_class(spark):
-    rows = [(v,) for v in (453200.0, 12.5, 0.0, -1.0, float(2**127 - 1), 1e15)]
-    assert values(spark, rows, "v double", V.volume_text(F.col("v"))) == ["453200", "12.5", "0", "-1", "", "1000000000000000"]
+    rows = [(v,) for v in (88421.0, 7.25, 0.0, -3.0, float(2**127 - 1), 1e15)]
+    assert values(spark, rows, "v double", V.volume_text(F.col("v"))) == ["88421", "7.25", "0", "-3", "", "1000000000000000"]
     assert values(spark, rows, "v double", V.volume_class(F.col("v"))) == ["present", "present", "zero_or_negative", "zero_or_negative", "unset", "unset"]
 
 
@@ -38,21 +38,20 @@ def test_number_text(spark):
 
 
 def test_error_classes(spark):
-    prefix = "Historical Market Data Service error message:"
     rows = [
-        (2106, "HMDS data farm connection is OK"), (162, prefix + "API historical data query cancelled: Pacing violation"),
-        (162, prefix + "HMDS query returned no data: SPY"), (200, "No security definition"), (162, "something else"),
-    ]
+        (2099, "below"), (2100, "first"), (2199, "last"), (2200, "above"), (162, "too fast: PACING VIOLATION seen"), (162, "the source returned no data at all"),
+        (163, "pacing violation under another number"), (200, "nothing of that name"), (162, "else"), (162, None),
+    ]
     got = values(spark, rows, "c int, t string", V.error_class(F.col("c"), F.col("t")))
-    assert got == ["info", "pacing", "no_data", "error", "error"]
+    assert got == ["error", "info", "info", "error", "pacing", "no_data", "error", "error", "error", "error"]
 
 
 def test_diagnoses(spark):
     rows = [
-        ("complete", None, "", 5), ("complete", None, "", 0), ("error", 162, "message:No market data permissions for CBOE IND", 0),
-        ("error", 354, "Requested market data is not subscribed.", 0), ("no_data", 162, "HMDS query returned no data", 0),
-        ("error", 200, "No security definition has been found", 0), ("pacing", 162, "Pacing violation", 0), ("timeout", None, "", 0),
-        ("error", 321, "Error validating request", 0),
+        ("complete", None, "", 5), ("complete", None, "", 0), ("error", 162, "account has NO MARKET DATA PERMISSIONS here", 0),
+        ("error", 354, "ask the desk", 0), ("no_data", 162, "empty window", 0),
+        ("error", 200, "unheard of", 0), ("pacing", 162, "slow down", 0), ("timeout", None, "", 0),
+        ("error", 999, "anything", 0),
     ]
     got = values(spark, rows, "s string, c int, t string, n int", V.diagnosis(F.col("s"), F.col("c"), F.col("t"), F.col("n")))
     assert got[:4] == ["data returned", "completed with nothing returned", "market data permission missing", "market data permission missing"]
