@@ -8,7 +8,7 @@ from candlewright.functions import periods as P, times as T
 from candlewright.plans import staging as G, zone as Z
 from candlewright.queries import adapters as A, jobs_q, merge_q
 from candlewright.session import run_folder
-from candlewright.sources import files
+from candlewright.sources import files, sinks
 
 
 def index_apply(spark, sf_dir):
@@ -81,7 +81,21 @@ def period_files(spark, sf_dir):
     return found.select("file_name_str", "period_str", "period_kind_str", "first_date", "last_date")
 
 
+def document_pairs(spark, sf_dir):
+    """Every order as a key of one document that grows with the table, merged with a second one for the even orders."""
+    path = run_folder(spark, "document-pairs")
+    orders = A.table(spark, sf_dir, "orders").withColumn("key", F.col("o_orderkey").cast("string"))
+    sinks.upsert_pairs(orders.select("key", F.to_json(F.struct(F.col("o_custkey").alias("customer"), F.col("o_orderstatus").alias("status"))).alias("value")), path)
+    sinks.upsert_pairs(orders.where("o_orderkey % 2 = 0").select("key", F.col("o_orderpriority").alias("value")), path, "A")
+    return spark.read.parquet(path)
+
+
 REPORTS = {
+    "document_pairs": (
+        document_pairs,
+        """SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE WHEN o_orderkey % 2 = 0 THEN '"' || o_orderpriority || '"'
+  ELSE '{"customer":' || o_custkey || ',"status":"' || o_orderstatus || '"}' END AS value FROM orders""",
+    ),
     "index_apply": (
         index_apply,
         f"""WITH {merge_q.STAGED}, day AS (SELECT symbol, date, count(*) AS row_count, count(*) FILTER ({merge_q.BROKEN}) AS broken FROM staged GROUP BY 1, 2)

@@ -86,22 +86,58 @@ def write_report(frame: DataFrame, path: str) -> bool:
     return write_table(frame, path, "csv", "W")
 
 
+#: Keys and characters of a document that may stand in one JSON object: it is one row of one task.
+DOCUMENT_KEYS, DOCUMENT_CHARS = 100_000, 64 << 20
+
+
+def _fragments(new: DataFrame) -> DataFrame:
+    """key and value with the value as JSON: what reads as JSON stays, anything else is a string, null is null."""
+    fragment = F.when(F.try_parse_json("value").isNotNull(), F.col("value")).otherwise(F.regexp_replace(F.to_json(F.array("value")), r"(?s)^\[(.*)\]$", "$1"))
+    return new.select("key", F.coalesce(fragment, F.lit("null")).alias("value"))
+
+
+def _skips(spark: SparkSession, path: str, letter: str) -> bool:
+    return letter not in MODES or letter == "N" or letter == "I" and FS.exists(spark, path)
+
+
+def upsert_pairs(new: DataFrame, path: str, mode: str = "I") -> bool:
+    """A document of any size: its top-level keys as a table of ``key, value`` (JSON), written by as many tasks as it takes.
+
+    Mode A merges by key: a new value replaces the old one and is not merged deeper. The merged table is
+    written beside the stored one and takes its place.
+    """
+    spark = new.sparkSession
+    letter = mode.upper()
+    if _skips(spark, path, letter):
+        return False
+    rows = _fragments(new)
+    stored = spark.read.schema("key string, value string").parquet(path) if letter == "A" and FS.exists(spark, path) else None
+    merged = M.kv_upsert(rows.where("false") if stored is None else stored, rows)
+    scratch = f"{path.rstrip('/')}_writing_{uuid.uuid4().hex}"
+    merged.write.parquet(scratch)
+    _take_place(spark, scratch, path)
+    return True
+
+
 def upsert_document(new: DataFrame, path: str, mode: str = "I") -> bool:
     """Write ``key, value`` rows as one JSON object; mode A merges top-level keys into the stored ones.
 
     A new value replaces the old one and is not merged deeper; stored values keep their JSON type. A value
-    that reads as JSON is written as such, any other as a string. A document is small: its keys make one row.
+    that reads as JSON is written as such, any other as a string. The object is one row, so its size is
+    checked first: beyond DOCUMENT_KEYS or DOCUMENT_CHARS nothing is written (see ``upsert_pairs``).
     """
     spark = new.sparkSession
     letter = mode.upper()
-    if letter not in MODES or letter == "N" or letter == "I" and FS.exists(spark, path):
+    if _skips(spark, path, letter):
         return False
-    fragment = F.when(F.try_parse_json("value").isNotNull(), F.col("value")).otherwise(F.regexp_replace(F.to_json(F.array("value")), r"(?s)^\[(.*)\]$", "$1"))
-    rows = new.select("key", F.coalesce(fragment, F.lit("null")).alias("value"))
+    rows = _fragments(new)
     if letter == "A" and FS.exists(spark, path):
         text = spark.read.text(path, wholetext=True).where(F.ltrim("value").startswith("{"))
         stored = text.select(F.explode(F.from_json("value", "map<string,variant>")).alias("key", "value"))
         rows = M.kv_upsert(stored.select("key", F.to_json("value").alias("value")), rows)
+    size = rows.agg(F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum(F.length("key") + F.length("value")), F.lit(0)).alias("chars")).first()
+    if size["keys"] > DOCUMENT_KEYS or size["chars"] > DOCUMENT_CHARS:
+        raise ValueError(f"{size['keys']} keys with {size['chars']} characters are too many for one JSON object")
     quoted = F.to_json(F.array("key"))
     member = F.concat(quoted.substr(F.lit(2), F.length(quoted) - 2), F.lit(": "), "value")
     text = F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(member)), ", "), F.lit("}"))

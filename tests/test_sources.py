@@ -202,3 +202,19 @@ def test_headers_are_found_without_opening_files_on_the_driver(spark, tmp_path,
     assert many.count() == 60
     plan = spark.read.text(paths[:2]).select("value", F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.min_by("value", F.length("value")), F.collect_set(F.lit(True)))
     assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_of_any_size_and_the_bound_of_one_object(spark, tmp_path, monkeypatch):
+    path, rows = str(tmp_path / "pairs"), [("a", "1"), ("b", '{"x": [1]}'), ("c", "text"), ("d", None)]
+    pairs = spark.createDataFrame(rows, "key string, value string")
+    assert SK.upsert_pairs(pairs, path) and not SK.upsert_pairs(pairs, path) and not SK.upsert_pairs(pairs, path, "N")
+    later = spark.createDataFrame([("b", "2"), ("e", "new")], "key string, value string")
+    assert SK.upsert_pairs(later, path, "A")
+    stored = {r["key"]: r["value"] for r in spark.read.parquet(path).collect()}
+    assert stored == {"a": "1", "b": "2", "c": '"text"', "d": "null", "e": '"new"'}
+    assert SK.upsert_pairs(later, path, "W") and spark.read.parquet(path).count() == 2
+    monkeypatch.setattr(SK, "DOCUMENT_KEYS", 3)
+    with pytest.raises(ValueError, match="too many for one JSON object"):
+        SK.upsert_document(pairs, str(tmp_path / "large.json"), "W")
+    assert not FS.exists(spark, str(tmp_path / "large.json"))
+    assert SK.upsert_document(later, str(tmp_path / "small.json"), "W")
