@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from datetime import datetime, timezone
+from functools import reduce
 
+from pyspark.sql import DataFrame, functions as F
+
+from candlewright import schema as S
 from candlewright.functions import periods as P, times as T
 from candlewright.plans import staging as G, zone as Z
 from candlewright.queries import adapters as A, jobs_q, merge_q
 from candlewright.session import run_folder
-from candlewright.sources import files, sinks
+from candlewright.sources import files, readers, sinks
 
 
 def index_apply(spark, sf_dir):
@@ -90,7 +94,64 @@ def document_pairs(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def sink_modes(spark, sf_dir):
+    """The events through every sink and access mode, read back: rows by type in each."""
+    root = run_folder(spark, "sinks")
+    rows = A.table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"), "value")
+    high = rows.where("value > 250")
+    sinks.write_table(rows, f"{root}/table", "parquet", "W", all_text=True)
+    sinks.write_table(high, f"{root}/table", "parquet", "I", all_text=True)  # kept as it is
+    sinks.write_table(high, f"{root}/table", "parquet", "A", all_text=True)
+    sinks.write_table(rows, f"{root}/csv", "csv", "I")
+    sinks.write_table(high, f"{root}/csv", "csv", "W")
+    sinks.write_table(rows, f"{root}/none", "parquet", "N")
+    for _ in range(2):
+        sinks.append_log(rows.select(F.col("symbol").alias("status_str"), F.col("value").alias("bar_count_int")), f"{root}/log", S.MERGE_LOG_COLUMNS)
+    for part in (rows, high):
+        sinks.write_report(part, f"{root}/report")
+    log = spark.read.parquet(f"{root}/log").select(F.col("status_str").alias("symbol"), F.col("bar_count_int").alias("value"))
+    found = {
+        "table": spark.read.parquet(f"{root}/table"), "csv": spark.read.option("header", True).csv(f"{root}/csv"), "log": log,
+        "report": spark.read.option("header", True).csv(f"{root}/report"),
+    }
+    parts = [f.select(F.lit(name).alias("sink"), "symbol", "value") for name, f in found.items()]
+    united = reduce(DataFrame.unionByName, parts)
+    none = F.lit(files.exists(spark, f"{root}/none")).alias("none_exists")
+    return united.groupBy("sink", "symbol").agg(F.count(F.lit(1)).alias("row_count"), F.sum(F.col("value").cast("decimal(12,2)")).cast("double").alias("value_sum")).select("*", none)
+
+
+def zone_text(spark, sf_dir):
+    """The events as text files of the typed zone, read back with both clocks between two instants: rows and range by day."""
+    path = run_folder(spark, "zone-text")
+    second = F.date_trunc("second", "ts")
+    price = [F.col("value").alias(c) for c in ("open", "high", "low", "close")]
+    clock = lambda column, name: F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(name)
+    rows = A.table(spark, sf_dir, "events").select(
+        clock(second + F.expr("INTERVAL 8 HOURS"), "qatar_timestamp"), clock(second, "ny_timestamp"), *price,
+        F.when(F.pmod("event_id", F.lit(5)) == 0, F.lit("n/a")).otherwise(F.lit("12")).alias("volume"), F.lit("0.0").alias("stock_splits"),
+    )
+    rows.write.option("header", True).csv(path)
+    found = readers.read_zone(spark, [path], datetime(2024, 1, 10, tzinfo=timezone.utc), datetime(2024, 1, 20, 12, tzinfo=timezone.utc), work=True, ordered=True)
+    return found.groupBy(F.to_date("ny_timestamp").alias("date")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("volume").cast("bigint").alias("volume_sum"), F.count_if(F.col("volume").isNull()).alias("no_number"),
+        F.date_format(F.max("qatar_timestamp"), "yyyy-MM-dd HH:mm:ss").alias("last_qatar"),
+    )
+
+
 REPORTS = {
+    "zone_text": (
+        zone_text,
+        """WITH r AS (SELECT date_trunc('second', ts) AS t, event_id FROM events WHERE date_trunc('second', ts) BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20 12:00:00')
+SELECT CAST(t AS DATE) AS date, count(*) AS row_count, CAST(sum(CASE WHEN event_id % 5 <> 0 THEN 12 END) AS BIGINT) AS volume_sum,
+  count(*) FILTER (event_id % 5 = 0) AS no_number, strftime(max(t) + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S') AS last_qatar FROM r GROUP BY 1""",
+    ),
+    "sink_modes": (
+        sink_modes,
+        """WITH r AS (SELECT event_type AS symbol, CAST(value AS DECIMAL(12, 2)) AS value FROM events),
+s AS (SELECT 'table' AS sink, * FROM r UNION ALL SELECT 'table', * FROM r WHERE value > 250 UNION ALL SELECT 'csv', * FROM r WHERE value > 250
+  UNION ALL SELECT 'log', * FROM r UNION ALL SELECT 'log', * FROM r UNION ALL SELECT 'report', * FROM r WHERE value > 250)
+SELECT sink, symbol, count(*) AS row_count, CAST(sum(value) AS DOUBLE) AS value_sum, FALSE AS none_exists FROM s GROUP BY 1, 2""",
+    ),
     "document_pairs": (
         document_pairs,
         """SELECT CAST(o_orderkey AS VARCHAR) AS key, CASE WHEN o_orderkey % 2 = 0 THEN '"' || o_orderpriority || '"'
