@@ -37,7 +37,7 @@ def file_moves(spark: SparkSession, origin: str, goal: str, ending: str = ".parq
 
 
 def publish(spark: SparkSession, moves: list[tuple[str, str]], tables: list[str], spent: list[str] = ()) -> None:
-    """Carry out all moves or none; afterwards the folders in ``spent`` go. ``tables`` are those the moves touch."""
+    """Carry out all moves or none; in both cases the scratch folders in ``spent`` go then. ``tables`` are those the moves touch."""
     name = uuid.uuid4().hex
     files = [f"{t.rstrip('/')}{MARK}{name}.json" for t in dict.fromkeys(tables)]
     intent = {"moves": [list(m) for m in moves], "files": files, "spent": list(spent)}
@@ -54,16 +54,15 @@ def publish(spark: SparkSession, moves: list[tuple[str, str]], tables: list[str]
                 FS.move(spark, goal, origin)
         except Exception as second:
             raise Unsettled(f"{type(error).__name__}, then {type(second).__name__} while putting back") from error
-        _forget(spark, intent, False)
+        _forget(spark, intent)
         raise
-    _forget(spark, intent, True)
+    _forget(spark, intent)
 
 
-def _forget(spark: SparkSession, intent: dict, completed: bool) -> None:
-    for folder in intent["spent"] if completed else []:
-        FS.remove(spark, folder)
-    for file in intent["files"]:
-        FS.remove(spark, file)
+def _forget(spark: SparkSession, intent: dict) -> None:
+    """Remove what all moves, or all of them put back, leave behind."""
+    for path in [*intent["spent"], *intent["files"]]:
+        FS.remove(spark, path)
 
 
 def pending(spark: SparkSession, table: str) -> list[dict]:
@@ -85,7 +84,7 @@ def recover(spark: SparkSession, *tables: str) -> int:
             last = max((i for i, (origin, goal) in enumerate(there) if goal and not origin), default=-1)
             for origin, goal in moves[last + 1 :]:
                 FS.move(spark, origin, goal)
-            _forget(spark, intent, True)
+            _forget(spark, intent)
             carried += 1
             for goal in {g.rsplit("/period=", 1)[0] for _, g in moves}:
                 spark.catalog.refreshByPath(goal)

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from candlewright.operators import merge as M
+from candlewright.plans import publish as PB
 from candlewright.session import run_folder
 from candlewright.sources import files as FS
 
@@ -151,9 +152,12 @@ def write_weeks(weeks: DataFrame, path: str, order: str = "ny_timestamp") -> Dat
     """Write week partitions behind the snapshot guard; returns the action per week.
 
     Equal weeks are left alone, new and grown weeks are written, and a week with fewer rows than the
-    stored one stops the job before anything is written.
+    stored one stops the job before anything is written. Changed weeks are written beside the table, their
+    rows counted, and swapped in as one set of moves: on an error the old weeks come back, and a swap that
+    is lost half way is completed by the next load.
     """
     spark: SparkSession = weeks.sparkSession
+    PB.recover(spark, path)
     stored = spark.read.schema(weeks.schema).parquet(path) if FS.exists(spark, path) else weeks.limit(0)
     plan_path = run_folder(spark, "week-plan")
     M.snapshot_guard(stored.select(weeks.columns), weeks, ["week"]).write.parquet(plan_path)
@@ -162,14 +166,25 @@ def write_weeks(weeks: DataFrame, path: str, order: str = "ny_timestamp") -> Dat
     if not shrunk.isEmpty():
         names = [r["week"] for r in shrunk.select("week").orderBy("week").limit(10).collect()]
         raise ValueError(f"weeks with fewer rows than stored: {names}")
-    changed = plan.where(F.col("action").isin("write", "overwrite")).select("week")
+    changed = plan.where(F.col("action").isin("write", "overwrite")).select("week", "new_rows")
+    scratch, old = (f"{path.rstrip('/')}_{label}_{uuid.uuid4().hex}" for label in ("swapping", "swapped"))
     (
-        weeks.join(changed, "week", "left_semi")
+        weeks.join(changed.select("week"), "week", "left_semi")
         .hint("rebalance", "week")
         .sortWithinPartitions("week", order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("week")
-        .parquet(path)
+        .write.partitionBy("week")
+        .parquet(scratch)
     )
+    written = spark.read.schema(weeks.schema).parquet(scratch).groupBy(F.col("week").cast("string").alias("week")).agg(F.count(F.lit(1)).alias("rows"))
+    off = changed.join(written, "week", "left").where(~F.col("new_rows").eqNullSafe(F.col("rows")))
+    if not off.isEmpty():
+        FS.remove(spark, scratch)
+        raise OSError("verification of the changed weeks failed; the stored ones are as they were")
+    names = [e.name for e in FS.listing(spark, scratch) if e.is_folder and e.name.startswith("week=")]
+    there = {e.name for e in FS.listing(spark, path)}
+    root = path.rstrip("/")
+    moves = [(f"{root}/{n}", f"{old}/{n}") for n in names if n in there] + [(f"{scratch}/{n}", f"{root}/{n}") for n in names]
+    PB.publish(spark, moves, [path], [scratch, old])
+    if names:
+        spark.catalog.refreshByPath(path)
     return plan

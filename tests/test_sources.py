@@ -218,3 +218,31 @@ def test_documents_of_any_size_and_the_bound_of_one_object(spark, tmp_path, monk
         SK.upsert_document(pairs, str(tmp_path / "large.json"), "W")
     assert not FS.exists(spark, str(tmp_path / "large.json"))
     assert SK.upsert_document(later, str(tmp_path / "small.json"), "W")
+
+
+@pytest.mark.parametrize("lost", [False, True])
+def test_a_failed_week_swap_leaves_or_completes_the_weeks(spark, tmp_path, monkeypatch, lost):
+    """An error in the swap brings the old weeks back; a swap whose driver is lost is completed by the next load."""
+    path = str(tmp_path / "weeks")
+    rows = lambda n: spark.range(n).selectExpr("timestamp_ntz'2024-01-02 10:00:00' + make_interval(0, 0, id % 3) AS ny_timestamp", "id")
+    first = R.load_weeks(rows(27), path).collect()
+    before = sorted(map(tuple, spark.read.parquet(path).collect()))
+    assert len(first) == 3 and len(before) == 27
+    real, calls = FS.move, []
+
+    def broken(session, source, target):
+        calls.append(source)
+        if len(calls) == 4:
+            raise KeyboardInterrupt if lost else OSError("no connection")
+        real(session, source, target)
+
+    monkeypatch.setattr(FS, "move", broken)
+    with pytest.raises(KeyboardInterrupt if lost else OSError):
+        R.load_weeks(rows(54), path)
+    monkeypatch.undo()
+    if not lost:
+        spark.catalog.refreshByPath(path)
+        assert sorted(map(tuple, spark.read.parquet(path).collect())) == before
+    actions = {r["action"] for r in R.load_weeks(rows(54), path).collect()}
+    assert actions == ({"skip"} if lost else {"overwrite"}) and spark.read.parquet(path).count() == 54
+    assert [e.name for e in FS.listing(spark, str(tmp_path))] == ["weeks"]
