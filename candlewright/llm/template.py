@@ -1,15 +1,21 @@
 """Main text of web pages by deducing the template of same-host pages from equivalence classes.
 
-A page is a stream of tokens: tags and words, each told apart by the path of elements it stands in.
-Over the pages of a host, tokens with the same occurrence vector (how often they occur in each page)
-form an equivalence class. A class is valid if its tokens come in the same order in every page; valid
-classes that lie in one gap of another are nested there, and together they are the template. What the
-template leaves open are its slots. A slot belongs to the main text if the template elements around it
-are those of an article; blocks that the template spells out itself are not content.
+A page is a stream of tokens: tags of its layout, and blocks (a block's whole word sequence is one token), each
+told apart by the path of elements it stands in. Over the pages of a host, tokens with the same occurrence vector
+(how often they occur in each page) form an equivalence class. A class is valid if its tokens come in the same
+order in every page; valid classes that lie in one gap of another are nested there, and together they are the
+template. What lies between template tags is a slot. The slot that holds most text over the pages names the
+container of the main text: the innermost template element around it, widened to the article or main element it
+stands in. A block is template text if its token occurs once in each of many pages and always stands right beside
+a template tag, so a short sentence that many articles use somewhere stays.
+
+Elements and names decide two things only: what never is main text (menus, headers, footers, forms, notices,
+comments), and, where a page marks its article, that slots outside the marks do not compete. The name of an
+element that holds an article or main element says nothing about it.
 
 Pages of a host are dealt to lanes of about LANE_PAGES pages, so a host with a third of all pages is
-many groups; copies of a page count once when vectors are compared. Hosts with fewer pages than a
-template can be deduced from are read by the elements alone.
+many groups; pages with the same open text count once when vectors are compared. Pages that lack the container,
+and hosts with fewer pages than a template can be deduced from, are read by the elements alone.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ from pyspark.sql import DataFrame, functions as F
 from candlewright.llm.common import settle
 
 LANE_PAGES = 64
+#: Parts that the pages of a host are joined to its page count in.
+HOST_PARTS = 16
 #: Different pages that a class of tags, and a block of words that is not content, must be seen in.
 TAG_PAGES = 2
 WORD_PAGES = 8
@@ -48,6 +56,9 @@ OUTSIDE_NAMES = frozenset(
     toolbar topbar widget widgets""".split()
 )
 CONTENT_NAMES = frozenset("article articlebody entry post story".split())
+# First words of class names that tell a state of what is inside, and elements of running text.
+STATE_NAMES = frozenset("has no with without is".split())
+TEXT_LEVEL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th tr ul ol dl pre blockquote figcaption".split())
 
 _tag = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?>[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*+)>")
 _attribute = re.compile(r"([A-Za-z_:][\w:.-]*+)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))")
@@ -57,39 +68,63 @@ _space = re.compile(r"\s+")
 _number = re.compile(r"\d+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
+    """`barred` by its kind, `named` like a surrounding; `holds` an article or main element, `within` one itself."""
+
     name: str
     label: str
-    outside: bool
+    path: str
+    barred: bool
+    named: bool
     content: bool
+    landmark: bool
+    within: bool
     block: int
+    holds: bool = False
+
+    def outside(self) -> bool:
+        frees = self.holds and not self.within
+        return self.barred and not (frees and self.name == "form") or self.named and not frees
 
 
 @dataclass
 class Page:
-    """Tokens in order (role, block of a word or -1), and the text of blocks with what stands around them."""
+    """Tokens in order (role, block or -1), the text of blocks and the elements around them."""
 
     tokens: list[tuple[tuple, int]]
     blocks: dict[int, list[str]]
-    around: dict[int, tuple[bool, bool]]
+    around: dict[int, tuple[Element, ...]]
     links: dict[int, int]
+    texts: dict[int, str]
+    open: dict[int, bool]
+    """Blocks that no surrounding holds: whether an article holds them."""
 
 
-def _element(name: str, attributes: str, block: int) -> Element:
+def _element(name: str, attributes: str, block: int, stack: list[Element]) -> Element:
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _attribute.finditer(attributes)} if "=" in attributes else {}
     label = " ".join(filter(None, (found.get("class", ""), found.get("id", "")))).lower()
+    role = found.get("role", "").lower()
     # A name counts by its words and by all of them together: side-bar is a sidebar.
-    names = {*_name.findall(label), *("".join(_name.findall(token)) for token in label.split())} if label else set()
-    landmark = name in ("html", "body") or name in CONTENT
-    outside = name in OUTSIDE or not landmark and (bool(names & OUTSIDE_NAMES) or found.get("role", "").lower() in OUTSIDE_ROLES or bool(_hidden.search(attributes)))
-    content = name in CONTENT or found.get("role") in ("main", "article") or "articlebody" in found.get("itemprop", "").lower() or bool(names & CONTENT_NAMES) and name in ("div", "section")
-    return Element(name, f"{name}.{_number.sub('0', label)}" if label else name, outside, content and not outside, block)
+    tokens = [words for words in map(_name.findall, label.split()) if words and words[0] not in STATE_NAMES] if label else []
+    names = {part for words in tokens for part in (*words, "".join(words))}
+    landmark = name in CONTENT or role in ("main", "article")
+    within = any(e.content for e in stack)
+    says_content = name in ("div", "section") and bool(names & CONTENT_NAMES)
+    # An element that is called a post outright is one, whatever states its other names tell.
+    outright = says_content and not within and any("".join(words) in CONTENT_NAMES for words in tokens)
+    barred = name in OUTSIDE or not landmark and (role in OUTSIDE_ROLES or name not in ("html", "body") and bool(_hidden.search(attributes)))
+    named = not landmark and not outright and name not in ("html", "body") and bool(names & OUTSIDE_NAMES)
+    content = (landmark or "articlebody" in found.get("itemprop", "").lower() or says_content) and not barred and not named
+    parent = stack[-1].path if stack else ""
+    shown = f"{name}.{_number.sub('0', label)}" if label else name
+    path = parent if name in INLINE else f"{parent}>{shown}" if parent else shown
+    return Element(name, shown, path, barred, named, content, landmark, within, block)
 
 
 def read(source: str) -> Page:
     """Tokens and blocks of a page; unclosed and misplaced tags are read as browsers do in the main."""
-    page = Page([], defaultdict(list), {}, defaultdict(int))
+    page = Page([], defaultdict(list), {}, defaultdict(int), {}, {})
     stack: list[Element] = []
     next_block = at = 0
     n = len(source)
@@ -98,7 +133,7 @@ def read(source: str) -> Page:
         return stack[-1].block if stack else 0
 
     def path() -> str:
-        return ">".join([e.label for e in stack if e.name not in INLINE])
+        return stack[-1].path if stack else ""
 
     def fresh() -> int:
         nonlocal next_block
@@ -120,14 +155,12 @@ def read(source: str) -> Page:
             text = html.unescape(text)
         block = current()
         page.blocks[block].append(text)
-        words = text.split()
-        if words:
+        if not text.isspace():
             if block not in page.around:
-                page.around[block] = (any(e.outside for e in stack), any(e.content for e in stack))
-            where = path()
+                page.around[block] = tuple(stack)
+                page.tokens.append((("b", "", path()), block))
             if any(e.name == "a" for e in stack):
-                page.links[block] += sum(map(len, words))
-            page.tokens += [(("w", w, where), block) for w in words]
+                page.links[block] += len(text)
 
     while at < n:
         low = source.find("<", at)
@@ -153,7 +186,8 @@ def read(source: str) -> Page:
         closing, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         name = name.lower()
         if closing:
-            page.tokens.append((("/", name, path()), -1))
+            if name not in INLINE:
+                page.tokens.append((("/", name, path()), -1))
             if name in INLINE:
                 close({name}, frozenset(e.name for e in stack if e.name not in INLINE))
             elif any(e.name == name for e in stack):
@@ -183,31 +217,40 @@ def read(source: str) -> Page:
                 stack[-1].block = fresh() if name in VOID else stack[-1].block
         if name in VOID:
             continue
-        element = _element(name, attributes, current() if name in INLINE else fresh())
-        page.tokens.append((("<", element.label, path()), -1))
+        element = _element(name, attributes, current() if name in INLINE else fresh(), stack)
+        if element.landmark:
+            for outer in stack:
+                outer.holds = True
+        if name not in INLINE:
+            page.tokens.append((("<", element.label, path()), -1))
         if not attributes.rstrip().endswith("/"):
             stack.append(element)
             if name not in INLINE and len(stack) > 1:
                 stack[-2].block = fresh()
+    for block, elements in page.around.items():
+        page.texts[block] = _space.sub(" ", "".join(page.blocks[block])).strip()
+        if not any(e.outside() for e in elements):
+            page.open[block] = any(e.content for e in elements)
+    page.tokens = [(role if block < 0 else ("b", page.texts[block], role[2]), block) for role, block in page.tokens]
     return page
 
 
 def classes(pages: list[Page], least: int = TAG_PAGES) -> list[list[tuple]]:
     """Valid equivalence classes: roles with one occurrence vector, in one order in every page.
 
-    Tags need half the pages, words all of them; words are compared from WORD_PAGES pages on.
+    Roles need half the pages that are not empty; blocks WORD_PAGES of them, too.
     """
-    words: set[tuple] = set()
-    if len(pages) >= WORD_PAGES:
-        words = set.intersection(*({role for role, block in page.tokens if block >= 0} for page in sorted(pages, key=lambda p: len(p.tokens))))
-    vectors: dict[tuple, dict[int, int]] = defaultdict(dict)
+    filled = sum(bool(page.tokens) for page in pages)
+    seen_in = Counter(role for page in pages for role in {role for role, block in page.tokens if block >= 0})
+    words = {role for role, n in seen_in.items() if n >= WORD_PAGES}
     streams = [[role for role, block in page.tokens if block < 0 or role in words] for page in pages]
+    vectors: dict[tuple, dict[int, int]] = defaultdict(dict)
     for p, stream in enumerate(streams):
         for role, times in Counter(stream).items():
             vectors[role][p] = times
     grouped: dict[tuple, list[tuple]] = defaultdict(list)
     for role, vector in vectors.items():
-        if len(vector) >= least and 2 * len(vector) >= len(pages):
+        if len(vector) >= least and 2 * len(vector) >= filled:
             grouped[tuple(sorted(vector.items()))].append(role)
     valid = []
     for vector, roles in grouped.items():
@@ -271,27 +314,102 @@ def nest(valid: list[list[tuple]], pages: list[Page]) -> list[tuple[list[tuple],
     return kept
 
 
-def main_text(page: Page, template: set[tuple]) -> str:
-    """Text of the slots of an article, block by block."""
-    open_ = [b for b, (outside, _) in page.around.items() if not outside]
-    if any(role[0] == "w" for role in template):
-        slots = {block for role, block in page.tokens if block >= 0 and role not in template}
-        open_ = [b for b in open_ if b in slots]
-    inside = [b for b in open_ if page.around[b][1]]
-    texts = {b: _space.sub(" ", "".join(page.blocks[b])).strip() for b in (inside or open_)}
-    if not inside:  # no article is marked: leave out blocks that are mostly links
+@dataclass
+class Template:
+    """Tags and blocks that pages have once, and the path of the element that holds the main slot."""
+
+    tags: frozenset[tuple] = frozenset()
+    spelled: frozenset[tuple] = frozenset()
+    container: str | None = None
+
+
+def _slots(page: Page, tags: frozenset[tuple] | set[tuple]) -> dict[int, tuple[tuple | None, tuple | None, bool]]:
+    """For each block: the template tags before and after it, and whether one of them is right beside it.
+
+    Beside means: nothing between but the tags of the block's own elements of running text.
+    """
+    out: dict[int, tuple[tuple | None, tuple | None, bool]] = {}
+    before, near, waiting = None, True, []
+
+    def own(role: tuple) -> bool:
+        return role[1].split(".", 1)[0] in TEXT_LEVEL
+
+    def settle_waiting(after: tuple | None) -> None:
+        beside = True  # only the last open block can stand right before the tag
+        for block, left, touches in reversed(waiting):
+            out[block] = (left, after, touches or beside and after is not None)
+            beside = beside and block not in page.open
+        waiting.clear()
+
+    for role, block in page.tokens:
+        if block < 0 and role in tags:
+            settle_waiting(role)
+            before, near = role, True
+        elif block < 0:
+            near = near and own(role)
+        else:
+            waiting.append((block, before, near and before is not None))
+            near = near and block not in page.open
+    settle_waiting(None)
+    return out
+
+
+def deduce(pages: list[Page]) -> Template:
+    """Template of the pages of one group; pages with the same open text count once."""
+    told = list({tuple(page.texts[b] for b in page.open): page for page in pages}.values())
+    if len(told) < TAG_PAGES:
+        return Template()
+    nested = nest(classes(told), told)
+    roles = {role for c, _, _ in nested for role in c}
+    most: Counter[tuple] = Counter()
+    for page in told:
+        for role, n in Counter(role for role, _ in page.tokens if role in roles).items():
+            most[role] = max(most[role], n)
+    once = {role for role, n in most.items() if n == 1}
+    tags = frozenset(role for role in once if role[0] != "b")
+    slots = [_slots(page, tags) for page in told]
+    # A block of the template stands beside a template tag in every page that has it.
+    loose = {role for page, places in zip(told, slots) for role, block in page.tokens if block >= 0 and not places[block][2]}
+    spelled = frozenset(role for role in once if role[0] == "b") - loose
+    held: dict[tuple, int] = defaultdict(int)
+    paths: dict[tuple, list[str]] = {}
+    for page, places in zip(told, slots):
+        for role, block in page.tokens:
+            if block in page.open and role not in spelled:
+                slot = (page.open[block], *places[block][:2])
+                held[slot] += len(page.texts[block])
+                parts = role[2].split(">")
+                known = paths.setdefault(slot, parts)
+                paths[slot] = [a for i, (a, b) in enumerate(zip(known, parts)) if known[:i] == parts[:i] and a == b]
+    if not held:
+        return Template(tags, spelled)
+    marked = sum(any(page.open.values()) for page in told)
+    chosen = max(held, key=lambda s: (s[0] and 2 * marked >= len(told), held[s], str(s)))
+    path = paths[chosen]
+    while path and (("<", path[-1], ">".join(path[:-1])) not in tags or path[-1].split(".", 1)[0] in TEXT_LEVEL):
+        path = path[:-1]
+    contents = {e.path for page in told for elements in page.around.values() for e in elements if e.content}
+    wide = next((i for i in range(1, len(path) + 1) if ">".join(path[:i]) in contents), len(path))
+    return Template(tags, spelled, ">".join(path[:wide]))
+
+
+def main_text(page: Page, template: Template) -> str:
+    """Text of the slots of the container, block by block; of what is marked as an article where marks are there."""
+    spelled = {block for role, block in page.tokens if role in template.spelled}
+    path = {block: role[2] for role, block in page.tokens if block >= 0}
+    inside = template.container
+    slots = [b for b in page.open if inside is not None and (not inside or f"{path[b]}>".startswith(f"{inside}>"))] or list(page.open)
+    marks = [b for b in slots if page.open[b]]
+    texts = {b: page.texts[b] for b in marks or slots if b not in spelled}
+    if not marks:  # no article is marked: leave out blocks that are mostly links
         texts = {b: t for b, t in texts.items() if 2 * page.links[b] <= len(t)}
-    return " ".join(texts[b] for b in texts if texts[b])
+    return " ".join(texts.values())
 
 
 def extract(sources: list[str]) -> list[str]:
     """Main text of each page of one group of same-host pages."""
     different = {source: read(source) for source in sources}
-    pages = list(different.values())
-    template: set[tuple] = set()
-    if len(pages) >= TAG_PAGES:
-        for c, _, _ in nest(classes(pages), pages):
-            template.update(c)
+    template = deduce(list(different.values()))
     told = {source: main_text(page, template) for source, page in different.items()}
     return [told[source] for source in sources]
 
@@ -306,8 +424,11 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     host = F.lower(F.coalesce(F.regexp_extract(url_col, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
     counts = settle(pages.select(host.alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("pages")), "hosts")
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(html_col, F.lit("")).alias("html"), host.alias("host"))
+    # A host's rows meet its count in parts, so a host with a third of all pages is not one task's.
+    part = F.pmod(F.xxhash64("url", "page_id", F.lit(1)), F.lit(HOST_PARTS))
+    parted = counts.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(HOST_PARTS - 1).cast("long"))).alias("part"))
     lane = F.pmod(F.xxhash64("page_id", "url"), F.ceil(F.col("pages") / lane_pages))
-    dealt = rows.join(counts, "host").select("page_id", "url", "html", "host", lane.alias("lane"))
+    dealt = rows.withColumn("part", part).join(parted, ["host", "part"]).select("page_id", "url", "html", "host", lane.alias("lane"))
 
     def group(table: pa.Table) -> pa.Table:
         texts = extract(table.column("html").to_pylist())

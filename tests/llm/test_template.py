@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 from candlewright.llm import template as op
 
@@ -67,6 +68,78 @@ def test_broken_markup():
     ]
 
 
+def articles(seed, n=64, wrap=("<article>", "</article>"), end="", short="It was."):
+    """Pages with one short sentence twice at any place, and the text of each."""
+    rng = random.Random(seed)
+    common = ["it", "was", "and", "the"] + [f"w{i}" for i in range(60)]
+    out = []
+    for i in range(n):
+        said = [" ".join(rng.choices(common, k=rng.randrange(5, 40))) for _ in range(rng.randrange(3, 8))]
+        for _ in range(2):
+            said.insert(rng.randrange(len(said) + 1), short)
+        body = f"<h1>title {i}</h1>" + "".join(f"<p>{p}</p>" for p in said)
+        out.append((f"<html><body><nav><a href=/>Home</a></nav>{wrap[0]}{body}{end}{wrap[1]}<footer>x</footer></body></html>", " ".join([f"title {i}", *said])))
+    return out
+
+
+def test_short_sentences_of_many_articles_stay():
+    pages = articles(4)
+    assert op.extract([h for h, _ in pages]) == [t for _, t in pages]
+
+
+def test_names_around_an_article_say_nothing_about_it():
+    for name in ("content-sidebar-wrap", "layout has-sidebar", "post comments-open", "entry ad-free"):
+        pages = articles(5, 12, (f'<div class="{name}"><main><article>', "</article></main></div>"))
+        assert op.extract([h for h, _ in pages]) == [t for _, t in pages]
+        inner = '<article><p>Story.</p><div class="comments"><article><p>I think so</p></article></div></article>'
+        assert op.extract([f'<div class="{name}">{inner}</div>']) == ["Story."]
+
+
+def test_repeated_invitation_goes_whatever_other_pages_are():
+    pages = articles(6, end="<p>Subscribe to our letter now</p>")
+    odd = ["", "<html><body><div>other layout</div></body></html>", "no markup"]
+    for more in (odd[:0], odd[:1], odd):
+        got = op.extract([h for h, _ in pages] + more)
+        assert got[:64] == [t for _, t in pages]
+        assert got[64:] == ["", "other layout", "no markup"][: len(more)]
+
+
+def test_slots_between_tag_classes_choose_the_text(monkeypatch):
+    rng = random.Random(7)
+    say = lambda k: " ".join(f"v{rng.randrange(90)}" for _ in range(k))
+    pages = [
+        (h.replace("@", "<div class=a><ul>" + "".join(f"<li>{say(4)}</li>" for _ in range(5)) + "</ul></div>").replace("%", f"<div class=c><p>{say(6)}</p></div>"), t)
+        for h, t in articles(8, wrap=("@<div class=b>", "</div>%"))
+    ]
+    assert op.extract([h for h, _ in pages]) == [t for _, t in pages]
+    monkeypatch.setattr(op, "classes", lambda *_: [])
+    assert all(got != t for got, (_, t) in zip(op.extract([h for h, _ in pages]), pages))
+
+
+def test_copies_of_an_article_are_not_its_template():
+    (page, text), *_ = articles(9, 1)
+    copies = [page.replace("Home", f"Home {i}") for i in range(40)]
+    assert op.extract(copies) == [text] * 40
+
+
+def test_classes_same_as_brute_force():
+    rng = random.Random(10)
+    for _ in range(20):
+        shapes = ["<i1>".replace("i1", name) for name in ("h1", "ul", "section", "table")]
+        pages = [op.read("<body>" + "".join(s + "x" + s.replace("<", "</") for s in shapes[: rng.randrange(2, 5)]) + f"<p>a{rng.randrange(3)}</p></body>") for _ in range(10)]
+        roles = {role for page in pages for role, _ in page.tokens}
+        vector = {role: tuple(sum(role == other for other, _ in page.tokens) for page in pages) for role in roles}
+        often = {role for role in roles if sum(map(bool, vector[role])) >= (op.WORD_PAGES if role[0] == "b" else 5)}
+        want = Counter(vector[role] for role in often)
+        got = op.classes(pages)
+        assert all(len({vector[role] for role in c}) == 1 for c in got)
+        assert all(want[vector[c[0]]] == len(c) for c in got) and {r for c in got for r in c} <= often
+        for c in got:
+            for page in pages:
+                order = [role for role, _ in page.tokens if role in set(c)]
+                assert order == c * (len(order) // len(c))
+
+
 def test_query_on_edge_cases(spark):
     rng = random.Random(3)
     pages = site(rng, 150, WORDS)
