@@ -8,22 +8,28 @@ the characters beside it and the word before it. Dynamic programming over segmen
 MAX_ATOMS atoms chooses boundaries and types together. It finds what the rules leave out because a
 longer match failed its check, such as the cards of a list with blanks between them.
 
+A region has no length bound. It is decoded as a stream: scores of the last MAX_ATOMS cuts and back pointers are
+all that is held, and spans leave as soon as every path goes through them.
+
 The weights are fitted by conditional likelihood to the spans that the rules find in a bounded sample
-of regions (SAMPLE_REGIONS, by hash); regions where a match failed its check are not used.
+of regions (SAMPLE_REGIONS at most: a fifth of them for each kind of base span and for none, by hash, so that
+rare kinds are seen); regions where a match failed its check are not used.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 import re
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from candlewright.llm.common import pieces, strings
 
@@ -33,6 +39,8 @@ MAX_ATOMS = 16
 SAMPLE_REGIONS = 600
 #: Longer regions are decoded like any other but not used for the fit.
 SAMPLE_CHARS = 300
+#: Atoms after which spans that no later atom can change are emitted.
+SETTLE_ATOMS = 256
 EPOCHS = 12
 RATE = 0.5
 SHRINK = 1e-3
@@ -43,12 +51,15 @@ _dotted = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _card = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _local = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_first = _local | frozenset("(")
 _host = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _ip = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _word = re.compile(r"[^\x20\x09-\x0D]+")
 _atom = re.compile(r"[0-9]+|[A-Za-z]+|(?s:.)")
 _trigger = re.compile(r"[0-9@]")
+_group = re.compile(r"[0-9]+")
+_digit = frozenset("0123456789")
 
 
 def luhn(digits: str) -> bool:
@@ -62,7 +73,7 @@ def _octet(part: str) -> bool:
 
 
 def _digits(text: str) -> str:
-    return "".join(c for c in text if "0" <= c <= "9")
+    return "".join([c for c in text if c in _digit])
 
 
 def _is_card(text: str) -> bool:
@@ -136,24 +147,31 @@ _inside_ok = {
 }
 
 
-def _features(text: str, start: int, end: int, kind: str) -> list[str]:
-    """Features of a whole span under a type."""
+_checks = {
+    "email": lambda span, digits: _email.fullmatch(span) is not None,
+    "ip": lambda span, digits: _ip.fullmatch(span) is not None and all(map(_octet, span.split("."))),
+    "card": lambda span, digits: _card.fullmatch(span) is not None and _is_card(span),
+    "phone": lambda span, digits: _phone.fullmatch(span) is not None and 8 <= digits <= 15,
+}
+
+
+def _before(text: str, start: int) -> tuple[str, str]:
+    """Features of where a span begins, whatever its end: they are made once for all candidates from there."""
+    before = _word.findall(text[max(0, start - 24) : start])
+    return f"left={_side(text, start - 1)}", f"word={before[-1].lower().strip(':.,;()') if before else ''}"
+
+
+def _features(text: str, start: int, end: int, kinds: list[str], before: tuple[str, str]) -> Iterator[tuple[str, list[str]]]:
+    """Features of a whole span under each of some types."""
     span = text[start:end]
-    digits = _digits(span)
+    digits = len(_digits(span))
     separators = sorted({c for c in span if not c.isalnum()})
-    valid = {
-        "email": lambda: _email.fullmatch(span) is not None,
-        "ip": lambda: _ip.fullmatch(span) is not None and all(map(_octet, span.split("."))),
-        "card": lambda: _card.fullmatch(span) is not None and _is_card(span),
-        "phone": lambda: _phone.fullmatch(span) is not None and 8 <= len(digits) <= 15,
-    }[kind]()
-    before = _word.findall(text[max(0, start - 24) : start])
-    names = [
-        "bias", f"valid={valid}", f"left={_side(text, start - 1)}", f"right={_side(text, end)}", f"digits={min(len(digits), 20)}",
-        f"separators={''.join(separators)[:6]}", f"first={_side(text, start)}", f"letters={any(c.isalpha() for c in span)}",
-        f"groups={min(len(re.findall('[0-9]+', span)), 6)}", f"word={before[-1].lower().strip(':.,;()') if before else ''}",
-    ]
-    return [f"{kind}:{name}" for name in names]
+    names = (
+        "bias", *before, f"right={_side(text, end)}", f"digits={min(digits, 20)}", f"separators={''.join(separators)[:6]}", f"first={_side(text, start)}",
+        f"letters={any(map(str.isalpha, span))}", f"groups={min(len(_group.findall(span)), 6)}",
+    )
+    for kind in kinds:
+        yield kind, [f"{kind}:valid={_checks[kind](span, digits)}", *[f"{kind}:{name}" for name in names]]
 
 
 @dataclass
@@ -164,18 +182,30 @@ class Lattice:
     ends: list[list[tuple[int, str | None, list[str]]]] = field(default_factory=list)
 
 
-def lattice(text: str, low: int, high: int) -> Lattice:
-    cuts = [low, *(m.end() for m in _atom.finditer(text, low, high))]
-    made = Lattice(cuts)
-    for j in range(1, len(cuts)):
+def segments(text: str, low: int, high: int) -> Iterator[tuple[int, list[tuple[int, str | None, list[str]]]]]:
+    """For each atom its end, and the candidates that end there: (number of the cut they begin at, type or None, features)."""
+    recent = deque([(low, _before(text, low))], maxlen=MAX_ATOMS)
+    for j, m in enumerate(_atom.finditer(text, low, high), 1):
+        end = m.end()
         options: list[tuple[int, str | None, list[str]]] = [(j - 1, None, [])]
-        last = text[cuts[j] - 1]
+        last = text[end - 1]
         if last.isalnum() and last.isascii():
-            for i in range(max(0, j - MAX_ATOMS), j):
-                span = text[cuts[i] : cuts[j]]
-                if not (span[0] in "+(" or span[0] in _local) or not _trigger.search(span):
+            for i, (start, before) in enumerate(recent, j - len(recent)):
+                if text[start] not in _first:
                     continue
-                options += [(i, kind, _features(text, cuts[i], cuts[j], kind)) for kind in KINDS if _inside_ok[kind](span)]
+                span = text[start:end]
+                kinds = [kind for kind in KINDS if _inside_ok[kind](span)] if _trigger.search(span) else []
+                if kinds:
+                    options += [(i, kind, names) for kind, names in _features(text, start, end, kinds, before)]
+        recent.append((end, _before(text, end)))
+        yield end, options
+
+
+def lattice(text: str, low: int, high: int) -> Lattice:
+    """All candidates of a region at once, for the fit; its regions have at most SAMPLE_CHARS characters."""
+    made = Lattice([low])
+    for end, options in segments(text, low, high):
+        made.cuts.append(end)
         made.ends.append(options)
     return made
 
@@ -188,26 +218,55 @@ def _joint(weights: dict[str, float], before: str | None, kind: str | None) -> f
     return weights.get(f"after:{before}>{kind}", 0.0)
 
 
-def decode(weights: dict[str, float], made: Lattice) -> list[Span]:
-    """Best segmentation: boundaries and types together."""
-    best: list[dict[str | None, tuple[float, int, str | None]]] = [{None: (0.0, -1, None)}]
-    for options in made.ends:
-        here: dict[str | None, tuple[float, int, str | None]] = {}
+def decode(weights: dict[str, float], text: str, low: int, high: int) -> list[Span]:
+    """Best segmentation of a region: boundaries and types together.
+
+    A state is (cut, type of the segment that ends there). Every SETTLE_ATOMS atoms the paths of all states that a
+    later segment can follow are walked back until they meet; what lies before that state is final.
+    """
+    cuts: dict[int, int] = {0: low}
+    scores: dict[int, dict[str | None, float]] = {0: {None: 0.0}}
+    back: dict[int, dict[str | None, tuple[int, str | None]]] = {}
+    spans: list[Span] = []
+    settled: tuple[int, str | None] = (0, None)
+    j = 0
+
+    def emit(state: tuple[int, str | None]) -> None:
+        nonlocal settled
+        found, at = [], state
+        while at[0] > settled[0]:
+            before = back[at[0]][at[1]]
+            if at[1] is not None:
+                found.append((at[1], cuts[before[0]], cuts[at[0]]))
+            at = before
+        spans.extend(reversed(found))
+        for k in range(settled[0], state[0]):
+            del cuts[k]
+            back.pop(k, None)
+        settled = state
+
+    for j, (end, options) in enumerate(segments(text, low, high), 1):
+        cuts[j] = end
+        here: dict[str | None, float] = {}
+        whence: dict[str | None, tuple[int, str | None]] = {}
         for i, kind, names in options:
             own = _score(weights, names)
-            for before, (so_far, _, _) in best[i].items():
+            for before, so_far in scores[i].items():
                 total = so_far + own + _joint(weights, before, kind)
-                if kind not in here or total > here[kind][0]:
-                    here[kind] = (total, i, before)
-        best.append(here)
-    spans, j = [], len(made.ends)
-    kind = max(best[j], key=lambda k: best[j][k][0])
-    while j > 0:
-        _, i, before = best[j][kind]
-        if kind is not None:
-            spans.append((kind, made.cuts[i], made.cuts[j]))
-        j, kind = i, before
-    return spans[::-1]
+                if kind not in here or total > here[kind]:
+                    here[kind], whence[kind] = total, (i, before)
+        scores[j], back[j] = here, whence
+        scores.pop(j - MAX_ATOMS, None)
+        if j % SETTLE_ATOMS == 0:
+            live = {(k, kind) for k, kinds in scores.items() for kind in kinds}
+            while len(live) > 1:
+                last = max(live, key=lambda state: state[0])
+                live.remove(last)
+                live.add(back[last[0]][last[1]])
+            emit(live.pop())
+    if j:
+        emit((j, max(scores[j], key=scores[j].get)))
+    return spans
 
 
 def _sum_exp(values: list[float]) -> float:
@@ -287,34 +346,54 @@ def fit(samples: list[tuple[str, int, int]]) -> dict[str, float]:
 def find(text: str, weights: dict[str, float]) -> tuple[list[Span], list[Span]]:
     """Base spans, and the spans that the field adds beside them; both in order of kind and place."""
     base, _ = base_spans(text)
-    taken = sorted((s, e) for _, s, e in base)
-    added = []
+    # Base spans of different kinds overlap; their union is walked along with the spans that the field finds.
+    taken: list[list[int]] = []
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    added, at = [], 0
     for low, high in regions(text):
-        for kind, s, e in decode(weights, lattice(text, low, high)):
-            if not any(s < b and e > a for a, b in taken):
+        for kind, s, e in decode(weights, text, low, high):
+            while at < len(taken) and taken[at][1] <= s:
+                at += 1
+            if at == len(taken) or taken[at][0] >= e:
                 added.append((kind, s, e))
     rank = {kind: i for i, kind in enumerate(KINDS)}
     return tuple(sorted(found, key=lambda s: (rank[s[0]], s[1], s[2])) for found in (base, added))
 
 
 def sample(docs: DataFrame, text_col: str = "text", most: int = SAMPLE_REGIONS) -> list[tuple[str, int, int]]:
-    """At most `most` regions with their surroundings, the same ones whatever the partitions."""
+    """At most `most` regions with their surroundings, the same ones whatever the partitions.
+
+    Each kind of base span, and regions without one, give the `most` / 5 regions of the smallest hashes.
+    """
+    share = max(1, most // (len(KINDS) + 1))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            out = []
+            drawn: dict[str, set[tuple]] = {}
             for text in strings(piece.column("text")).to_pylist():
                 for low, high in regions(text):
                     if high - low <= SAMPLE_CHARS:
                         start = max(0, low - 30)
                         around = text[start : high + 30]
-                        out.append((xxhash.xxh64_intdigest(around) >> 1, around, low - start, high - start))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, (pa.int64(), pa.string(), pa.int32(), pa.int32()))], names=["mark", "around", "low", "high"])
+                        row = (xxhash.xxh64_intdigest(around) >> 1, around, low - start, high - start)
+                        good, _ = base_spans(around)
+                        for kind in {k for k, s, e in good if row[2] <= s and e <= row[3]} or {"none"}:
+                            drawn.setdefault(kind, set()).add(row)
+            # The smallest of all are among the smallest of each piece.
+            out = [(kind, *row) for kind, rows in drawn.items() for row in heapq.nsmallest(share, rows)]
+            kinds = (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)], names=["kind", "mark", "around", "low", "high"])
 
     with_trigger = docs.select(F.col(text_col).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    found = with_trigger.mapInArrow(cut, "mark long, around string, low int, high int")
+    found = with_trigger.mapInArrow(cut, "kind string, mark long, around string, low int, high int")
     # Copies of a region count once, so that a hot passage cannot be all of the sample.
-    rows = found.distinct().orderBy("mark", "around", "low", "high").limit(most).collect()
+    by_mark = W.partitionBy("kind").orderBy("mark", "around", "low", "high")
+    least = found.distinct().withColumn("place", F.row_number().over(by_mark)).where(F.col("place") <= share)
+    rows = least.select("mark", "around", "low", "high").distinct().orderBy("mark", "around", "low", "high").collect()
     return [(r["around"], r["low"], r["high"]) for r in rows]
 
 

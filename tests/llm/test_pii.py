@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import pytest
 
@@ -84,7 +85,7 @@ def test_held_out_regions(weights):
         for low, high in op.regions(text):
             if any(s < high and e > low for _, s, e in bad if e - s >= 12):
                 continue
-            told = set(op.decode(weights, op.lattice(text, low, high)))
+            told = set(op.decode(weights, text, low, high))
             want = {s for s in good if low <= s[1] < high}
             right, wrong, missed = right + len(told & want), wrong + len(told - want), missed + len(want - told)
     assert right > 100 and wrong <= 0.02 * right and missed <= 0.02 * right
@@ -112,7 +113,57 @@ def test_decode_is_the_best_of_all_segmentations(weights):
             for score, before, spans in paths(i, kind):
                 yield score + op._score(weights, names) + op._joint(weights, before, kind), kind, spans + ([(kind, made.cuts[i], made.cuts[j])] if kind else [])
 
-    assert op.decode(weights, made) == max(paths(len(made.ends), None), key=lambda p: p[0])[2]
+    assert op.decode(weights, text, 2, len(text)) == max(paths(len(made.ends), None), key=lambda p: p[0])[2]
+
+
+def whole(weights, made):
+    """Best segmentation with every cut held."""
+    best = [{None: (0.0, [])}]
+    for j, options in enumerate(made.ends, 1):
+        here = {}
+        for i, kind, names in options:
+            for before, (so_far, spans) in best[i].items():
+                total = so_far + op._score(weights, names) + op._joint(weights, before, kind)
+                if kind not in here or total > here[kind][0]:
+                    here[kind] = total, spans + ([(kind, made.cuts[i], made.cuts[j])] if kind else [])
+        best.append(here)
+    return max(best[-1].values(), key=lambda v: v[0])[1]
+
+
+@pytest.mark.parametrize("atoms", [1, 2, 7, 256])
+def test_decoding_as_a_stream_is_the_same_as_whole(weights, monkeypatch, atoms):
+    monkeypatch.setattr(op, "SETTLE_ATOMS", atoms)
+    rng = random.Random(atoms)
+    for _ in range(4):
+        parts = [rng.choice([card(rng), f"{rng.randrange(9999)}", "+49 30 1234567", "10.2.3.4", "a.b@c.de", "x1", "(7)"]) for _ in range(40)]
+        text = " ".join(parts)
+        assert op.decode(weights, text, 0, len(text)) == whole(weights, op.lattice(text, 0, len(text)))
+
+
+def test_numbers_on_one_long_line_hold_little_memory(weights):
+    rng = random.Random(11)
+    text = " ".join(str(rng.randrange(1000, 9999)) for _ in range(6_000))
+    tracemalloc.start()
+    op.find(text, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000
+
+
+def test_many_base_spans_are_walked_once(weights):
+    text = "mail a.b@c.de, " * 4000 + "pay 10.0.0.1 +49 30 1234567"
+    base, added = op.find(text, weights)
+    assert len(base) == 4002 and not any(s < b and e > a for _, s, e in added for _, a, b in base[:50])
+
+
+def test_sample_sees_rare_kinds(docs_of):
+    rng = random.Random(12)
+    pan = card(rng)
+    rows = [(i, " and ".join(f"in {rng.randrange(1000, 2100)}, then" for _ in range(100))) for i in range(100)] + [(1000, f"pay {pan} now")]
+    drawn = op.sample(docs_of(rows))
+    assert any(pan in text for text, _, _ in drawn) and len(drawn) <= op.SAMPLE_REGIONS
+    assert drawn == op.sample(docs_of(rows[::-1]).repartition(7))
+    assert op.sample(docs_of([])) == []
 
 
 def test_query_on_edge_cases(docs_of):
