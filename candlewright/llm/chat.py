@@ -3,8 +3,16 @@
 Prefix sums of the tokens of turns cut a conversation into turn-aligned windows: a window takes the
 turns whose prefix falls into one cell of half the room, and a turn of more than half the room is a
 window of its own, so the new turns of a window fit the room (one longer turn excepted). Every later
-window repeats the system turn and as many earlier turns as fit the history budget. Only assistant
-texts that are new in a window are under its loss mask, so each is a target once.
+window repeats the system turn and as many earlier turns as fit the history budget. A system turn of
+more than half of what history leaves is no longer repeated: it is in its own first window only, so
+what is repeated never outgrows the budget. Only assistant texts that are new in a window are under
+its loss mask, so each is a target once.
+
+A conversation may hold a third of all rows. Turns are put in order by a range shuffle and written, so a
+conversation spans as many parts as its share; prefix sums are made inside each (conversation, part) and
+lifted by the sums of the parts before. From then on rows meet by cell of the prefix, with the turns that
+a cell needs as history copied from the one before. (Turns of one number and role whose texts begin alike
+stay in one part.) Only `read_back` gathers a conversation.
 
 A window is a text of marked turns. Inside roles and texts a backslash is doubled and `<|` becomes
 `<\\|`, so no mark can occur there, and reading back undoes it.
@@ -14,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from candlewright.llm.common import word_count
+from candlewright.llm.common import settle, word_count
 
 BUDGET = 512
 HISTORY = 128
@@ -22,6 +30,11 @@ HISTORY = 128
 MARK_TOKENS = 4
 TARGET = "assistant"
 SYSTEM = "system"
+#: First characters of a text by which turns of one number and role are dealt to parts.
+DEAL_CHARS = 32
+#: Budgets of tokens in a group that collects history, and parts that the windows of a conversation meet its system turn in.
+GROUP_BUDGETS = 8
+SYSTEM_PARTS = 16
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -45,43 +58,62 @@ def _plain_role(text: Column) -> Column:
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """conv_id, window, formatted, n_repeated, loss: from conv_id, turn, role, text.
 
-    `n_repeated` turns at the beginning were in an earlier window; `loss` lists the (start, length) of
-    targets in characters. Turns are ordered by number, null first, then role and text; null roles and
-    texts count as empty; a null conv_id is a conversation like any other. Repeated rows are turns like
-    any other; an empty table gives an empty result; other columns are not read.
+    `window` grows along a conversation, with gaps. `n_repeated` turns at the beginning were in an earlier
+    window; `loss` lists the (start, length) of targets in characters. Turns are ordered by number, null
+    first, then role and text; null roles and texts count as empty; a null conv_id is a conversation like
+    any other. Repeated rows are turns like any other; an empty table gives an empty result; other columns
+    are not read.
     """
+    # As a field of a struct, a null conversation is equal to itself.
     rows = turns.select(
-        "conv_id", F.col("turn").alias("number"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
+        F.struct("conv_id").alias("conv"), F.col("turn").alias("number"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    rows = rows.withColumn("tokens", word_count(F.col("text")) + MARK_TOKENS)
-    placed = W.partitionBy("conv_id").orderBy("number", "role", "text")
-    earlier = placed.rowsBetween(W.unboundedPreceding, -1)
-    first = placed.rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.select(
-        "*",
-        F.row_number().over(placed).alias("at"),
-        F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("prefix"),
-        (F.first("role").over(first) == SYSTEM).alias("has_system"),
+    ordered = rows.repartitionByRange("conv", "number", "role", F.substring("text", 1, DEAL_CHARS))
+    parts = settle(ordered.select("*", (word_count(F.col("text")) + MARK_TOKENS).alias("tokens"), F.spark_partition_id().alias("part")), "chat-parts")
+    placed = W.partitionBy("conv", "part").orderBy("number", "role", "text")
+    here = parts.select(
+        "*", F.row_number().over(placed).alias("at_here"),
+        F.coalesce(F.sum("tokens").over(placed.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("prefix_here"),
     )
-    whole = W.partitionBy("conv_id").orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.withColumn("system", F.when(F.col("has_system"), F.first(F.struct("role", "text", "tokens")).over(whole)))
-    room = F.greatest(F.lit(2), budget - history - F.coalesce(F.col("system.tokens"), F.lit(0)))
-    cell = F.floor(room / 2)
-    big = F.col("tokens") > cell
-    rows = rows.withColumn("cell", F.floor(F.col("prefix") / cell)).withColumn("big", big)
-    by_place = W.partitionBy("conv_id").orderBy("at")
-    fresh = (F.col("cell") != F.lag("cell").over(by_place)) | F.col("big") | F.lag("big").over(by_place)
-    rows = rows.withColumn("fresh", F.coalesce(fresh, F.lit(True)))
-    rows = rows.withColumn("window", F.count_if("fresh").over(whole))
-    # Turns of one conversation have different prefixes, so a range of prefixes is a budget of tokens.
-    behind = W.partitionBy("conv_id").orderBy("prefix").rangeBetween(-history, -1)
+    lead = F.max(F.when(F.col("at_here") == 1, F.struct("role", "tokens")))
+    sums = here.groupBy("conv", "part").agg(F.count(F.lit(1)).alias("turns"), F.sum("tokens").alias("all_tokens"), lead.alias("lead"))
+    by_part = W.partitionBy("conv").orderBy("part")
+    before = by_part.rowsBetween(W.unboundedPreceding, -1)
+    first = F.first("lead").over(by_part.rowsBetween(W.unboundedPreceding, W.currentRow))
+    lifts = sums.select(
+        "conv", "part", F.coalesce(F.sum("turns").over(before), F.lit(0)).alias("turns_before"),
+        F.coalesce(F.sum("all_tokens").over(before), F.lit(0)).alias("tokens_before"), first.alias("lead"),
+    )
+    retained = (F.col("lead.role") == SYSTEM) & (2 * F.col("lead.tokens") <= budget - history)
+    half = F.floor(F.greatest(F.lit(2), budget - history - F.when(retained, F.col("lead.tokens")).otherwise(0)) / 2)
+    lifted = here.join(lifts, ["conv", "part"]).select(
+        "conv", "role", "text", "tokens", (F.col("at_here") + F.col("turns_before")).alias("at"),
+        (F.col("prefix_here") + F.col("tokens_before")).alias("prefix"), retained.alias("retained"), half.alias("half"),
+    )
+    # A turn of more than half the room reaches beyond its cell, so it is the last of the cell and a window of its own.
+    window = 2 * F.floor(F.col("prefix") / F.col("half")) + (F.col("tokens") > F.col("half")).cast("long")
+    lifted = lifted.withColumn("window", window)
+    # History of a group's first turns lies at most `history` tokens before it: those turns come along as guests.
+    group_tokens = GROUP_BUDGETS * max(budget, history)
+    own_group, reached = F.floor(F.col("prefix") / group_tokens), F.floor((F.col("prefix") + history) / group_tokens)
+    groups = lifted.select("*", own_group.alias("home"), F.explode(F.sequence(own_group, reached)).alias("group"))
+    along = W.partitionBy("conv", "group").orderBy("prefix")
     own = F.struct("at", "role", "text")
-    past = F.collect_list(F.when(~(F.col("has_system") & (F.col("at") == 1)), own)).over(behind)
-    rows = rows.withColumn("past", F.when(F.col("fresh"), past))
-    again = F.when((F.col("window") > 1) & F.col("has_system"), F.array(F.struct(F.lit(0).alias("at"), "system.role", "system.text"))).otherwise(F.array().cast("array<struct<at:int,role:string,text:string>>"))
-    packed = rows.groupBy("conv_id", "window").agg(
+    # Turns of one conversation have different prefixes, so a range of prefixes is a budget of tokens.
+    past = F.collect_list(F.when(~(F.col("retained") & (F.col("at") == 1)), own)).over(along.rangeBetween(-history, -1))
+    opens = F.coalesce(F.lag("window").over(along) != F.col("window"), F.lit(True))
+    rows = groups.select("*", opens.alias("opens"), past.alias("past")).where(F.col("group") == F.col("home"))
+    packed = rows.groupBy("conv", "window").agg(
         F.sort_array(F.collect_list(own)).alias("new"),
-        F.max_by(F.concat(again, "past"), F.when(F.col("fresh"), 1).otherwise(0)).alias("repeated"),
+        F.min_by(F.when(F.col("opens"), F.col("past")), F.when(F.col("opens"), F.col("at"))).alias("past"),
+        (F.bool_or("retained") & (F.min("at") > 1)).alias("later"),
+    )
+    system = lifted.where(F.col("retained") & (F.col("at") == 1)).select(
+        "conv", F.array(F.struct(F.lit(0).cast("long").alias("at"), "role", "text")).alias("again"), F.explode(F.sequence(F.lit(0), F.lit(SYSTEM_PARTS - 1))).alias("salt"))
+    salted = packed.withColumn("salt", F.when(F.col("later"), F.pmod(F.hash("window"), F.lit(SYSTEM_PARTS))).otherwise(-1))
+    nothing = F.array().cast("array<struct<at:bigint,role:string,text:string>>")
+    packed = salted.join(system, ["conv", "salt"], "left").select(
+        "conv.conv_id", "window", "new", F.concat(F.coalesce("again", nothing), "past").alias("repeated"),
     )
     marked = packed.select(
         "conv_id", "window", F.size("repeated").cast("long").alias("n_repeated"),

@@ -49,7 +49,7 @@ MARKED_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
 def op7_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    added = spark.createDataFrame([(-1, 0, "user", MARKED_TEXT), (-1, 1, "assistant", MARKED_TEXT)], "conv_id long, turn long, role string, text string")
+    added = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{MARKED_TEXT}'), (-1L, 1L, 'assistant', '{MARKED_TEXT}') AS added(conv_id, turn, role, text)")
     turns = table(spark, sf_dir, "conversations").select(added.columns).unionByName(added)
     return chat.read_back(chat.windows(turns))
 
@@ -160,7 +160,7 @@ SQL: dict[str, str] = {
             FROM turns),
         summed AS (
             SELECT *, coalesce(sum(tokens) OVER (so_far ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS prefix,
-                   first_value(role) OVER so_far = 'system' AS has_system, first_value(tokens) OVER so_far AS system_tokens,
+                   first_value(role) OVER so_far = 'system' AND 2 * first_value(tokens) OVER so_far <= 512 - 128 AS has_system, first_value(tokens) OVER so_far AS system_tokens,
                    first_value(chars) OVER so_far AS system_chars
             FROM sized WINDOW so_far AS (PARTITION BY conv_id ORDER BY place)),
         celled AS (
