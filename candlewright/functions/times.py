@@ -69,6 +69,11 @@ def clock_text(ts: Column) -> Column:
     return F.date_format(wall(ts), "HH:mm")
 
 
+def second_text(ts: Column) -> Column:
+    """``HH:mm:ss`` on the New York clock, for grids finer than a minute."""
+    return F.date_format(wall(ts), "HH:mm:ss")
+
+
 def bar_date(field: Column) -> Column:
     """Mixed bar-date field -> instant.
 

@@ -35,17 +35,24 @@ def _word(slot: Column) -> Column:
 
 
 def _missing_words(words: Column, bits: str, low: Column, high: Column) -> Column:
-    """Per 64 slots of ``low .. high``: the slots whose bit is not set in ``words``, as a mask."""
+    """Per 64 slots of ``low .. high``, in order: the slots whose bit is not set in ``words``, as a mask.
+
+    ``words`` holds a word once. Those of the range are taken as they come, the others are the difference of two
+    sets, so the cost is that of the grid and not of a search for each of its words.
+    """
     ones = F.lit(-1).cast("bigint")
 
-    def missing(word: Column) -> Column:
+    def missing(word: Column, own: Column) -> Column:
         start = F.greatest(low - word * 64, F.lit(0)).cast("int")
         end = F.least(high - word * 64, F.lit(63)).cast("int")
         expected = F.call_function("shiftleft", ones, start).bitwiseAND(F.call_function("shiftrightunsigned", ones, F.lit(63) - end))
-        own = F.get(F.filter(words, lambda w: w["word"] == word), 0)[bits]
         return F.struct(word.alias("word"), expected.bitwiseAND(F.bitwise_not(F.coalesce(own, F.lit(0).cast("bigint")))).alias("bits"))
 
-    return F.transform(F.sequence(_word(low), _word(high)), missing)
+    grid = F.sequence(_word(low), _word(high))
+    present = F.filter(words, lambda w: w["word"].between(_word(low), _word(high)))
+    absent = F.array_except(grid, F.transform(words, lambda w: w["word"]))
+    none = F.lit(0).cast("bigint")
+    return F.sort_array(F.concat(F.transform(present, lambda w: missing(w["word"], w[bits])), F.transform(absent, lambda word: missing(word, none))))
 
 
 def _first_slots(words: Column, bits: str, limit: int) -> Column:
@@ -164,7 +171,7 @@ def _with_session(summary: DataFrame, calendar: DataFrame, step_seconds: int, ma
         gaps = _first_slots(missing_words, "bits", max_listed)
         extras = F.transform(_first_slots(F.col("words"), "outside", max_listed), label)
         first_extras = F.slice(F.sort_array(F.concat(extras, "off_ts")), 1, max_listed)
-        clock = lambda stamps: F.transform(stamps, lambda ts: T.clock_text(ts))
+        clock = lambda stamps: F.transform(stamps, T.clock_text if step_seconds % 60 == 0 else T.second_text)
         listed = lambda stamps, total: F.when(total > 0, V.listed(clock(stamps), total, max_listed)).otherwise(F.lit(""))
         missing_text = listed(F.transform(gaps, label), missing)
         extra_text = listed(first_extras, F.col("extra_count_int"))

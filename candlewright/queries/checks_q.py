@@ -34,6 +34,13 @@ def session_check(spark, sf_dir):
     return K.session_check(bars, A.calendar(spark, hourly=True), step_seconds=A.HOUR, max_listed=3)
 
 
+def session_check_seconds(spark, sf_dir):
+    """Session status on a grid of 23,400 seconds a day: every event is a bar of its second."""
+    calendar = C.sessions(spark, A.FIRST_DAY, A.LAST_DAY, A.holidays(spark), step_seconds=1)
+    bars = A.event_bars(spark, sf_dir, step=1).select("symbol", "date", "ts")
+    return K.session_check(bars, calendar, step_seconds=1, max_listed=3)
+
+
 def in_session(spark, sf_dir):
     """Bars inside a session that closes early on one day, counted per type and date."""
     kept = K.in_session(A.event_labels(spark, sf_dir), A.calendar(spark, early=True))
@@ -192,6 +199,26 @@ SELECT symbol, date, CASE WHEN expected_count_int = 0 THEN 'no_session' WHEN mis
   expected_count_int, bar_count_int, missing_count_int, extra_count_int, duplicate_count_int,
   COALESCE(array_to_string(m[1:3], ', '), '') || CASE WHEN missing_count_int > 3 THEN ' (+' || (missing_count_int - 3) || ' more)' ELSE '' END AS missing_str,
   COALESCE(array_to_string(x[1:3], ', '), '') || CASE WHEN extra_count_int > 3 THEN ' (+' || (extra_count_int - 3) || ' more)' ELSE '' END AS extra_str
+FROM agg""",
+    ),
+    "session_check_seconds": (
+        session_check_seconds,
+        f"""WITH {A.SQL_MINUTE_CALENDAR},
+seconds AS (SELECT date, first_ts, last_ts + INTERVAL 59 SECOND AS last_ts FROM cal),
+per_ts AS (SELECT event_type AS symbol, CAST(ts AS DATE) AS date, date_trunc('second', ts) AS ts, count(*) AS n FROM events GROUP BY 1, 2, 3),
+pairs AS (SELECT DISTINCT symbol, date FROM per_ts),
+expected AS (SELECT p.symbol, c.date, unnest(generate_series(c.first_ts, c.last_ts, INTERVAL 1 SECOND)) AS ts FROM pairs p JOIN seconds c ON c.date = p.date),
+cmp AS (SELECT COALESCE(e.symbol, p.symbol) AS symbol, COALESCE(e.date, p.date) AS date, COALESCE(e.ts, p.ts) AS ts,
+    e.ts IS NOT NULL AS exp, COALESCE(p.n, 0) AS n FROM expected e FULL JOIN per_ts p ON e.symbol = p.symbol AND e.ts = p.ts),
+agg AS (SELECT symbol, date, count(*) FILTER (exp) AS expected_count_int, CAST(sum(n) AS BIGINT) AS bar_count_int,
+    count(*) FILTER (exp AND n = 0) AS missing_count_int, count(*) FILTER (NOT exp) AS extra_count_int,
+    CAST(sum(n) AS BIGINT) - count(*) FILTER (n > 0) AS duplicate_count_int,
+    list(strftime(ts, '%H:%M:%S') ORDER BY ts) FILTER (exp AND n = 0) AS m, list(strftime(ts, '%H:%M:%S') ORDER BY ts) FILTER (NOT exp) AS x
+  FROM cmp GROUP BY 1, 2)
+SELECT symbol, date, CASE WHEN expected_count_int = 0 THEN 'no_session' WHEN missing_count_int = 0 THEN 'complete' ELSE 'partial' END AS status_str,
+  expected_count_int, bar_count_int, missing_count_int, extra_count_int, duplicate_count_int,
+  COALESCE(array_to_string(m[1:3], ', '), '') || CASE WHEN missing_count_int > 3 THEN ' (+' || (missing_count_int - 3) || ' more)' ELSE '' END AS missing_str,
+  COALESCE(array_to_string(x[1:3], ', '), '') || CASE WHEN extra_count_int > 3 THEN ' (+' || (extra_count_int - 3) || ' more)' ELSE '' END AS extra_str
 FROM agg""",
     ),
     "in_session": (

@@ -229,3 +229,16 @@ def test_named_symbols_without_recent_bars_are_expected(spark):
     known = spark.createDataFrame([("live",), ("stalled",)], "symbol string")
     found = K.issue_report(bars, days, "2025-12-03", "2025-12-02", symbols=known)
     assert {r["symbol"] for r in found.where("issue_str = 'missing_session'").collect()} == {"live", "stalled"}
+
+
+def test_one_second_grid_with_gaps_anywhere(spark):
+    rng = random.Random(5)
+    day = ny("2024-03-05 09:30")
+    sessions = C.sessions(spark, "2024-03-05", "2024-03-05", step_seconds=1)
+    seconds = [day + timedelta(seconds=i) for i in range(23_400)]
+    whole, holes = set(rng.sample(range(23_400), 20_000)), set(range(5_000, 9_000)) | {0, 23_399}
+    rows = [("a", "2024-03-05", seconds[i]) for i in whole] + [("b", "2024-03-05", t) for i, t in enumerate(seconds) if i not in holes] + [("c", "2024-03-05", seconds[77])]
+    got = {r["symbol"]: r for r in K.session_check(filed(spark, rows), sessions, step_seconds=1, max_listed=3).collect()}
+    for symbol, missing in (("a", set(range(23_400)) - whole), ("b", holes), ("c", set(range(23_400)) - {77})):
+        labels = [f"{seconds[i]:%H:%M:%S}" for i in sorted(missing)]
+        assert (got[symbol]["missing_count_int"], got[symbol]["missing_str"]) == (len(missing), listed(labels, 3))
