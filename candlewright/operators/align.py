@@ -185,9 +185,12 @@ def verdict_lines(checks: DataFrame, lags: DataFrame, margin: float = MARGIN) ->
     edges = F.format_string(
         "first labels [%s], daily open at [%s]; last labels [%s], daily close at [%s]", "first_labels", "open_labels", "last_labels", "close_labels"
     )
-    strongest = F.concat(F.lit("strongest at lag "), F.format_string("%+d", "best_lag"), F.lit(": "), signed(F.col("best_corr")))
+    # A format writes a null as text, so series without a correlation are told apart first.
+    strongest = F.when(
+        F.col("best_corr").isNotNull(), F.concat(F.lit("strongest at lag "), F.format_string("%+d", "best_lag"), F.lit(": "), signed(F.col("best_corr")))
+    )
     lines = F.when(F.col("session_count") == 0, F.array(F.lit("no session with both daily and intraday bars"))).otherwise(
-        F.array(numbers, edges, F.coalesce(F.concat_ws(" -> ", strongest, F.col("verdict")), F.lit("too few pairs")))
+        F.array(numbers, edges, F.coalesce(F.concat(strongest, F.lit(" -> "), F.col("verdict")), F.lit("too few pairs")))
     )
     return rows.select("symbol", F.posexplode(lines).alias("line_no", "line"))
 

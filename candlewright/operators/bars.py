@@ -66,15 +66,12 @@ def bar_returns(bars: DataFrame, step_seconds: int = 60, bucket_steps: int = BUC
 def edge_bars(bars: DataFrame, count: int = 3) -> DataFrame:
     """First and last bars of every (symbol, date); a short session lists a bar twice.
 
-    Both rank filters are limits Spark applies before the shuffle.
+    A bar stands in both lists, each with its own order, so one scan and one rank make them; the rank
+    filter is a limit Spark applies before the shuffle.
     """
-    keys = ["symbol", "date"]
-    columns = [*keys, "ts", "open", "high", "low", "close"]
-
-    def ranked(order) -> DataFrame:
-        rank = F.row_number().over(W.partitionBy(*keys).orderBy(order))
-        return bars.select(*columns).withColumn("position", rank).where(F.col("position") <= count)
-
-    head = ranked(F.col("ts").asc()).withColumn("edge", F.lit("first"))
-    tail = ranked(F.col("ts").desc()).withColumn("edge", F.lit("last"))
-    return head.unionByName(tail)
+    keys = ["symbol", "date", "edge"]
+    at = T.micros(F.col("ts"))
+    lists = F.array(F.struct(F.lit("first").alias("edge"), at.alias("place")), F.struct(F.lit("last").alias("edge"), (-at).alias("place")))
+    both = bars.select("symbol", "date", "ts", "open", "high", "low", "close", F.inline(lists))
+    rank = F.row_number().over(W.partitionBy(*keys).orderBy("place"))
+    return both.withColumn("position", rank).where(F.col("position") <= count).drop("place")

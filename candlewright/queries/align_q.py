@@ -131,6 +131,11 @@ def check_verdict(spark, sf_dir):
     return L.check_verdict(_checks(spark, sf_dir))
 
 
+def verdict_lines(spark, sf_dir):
+    """The alignment run as report lines: checks of every type, and its lag against 'view'."""
+    return L.verdict_lines(_checks(spark, sf_dir), _lags(spark, sf_dir)).withColumn("line_no", F.col("line_no").cast("bigint"))
+
+
 def last_common_dates(spark, sf_dir):
     """Newest ten dates with both an order and a shipment."""
     orders = A.order_dates(spark, sf_dir)
@@ -260,3 +265,14 @@ FROM d JOIN m ON m.symbol = d.symbol AND m.date = d.date""",
   count(*) FILTER (ts >= TIMESTAMP '2024-01-25') AS held_out FROM events GROUP BY 1""",
     ),
 }
+
+REPORTS["verdict_lines"] = (
+    verdict_lines,
+    f"""WITH c AS ({REPORTS["check_verdict"][1]}), v AS ({REPORTS["lag_verdict"][1]}),
+lines AS (SELECT c.symbol, CASE WHEN session_count = 0 THEN ['no session with both daily and intraday bars'] ELSE [
+    session_count || ' sessions: open ' || open_matches || ', close ' || close_matches || ', high ' || high_matches || ', low ' || low_matches || ' agree',
+    'first labels [' || first_labels || '], daily open at [' || open_labels || ']; last labels [' || last_labels || '], daily close at [' || close_labels || ']',
+    COALESCE('strongest at lag ' || CASE WHEN best_lag >= 0 THEN '+' ELSE '' END || best_lag || ': ' || printf('%+.3f', best_corr) || ' -> ' || verdict, 'too few pairs')
+  ] END AS line FROM c LEFT JOIN v USING (symbol))
+SELECT symbol, unnest(range(len(line))) AS line_no, unnest(line) AS line FROM lines""",
+)

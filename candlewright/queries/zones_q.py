@@ -27,6 +27,17 @@ def week_slices(spark, sf_dir):
     )
 
 
+def canonical_columns(spark, sf_dir):
+    """The events as downloaded bars, with names and zoned times as they come, in the columns of the zone."""
+    prices = [F.col("value").alias(c) for c in ("Open", "High", "Low", "Close")]
+    bars = A.table(spark, sf_dir, "events").select(
+        "event_id", T.from_wall(F.date_trunc("second", F.col("ts").cast("timestamp"))).alias("Datetime"), *prices,
+        F.col("user_id").alias("Volume"), F.lit(0.5).alias("Dividends"), F.lit(0.0).alias("Stock Splits"),
+    )
+    shaped = Z.canonical_columns(bars)
+    return shaped.withColumn("ny_timestamp", F.date_format("ny_timestamp", NTZ))
+
+
 def week_slices_unix(spark, sf_dir):
     """The same slice when the time column holds epoch seconds read on the Qatar clock."""
     rows = A.table(spark, sf_dir, "events").select(F.unix_seconds(F.col("ts").cast("timestamp")).alias("qatar_unix"), "event_type")
@@ -156,4 +167,9 @@ SELECT o_orderkey, CAST(epoch(timezone('UTC', z)) AS BIGINT) AS epoch, strftime(
         f"""WITH r AS (SELECT user_id, event_type, {WEEK.format(t='ts')} AS week FROM events)
 SELECT user_id, week FROM r GROUP BY 1, 2 HAVING count(*) FILTER (event_type = 'purchase') = 0""",
     ),
+    "canonical_columns": (
+        canonical_columns,
+        """SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%d %H:%M:%S') AS ny_timestamp, value AS open, value AS high, value AS low, value AS close,
+  user_id AS volume, CAST(0 AS DOUBLE) AS stock_splits FROM events""",
+    ),
 }

@@ -180,7 +180,11 @@ def test_day_text_keeps_every_bar_of_the_day(spark):
 def test_edge_bars_of_a_short_session_repeat(spark):
     rows = [("x", "2026-09-14", t) for t in minutes("2026-09-14", "09:30", "09:33")]
     bars = filed(spark, rows).selectExpr("*", "1.0D open", "1.0D high", "1.0D low", "1.0D close")
-    assert B.edge_bars(bars).count() == 6
+    edges = B.edge_bars(bars)
+    assert edges.count() == 6 and edges._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    got = {(r["edge"], r["position"], r["ts"]) for r in edges.collect()}
+    stamps = [r["ts"] for r in bars.orderBy("ts").collect()]
+    assert got == {("first", i + 1, t) for i, t in enumerate(stamps[:3])} | {("last", i + 1, t) for i, t in enumerate(stamps[::-1][:3])}
 
 
 def test_plan_ranks_before_the_shuffle_and_reuses_the_exchange(spark):
