@@ -201,8 +201,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of `docs`.
 
     Texts are equal when identical; null counts as empty. Of equal texts the row with the largest id
-    stays; null ids come last, and of rows that tie on the id exactly one stays. An empty table gives
-    an empty result. Other columns are not read, so their names do not matter.
+    stays; null ids come last, and of rows that tie on the id exactly one stays. Ids are integers; other
+    types fail. An empty table gives an empty result. Other columns are not read, so their names do not matter.
     """
     entries = settle(_entries(docs, text_col, id_col, False), "dedup-index")
     told = entries.select("entry", "sha256", "best_at", "members").join(resolve(entries), "entry")
