@@ -1,11 +1,12 @@
 """Near copies: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates share one of BANDS keys, each made of ROWS minimal shingle hashes: a pair at 0.8 shares none
-with a probability of (1 - 0.8^5)^24, 7 in 100,000. Every link is confirmed on the whole shingle sets. (A
-64-bit SimHash does not find them: at 0.8 about ten bits differ, and a budget of ten leaves blocks of
-under six bits.)
+Candidates come from the trie of SimHash fingerprints (`simhash`): the texts of one class of linked
+fingerprints, taken over five-word shingles, share a bucket. At 0.8 about ten of 64 bits differ, beyond any
+budget whose blocks a trie can still cut by, so the trie alone leaves many links out. For these, texts also
+share a bucket with each of BANDS keys, made of ROWS minimal shingle hashes: a pair at 0.8 shares none
+with a probability of (1 - 0.8^5)^24, 7 in 100,000. Every link is confirmed on the whole shingle sets.
 
-Links make classes. In a bucket (the texts of one key) of one class nothing is left to compare, so star
+Links make classes. In a bucket of one class nothing is left to compare, so star
 rounds come first: every text is compared with the head of its bucket if their classes differ. That
 unites a dense group of n in about n comparisons.
 
@@ -29,6 +30,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from candlewright.llm import simhash
 from candlewright.llm.common import discard, pieces, ragged, settle, strings, words
 from candlewright.llm.graph import components
 
@@ -84,17 +86,27 @@ def band_keys(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _signed(docs: DataFrame, text_col: str, *carry) -> DataFrame:
-    """`carry`, _size (different shingles) and _bands of every row."""
+    """`carry`, _size (different shingles), _print (SimHash of them) and _bands of every row."""
     rows = docs.select(*carry, F.col(f"`{text_col}`").alias("_text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "_text", 1 << 20):
             hashes, offsets = shingle_sets(strings(piece.column("_text")))
             keys = pa.ListArray.from_arrays(pa.array(np.arange(piece.num_rows + 1) * BANDS, pa.int32()), pa.array(band_keys(hashes, offsets).ravel()))
-            yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(np.diff(offsets)), keys], names=[*piece.schema.names[:-1], "_size", "_bands"])
+            prints = pa.array(simhash.majority(hashes, offsets).view(np.int64))
+            names = [*piece.schema.names[:-1], "_size", "_print", "_bands"]
+            yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(np.diff(offsets)), prints, keys], names=names)
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]]
-    return rows.mapInArrow(sign, ", ".join([*kinds, "_size long", "_bands array<long>"]))
+    return rows.mapInArrow(sign, ", ".join([*kinds, "_size long", "_print long", "_bands array<long>"]))
+
+
+def _trie_buckets(rows: DataFrame) -> DataFrame:
+    """band, at, size (written) of every text: the class of its fingerprint in the trie."""
+    prints = rows.where("_size > 0").select("_at", "_size", F.col("_print").alias("fingerprint"))
+    classed = prints.join(simhash.classed(prints), "fingerprint", "left")
+    band = F.xxhash64(F.lit("trie"), F.coalesce("root", "fingerprint"))
+    return settle(classed.select(band.alias("band"), F.col("_at").alias("at"), F.col("_size").alias("size")), "near-trie")
 
 
 def _sets(rows: DataFrame) -> DataFrame:
@@ -243,13 +255,15 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     marked = _signed(docs, text_col, F.col(f"`{id_col}`").alias("_id"), row.alias("_row"))
     rows = settle(marked.withColumn("_at", F.monotonically_increasing_id()), "near-rows")
-    laid = rows.where("_size > 0").select(F.explode("_bands").alias("band"), F.col("_at").alias("at"), F.col("_size").alias("size"))
+    trie = _trie_buckets(rows)
+    banded = rows.where("_size > 0").select(F.explode("_bands").alias("band"), F.col("_at").alias("at"), F.col("_size").alias("size"))
+    laid = trie.unionAll(banded)
     shared = settle(laid.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "near-buckets")
     members = settle(laid.join(shared, "band"), "near-shared")
     texts = rows.select("_at", F.col("_row").getField(text_col).alias("_text"))
     sets = settle(_sets(texts.join(members.select(F.col("at").alias("_at")).distinct(), "_at", "left_semi")), "near-sets")
     classes = _classes(members, sets, stars)
-    discard(shared, members, sets)
+    discard(trie, shared, members, sets)
     # Blank texts need no comparison: they are one class, under the first of them.
     blank = rows.where("_size = 0").select("_at")
     classes = classes.unionAll(blank.select(F.col("_at").alias("node"), F.lit(blank.agg(F.min("_at")).first()[0]).cast("long").alias("root")).where("node <> root"))

@@ -46,7 +46,7 @@ def fingerprints_of(texts: pa.StringArray, size: int = SHINGLE, seed: int = HASH
     flat, offsets = words(pc.ascii_lower(texts))
     n = np.diff(offsets)
     counts = np.where(n >= size, n - size + 1, np.minimum(n, 1))
-    ones = np.zeros((len(texts), BITS), np.int64)
+    hashes = np.zeros(0, np.uint64)
     if len(flat):
         buffer = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat), " ")[0].as_buffer().to_pybytes()
         lengths = pc.binary_length(flat).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -54,14 +54,24 @@ def fingerprints_of(texts: pa.StringArray, size: int = SHINGLE, seed: int = HASH
         first = ragged(offsets[:-1], counts)
         last = first + np.repeat(np.minimum(n, size) - 1, counts)
         starts, stops = (ends - lengths)[first], ends[last]
-        owner = np.repeat(np.arange(len(texts)), counts)
         digest = xxhash.xxh64_intdigest
+        hashes = np.empty(len(first), np.uint64)
         for at in range(0, len(first), CHUNK):
             part = slice(at, at + CHUNK)
-            hashes = np.fromiter((digest(buffer[a:b], seed) for a, b in zip(starts[part].tolist(), stops[part].tolist())), np.uint64)
-            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            docs, begin = np.unique(owner[part], return_index=True)
-            ones[docs] += np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
+            hashes[part] = np.fromiter((digest(buffer[a:b], seed) for a, b in zip(starts[part].tolist(), stops[part].tolist())), np.uint64)
+    return majority(hashes, np.concatenate(([0], np.cumsum(counts))))
+
+
+def majority(hashes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each slice of `hashes` the bits that are set in over half of them; zero for an empty slice."""
+    counts = np.diff(offsets)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    ones = np.zeros((len(counts), BITS), np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        part = slice(at, at + CHUNK)
+        bits = np.unpackbits(hashes[part].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        docs, begin = np.unique(owner[part], return_index=True)
+        ones[docs] += np.add.reduceat(bits, begin, axis=0, dtype=np.int32)
     return np.packbits(2 * ones > counts[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
 
@@ -227,7 +237,7 @@ def _linked(rows: pa.RecordBatch, keys: list[str], budget: int) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
 
-def _classed(prints: DataFrame) -> DataFrame:
+def classed(prints: DataFrame) -> DataFrame:
     """fingerprint, root: class of every different fingerprint that is linked to a smaller one."""
     return components(settle(links(prints), "simhash-links")).select(F.col("node").alias("fingerprint"), "root")
 
@@ -241,7 +251,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = settle(fingerprinted(docs, text_col, F.col(id_col).alias("doc_id")), "simhash")
     least = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    rooted = least.join(_classed(rows), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    rooted = least.join(classed(rows), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     classes = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     told = rooted.select("fingerprint", "root").join(classes, "root").select("fingerprint", "component_id")
     return rows.join(told, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -254,7 +264,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = settle(marked.withColumn("_at", F.monotonically_increasing_id()), "simhash-rows")
     narrow = rows.select("_id", "_at", "fingerprint")
     best = F.min(F.struct(F.col("_id").isNull().alias("unknown"), "_id", "_at")).alias("best")
-    rooted = narrow.groupBy("fingerprint").agg(best).join(_classed(narrow), "fingerprint", "left")
+    rooted = narrow.groupBy("fingerprint").agg(best).join(classed(narrow), "fingerprint", "left")
     kept = rooted.groupBy(F.coalesce("root", "fingerprint")).agg(F.min("best").alias("best")).select("best._at")
     stay = rows.join(kept, "_at", "left_semi")
     return stay.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -129,3 +129,20 @@ def test_recall_of_candidates():
             total += 1
             found += bool((keys[0] == keys[1]).any())
     assert total > 500 and found >= 0.998 * total
+
+
+def test_the_trie_finds_links_that_share_no_band(spark, monkeypatch):
+    """Fingerprints of five-word shingles alone lead to these copies: every band key is a text's own."""
+    rng = random.Random(21)
+    monkeypatch.setattr(op, "band_keys", lambda hashes, offsets: op.np.random.default_rng().integers(-(1 << 62), 1 << 62, (len(offsets) - 1, op.BANDS)))
+    bases = [" ".join(f"t{rng.randrange(10**9)}" for _ in range(600)) for _ in range(5)]
+    texts = [t for base in bases for t in (base, base + " end", "start " + base)]
+    rows = [(i, t, "en", "src0", None) for i, t in enumerate([*texts, "one two", None, ""])]
+    assert kept(spark, rows) == brute(rows) == [0, 3, 6, 9, 12, 15, 16]
+
+
+def test_a_class_of_the_trie_is_confirmed(spark, monkeypatch):
+    """Texts in one class of fingerprints that are not similar both stay."""
+    monkeypatch.setattr(op.simhash, "classed", lambda prints: prints.select("fingerprint", op.F.lit(0).cast("long").alias("root")).distinct())
+    rows = passage_rows(random.Random(22), 60, 30, 60)
+    assert kept(spark, rows) == brute(rows)
