@@ -9,6 +9,9 @@ Copies are folded where they are read: a task compares texts of the piece it hol
 sends one entry for each different text with the rows that carry it. A text that makes up a third of
 all rows reaches the owners as a few entries for each task, and its rows never meet in one place: they
 stay with their entry and get the verdict by entry number.
+
+Every entry's key goes to its owner; its text goes along only if another entry has the same key, since a chain
+of one has nothing to compare. The verdict returns to the entries as a bit for each, so no text moves for it.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from candlewright.llm.common import pieces, settle, strings
+from candlewright.llm.common import flagged, pieces, settle, strings
 
 #: A bucket with more entries splits.
 BUCKET_ENTRIES = 8192
@@ -118,7 +121,10 @@ def _entries(docs: DataFrame, text_col: str, id_col: str, keep_rows: bool) -> Da
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chains of equal keys over rows in key order: for each entry the head of its chain link and the link's totals."""
+    """Chains of equal keys over rows in key order: for each entry the head of its chain link and the link's totals.
+
+    An entry that is alone with its key comes without its text.
+    """
     names = ["entry", "head", "keep_id", "keep_entry", "group_size"]
     out: list[tuple] = []
     chain: list[list] = []  # [text, entries, n, best, entry of best]
@@ -177,8 +183,11 @@ def resolve(entries: DataFrame, capacity: int = BUCKET_ENTRIES, max_depth: int =
     directory = directory_of(entries, capacity, max_depth)
     cells = F.broadcast(directory.frame(entries.sparkSession))
     cell = F.shiftrightunsigned("key", 64 - directory.depth) if directory.depth else F.lit(0)
-    slim = entries.select("entry", "key", "text", "n", "best")
-    crowded = entries.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > key_entries)
+    counts = entries.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    chained = settle(entries.select("entry", "key").join(counts, "key").select("entry", "key", "copies"), "dedup-chained")
+    sent = F.when(F.col("chained"), F.col("text")).alias("text")
+    slim = flagged(entries.select("entry", "key", "text", "n", "best"), "entry", chained.select("entry"), "chained").select("entry", "key", sent, "n", "best")
+    crowded = chained.where(F.col("copies") > key_entries).select("key", "copies").distinct()
     if crowded.isEmpty():
         return _owned(slim.join(cells, cell == F.col("cell")), ["bucket"]).drop("head")
 
@@ -217,5 +226,5 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     winners = resolve(entries).where("entry = keep_entry").select("entry")
     member = F.get("members", F.col("best_at"))
     text = F.when(~F.col("is_null"), F.col("text"))
-    stay = entries.join(winners, "entry").select(text.alias("t"), member.alias("m"))
+    stay = flagged(entries, "entry", winners, "stays").where("stays").select(text.alias("t"), member.alias("m"))
     return stay.select(*[F.col("t").alias(c) if c == text_col else F.col("m").getField(c).alias(c) for c in docs.columns])

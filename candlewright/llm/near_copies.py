@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from candlewright.llm import simhash
-from candlewright.llm.common import discard, pieces, ragged, settle, strings, words
+from candlewright.llm.common import discard, flagged, pieces, ragged, settle, strings, words
 from candlewright.llm.graph import components
 
 SHINGLE = 5
@@ -261,7 +261,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shared = settle(laid.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "near-buckets")
     members = settle(laid.join(shared, "band"), "near-shared")
     texts = rows.select("_at", F.col("_row").getField(text_col).alias("_text"))
-    sets = settle(_sets(texts.join(members.select(F.col("at").alias("_at")).distinct(), "_at", "left_semi")), "near-sets")
+    sets = settle(_sets(flagged(texts, "_at", members.select("at"), "_shared").where("_shared")), "near-sets")
     classes = _classes(members, sets, stars)
     discard(trie, shared, members, sets)
     # Blank texts need no comparison: they are one class, under the first of them.
@@ -272,5 +272,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     known = rows.select("_id", "_at").join(linked, F.col("_at") == F.col("node"))
     kept = known.groupBy("root").agg(best).select(F.col("best._at").alias("node"))
     gone = linked.select("node").join(kept, "node", "left_anti").select(F.col("node").alias("_at"))
-    stay = rows.join(gone, "_at", "left_anti")
+    stay = flagged(rows, "_at", gone, "_gone").where("NOT _gone")
     return stay.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -67,3 +67,28 @@ def test_id_need_not_come_first(docs_of):
 def test_empty_table(docs_of):
     assert op.exact_dedup(docs_of([])).count() == 0
     assert op.drop_copies(docs_of([])).count() == 0
+
+
+def test_only_texts_of_repeated_keys_travel(docs_of, monkeypatch):
+    rows = [*((i, f"text {i}") for i in range(40)), *((100 + i, f"text {i}") for i in range(3))]
+    entries = op.settle(op._entries(docs_of(rows, 4), "text", "doc_id", False), "t")
+    repeated = entries.groupBy("key").count().where("count > 1")
+    held, owned = [], op._owned
+    monkeypatch.setattr(op, "_owned", lambda frame, parts: held.append(frame) or owned(frame, parts))
+    found = op.resolve(entries).collect()
+    assert len(found) == entries.count() == held[0].count()
+    assert held[0].where("text IS NOT NULL").count() == entries.join(repeated, "key").count()
+    assert sum(r["entry"] == r["keep_entry"] for r in found) == 40
+
+
+def test_texts_do_not_move_for_the_verdict(spark, docs_of):
+    rows = [(i, f"text {i % 30}") for i in range(50)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = op.drop_copies(docs_of(rows, 4))
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        main = plan[: plan.index("BroadcastExchange")]
+        assert "SortMergeJoin" not in main and "Exchange hashpartitioning" not in main.split("BroadcastHashJoin")[0]
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(20, 50))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
