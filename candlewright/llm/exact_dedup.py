@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
-from candlewright.llm.common import flagged, pieces, settle, strings
+from candlewright.llm.common import flagged, pieces, settle, sparing, strings
 
 #: A bucket with more entries splits.
 BUCKET_ENTRIES = 8192
@@ -88,6 +88,7 @@ def _entries(docs: DataFrame, text_col: str, id_col: str, keep_rows: bool) -> Da
     id_at = [f.name for f in rest].index(id_col)
     schema = f"entry long, key long, sha256 string, text string, is_null boolean, best long, best_at int, n long, members array<{kind}>"
 
+    @sparing
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entry = TaskContext.get().partitionId() << 33
         for piece in pieces(batches, "t"):
@@ -120,6 +121,7 @@ def _entries(docs: DataFrame, text_col: str, id_col: str, keep_rows: bool) -> Da
     return narrow.mapInArrow(fold, schema)
 
 
+@sparing
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chains of equal keys over rows in key order: for each entry the head of its chain link and the link's totals.
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from candlewright.llm import simhash
-from candlewright.llm.common import discard, flagged, pieces, ragged, settle, strings, words
+from candlewright.llm.common import discard, flagged, pieces, ragged, settle, sparing, strings, words
 from candlewright.llm.graph import components
 
 SHINGLE = 5
@@ -89,6 +89,7 @@ def _signed(docs: DataFrame, text_col: str, *carry) -> DataFrame:
     """`carry`, _size (different shingles), _print (SimHash of them) and _bands of every row."""
     rows = docs.select(*carry, F.col(f"`{text_col}`").alias("_text"))
 
+    @sparing
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "_text", 1 << 20):
             hashes, offsets = shingle_sets(strings(piece.column("_text")))
@@ -112,8 +113,9 @@ def _trie_buckets(rows: DataFrame) -> DataFrame:
 def _sets(rows: DataFrame) -> DataFrame:
     """at, shingles (sorted 64-bit hashes as bytes): from _at, _text."""
 
+    @sparing
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "_text", 4 << 20):
+        for piece in pieces(batches, "_text", 1 << 20):
             hashes, offsets = shingle_sets(strings(piece.column("_text")))
             held = [hashes[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
             yield pa.RecordBatch.from_arrays([piece.column("_at"), pa.array(held, pa.binary())], names=["at", "shingles"])
@@ -132,6 +134,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("at").alias("u"), F.col("shingles").alias("one"))
     other = sets.select(F.col("at").alias("v"), F.col("shingles").alias("other"))
 
+    @sparing
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = zip(batch.column("one"), batch.column("other"))
@@ -157,6 +160,7 @@ def _keys(texts: DataFrame, sets: DataFrame) -> DataFrame:
     size of a partner that the place of the shingle allows.
     """
 
+    @sparing
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, size, own, held in zip(*(batch.column(c).to_pylist() for c in ("at", "size", "class", "shingles"))):

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from candlewright.llm.common import pieces, ragged, settle, strings, words
+from candlewright.llm.common import pieces, ragged, settle, sparing, strings, words
 from candlewright.llm.graph import components
 
 SHINGLE = 4
@@ -185,6 +185,7 @@ def links(prints: DataFrame, budget: int = BUDGET, node_leaves: int = NODE_LEAVE
     keys = ["layout", "block", "low", "high"]
     dealt = laid.select(*keys, "width", "levels", "leaf", "fingerprint").repartition(*keys).sortWithinPartitions(*keys, F.expr("leaf ^ (-9223372036854775807L - 1)"))
 
+    @sparing
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
